@@ -26,18 +26,21 @@ def _bag(text: str) -> np.ndarray:
     return np.bincount([ord(ch) % _LETTERS for ch in text], minlength=_LETTERS).astype(np.int16)
 
 
+def _pack(pos: list[int], norms: list[str]) -> tuple:
+    flat = [" ".join(sorted(set(n.split()))) for n in norms]
+    bags = np.array([_bag(f) for f in flat]).reshape(len(norms), _LETTERS)
+    holders: dict[str, list[int]] = {}
+    for i, n in enumerate(norms):
+        for w in set(n.split()):
+            holders.setdefault(w, []).append(i)
+    return pos, norms, np.array([len(f) for f in flat]), bags, holders
+
+
 class _Slice:
     """Names of one slice with what the upper bound on a score needs."""
 
-    def __init__(self, pos: list[int], norms: list[str]) -> None:
-        self.pos, self.norms = pos, norms
-        self.flat = [" ".join(sorted(set(n.split()))) for n in norms]
-        self.size = np.array([len(f) for f in self.flat])
-        self.bags = np.array([_bag(f) for f in self.flat]).reshape(len(norms), _LETTERS)
-        self.holders: dict[str, list[int]] = {}
-        for i, n in enumerate(norms):
-            for w in set(n.split()):
-                self.holders.setdefault(w, []).append(i)
+    def __init__(self, packed: tuple) -> None:
+        self.pos, self.norms, self.size, self.bags, self.holders = packed
 
     def bounds(self, norm: str) -> np.ndarray:
         """No token-set score can exceed this. Sharing a word may lift a score up to 100."""
@@ -49,14 +52,14 @@ class _Slice:
         return top
 
 
-def _slices(dim: DataFrame, slice_rows: int) -> Iterator[_Slice]:
-    """The dimension as bounded slices, by position. One slice at a time is on the driver."""
+def _slices(dim: DataFrame, slice_rows: int) -> Iterator[tuple]:
+    """The dimension as slices of about `slice_rows` rows. One slice at a time is on the driver."""
     total = dim.count()
     parts = max(1, math.ceil(total / slice_rows))
     marked = dim.select("pos", "norm", F.pmod(F.xxhash64("pos"), F.lit(parts)).alias("part"))
     for part in range(parts):
         rows = marked.where(F.col("part") == part).orderBy("pos").select("pos", "norm").toPandas()
-        yield _Slice(rows["pos"].tolist(), rows["norm"].tolist())
+        yield _pack(rows["pos"].tolist(), rows["norm"].tolist())
 
 
 def _best(slice_: _Slice, norm: str, k: int) -> list[tuple[int, float]]:
@@ -87,7 +90,7 @@ def top_candidates(names: DataFrame, dim: DataFrame, k: int, slice_rows: int) ->
         shipped = spark.sparkContext.broadcast(piece)
 
         def probe(batches: Iterator[pd.DataFrame], shipped=shipped, k=k) -> Iterator[pd.DataFrame]:
-            held = shipped.value
+            held = _Slice(shipped.value)
             for pdf in batches:
                 rows = []
                 for norm in pdf["norm"]:
@@ -114,7 +117,7 @@ def similar_pairs(dim: DataFrame, least: float, slice_rows: int) -> DataFrame:
         shipped = spark.sparkContext.broadcast(piece)
 
         def probe(batches: Iterator[pd.DataFrame], shipped=shipped) -> Iterator[pd.DataFrame]:
-            held = shipped.value
+            held = _Slice(shipped.value)
             for pdf in batches:
                 rows = []
                 for pos, norm in zip(pdf["pos"], pdf["norm"]):

@@ -272,21 +272,23 @@ def accumulate_pending(
         F.count(F.lit(1)).alias("n"),
         F.min_by(F.struct(F.trim("name").alias("supplier"), "source_file", "context"), "seq").alias("first"),
     )
-    old = pending.withColumn("norm", text.normalise_name(F.col("supplier"), cfg.legal_suffixes)).withColumn(
-        "was", F.lit(True)
+    old = pending.select(
+        text.normalise_name(F.col("supplier"), cfg.legal_suffixes).alias("norm"),
+        F.struct("supplier", "suggested_category", "first_seen", "source_file", "context").alias("kept"),
+        "occurrences",
     )
-    return old.join(met, "norm", "full_outer").select(
-        F.coalesce("supplier", F.col("first.supplier")).alias("supplier"),
-        F.coalesce("suggested_category", F.lit("")).alias("suggested_category"),
-        F.when(F.col("was"), F.col("first_seen")).otherwise(F.lit(run_ts).cast("timestamp")).alias("first_seen"),
-        F.when(F.col("was"), F.col("pending_source")).otherwise(F.coalesce("first.source_file", F.lit(""))).alias("source_file"),
-        F.when(F.col("was"), F.col("pending_context")).otherwise(F.coalesce("first.context", F.lit(""))).alias("context"),
-        (F.coalesce("occurrences", F.lit(0)) + F.coalesce("n", F.lit(0))).cast("bigint").alias("occurrences"),
-    ) if {"pending_source", "pending_context"} <= set(old.columns) else accumulate_pending(
-        matches,
-        pending.withColumnsRenamed({"source_file": "pending_source", "context": "pending_context"}),
-        run_ts,
-        cfg,
+    fresh = F.struct(
+        F.col("first.supplier").alias("supplier"),
+        F.lit("").alias("suggested_category"),
+        F.lit(run_ts).cast("timestamp").alias("first_seen"),
+        F.coalesce("first.source_file", F.lit("")).alias("source_file"),
+        F.coalesce("first.context", F.lit("")).alias("context"),
+    )
+    occurrences = F.coalesce("occurrences", F.lit(0)) + F.coalesce("n", F.lit(0))
+    return (
+        old.join(met, "norm", "full_outer")
+        .withColumn("row", F.coalesce("kept", fresh))
+        .select("row.*", occurrences.cast("bigint").alias("occurrences"))
     )
 
 
