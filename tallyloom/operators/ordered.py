@@ -84,3 +84,16 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], l
     pick = F.max_by if last else F.min_by
     best = df.groupBy(*keys).agg(pick(F.struct(*rest), F.struct(*order)).alias("__row"))
     return best.select(*keys, "__row.*").select(*df.columns)
+
+
+def sequence(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
+    """Unique, not negative, growing ids in the order of the sort keys.
+
+    The rows are range-partitioned, so no task sorts everything. Write the result before using it
+    twice: the ranges are sampled.
+    """
+    return (
+        df.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumn(out, F.monotonically_increasing_id())
+    )
