@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tallyloom.functions.bind import let
+
 _MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 _TAIL = r"(?:[T ]\d{1,2}:.*)?$"
 _YMD = r"^(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})" + _TAIL
@@ -16,15 +18,18 @@ _NO_YEAR = r"^(\d{1,2})[-/](\d{1,2})$"
 
 
 def _month_number(word: Column) -> Column:
-    at = F.locate(F.lower(F.substring(word, 1, 3)), F.lit(_MONTHS))
+    at = F.position(F.lower(F.substring(word, 1, 3)), F.lit(_MONTHS))
     return F.when(at % 3 == 1, ((at + 2) / 3).cast("int").cast("string"))
 
 
 def parse_date(text: Column, default_year: Column | None = None, pivot: int = 76) -> Column:
     """Date of a cell, or null. Text without a year takes `default_year`; two-digit years below
     `pivot` are 20xx. A first number above 12 is read as the day."""
-    raw = F.trim(F.coalesce(text, F.lit("")))
     year = (F.lit(None) if default_year is None else default_year).cast("int").cast("string")
+    return let(F.trim(F.coalesce(text, F.lit(""))), lambda raw: _iso_text(raw, year, pivot)).try_cast("date")
+
+
+def _iso_text(raw: Column, year: Column, pivot: int) -> Column:
 
     def get(rx: str, i: int) -> Column:
         return F.regexp_extract(raw, rx, i)
@@ -47,7 +52,7 @@ def parse_date(text: Column, default_year: Column | None = None, pivot: int = 76
         return F.when(found == "", year).otherwise(found)
 
     # Each branch only builds text for values its own pattern accepted.
-    built = (
+    return (
         F.when(F.rlike(raw, F.lit(_YMD)), iso(get(_YMD, 1), get(_YMD, 2), get(_YMD, 3)))
         .when(F.rlike(raw, F.lit(_MDY)), month_day(mdy_year, get(_MDY, 1), get(_MDY, 2)))
         .when(F.rlike(raw, F.lit(_PACKED)), iso(get(_PACKED, 1), get(_PACKED, 2), get(_PACKED, 3)))
@@ -61,7 +66,6 @@ def parse_date(text: Column, default_year: Column | None = None, pivot: int = 76
             iso(or_default(get(_DAY_FIRST, 3)), _month_number(get(_DAY_FIRST, 2)), get(_DAY_FIRST, 1)),
         )
     )
-    return built.try_cast("date")
 
 
 # Wording of a statement period, tried in this order.

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tallyloom.functions.bind import let
+
 MONEY = "decimal(18,2)"
 _NUMBER = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"
 
@@ -29,21 +31,31 @@ def from_cents(value: Column) -> Column:
 
 def parse_amount(cell: Column) -> Column:
     """struct(magnitude, explicit_direction, negative) of a statement cell; null where it is no amount."""
-    raw = F.trim(F.coalesce(cell, F.lit("")))
-    mark = F.upper(F.regexp_extract(raw, r"(?i)\b(CR|DR)\b", 1))
+
+    def numbered(raw: Column, body: Column, paren: Column) -> Column:
+        mark = F.upper(F.regexp_extract(raw, r"(?i)\b(CR|DR)\b", 1))
+        return let(
+            to_number(F.trim(F.regexp_replace(body, "^-+", ""))),
+            lambda size: F.when(
+                size.isNotNull(),
+                F.struct(
+                    round_money(size).alias("magnitude"),
+                    F.when(mark == "CR", "credit").when(mark == "DR", "debit").alias("explicit_direction"),
+                    (paren | F.startswith(body, F.lit("-"))).alias("negative"),
+                ),
+            ),
+        )
+
+    def unwrapped(raw: Column, body: Column) -> Column:
+        paren = F.startswith(body, F.lit("(")) & F.endswith(body, F.lit(")")) & (F.length(body) >= 2)
+        inner = F.when(paren, F.substring(body, F.lit(2), F.length(body) - 2)).otherwise(body)
+        return let(F.trim(F.regexp_replace(inner, "[$,]", "")), lambda b: numbered(raw, b, paren))
+
     # Only the first mark is taken out of the text.
-    body = F.trim(F.regexp_replace(raw, r"(?i)^(.*?)\b(?:CR|DR)\b", "$1"))
-    paren = F.startswith(body, F.lit("(")) & F.endswith(body, F.lit(")")) & (F.length(body) >= 2)
-    body = F.when(paren, F.substring(body, F.lit(2), F.length(body) - 2)).otherwise(body)
-    body = F.trim(F.regexp_replace(body, r"[$,]", ""))
-    minus = F.startswith(body, F.lit("-"))
-    size = to_number(F.trim(F.regexp_replace(body, r"^-+", "")))
-    return F.when(
-        size.isNotNull(),
-        F.struct(
-            round_money(size).alias("magnitude"),
-            F.when(mark == "CR", "credit").when(mark == "DR", "debit").alias("explicit_direction"),
-            (paren | minus).alias("negative"),
+    return let(
+        F.trim(F.coalesce(cell, F.lit(""))),
+        lambda raw: let(
+            F.trim(F.regexp_replace(raw, r"(?i)^(.*?)\b(?:CR|DR)\b", "$1")), lambda body: unwrapped(raw, body)
         ),
     )
 

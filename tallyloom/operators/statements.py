@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import dates, money, text
+from tallyloom.functions.bind import let
 from tallyloom.operators import ordered
 from tallyloom.settings import DEFAULTS, Settings
 
@@ -45,44 +46,49 @@ def _has_any(value: Column, words: tuple[str, ...], whole_words: bool = False) -
     return F.rlike(value, F.lit(rf"\b(?:{rx})\b" if whole_words else f"(?:{rx})"))
 
 
+def _some_cell(cells: Column, words: tuple[str, ...]) -> Column:
+    return F.exists(cells, lambda c: _has_any(text.one_line(c), words))
+
+
 def is_header(cells: Column) -> Column:
     """True where some cell reads like a date, some like an amount and some like a description."""
-    out = F.lit(True)
-    for words in REQUIRED_WORDS:
-        out = out & F.exists(cells, lambda c, words=words: _has_any(text.one_line(c), words))
-    return out
+    dated, priced, described = (_some_cell(cells, words) for words in REQUIRED_WORDS)
+    return dated & priced & described
 
 
 def header_columns(cells: Column, strict: bool = False) -> Column:
     """Map role -> 0-based column index. Columns are read left to right and each takes the first
     role still free whose words it holds; `strict` asks for whole words."""
-    heads = F.transform(cells, text.one_line)
-    empty = F.lit(None).cast("int")
-    start = F.struct(F.lit(0).alias("at"), *[empty.alias(r) for r in ROLES])
-
-    def claim(state: Column, head: Column) -> Column:
-        taken = F.lit(False)
-        fields = [(state["at"] + 1).alias("at")]
-        for role, words in COLUMN_WORDS:
-            fits = (head == "amount") if role == "amount" else _has_any(head, words, strict)
-            mine = ~taken & state[role].isNull() & fits
-            fields.append(F.when(mine, state["at"]).otherwise(state[role]).alias(role))
-            taken = taken | mine
-        return F.struct(*fields)
-
-    found = F.aggregate(heads, start, claim)
-    claimed = F.array(*[found[r] for r in ROLES])
-    spare = F.filter(
-        F.transform(heads, lambda h, i: F.when(F.contains(h, F.lit("amount")) & ~F.coalesce(F.array_contains(claimed, i), F.lit(False)), i)),
-        lambda i: i.isNotNull(),
-    )
-    amount = F.coalesce(found["amount"], F.get(spare, F.lit(0)))
-    named = F.filter(
-        F.transform(heads, lambda h, i: F.when(F.contains(h, F.lit("transaction date")), i)), lambda i: i.isNotNull()
-    )
-    return F.struct(
-        *[(amount if r == "amount" else found[r]).alias(r) for r in ROLES],
-        F.coalesce(F.get(named, F.lit(0)), found["date"]).alias("transaction_date"),
+    none = F.array().cast("array<string>")
+
+    def claim(roles: Column, head: Column) -> Column:
+        role = F.lit(None)
+        for name, words in reversed(COLUMN_WORDS):
+            fits = (head == "amount") if name == "amount" else _has_any(head, words, strict)
+            role = F.when(fits & ~F.array_contains(roles, name), name).otherwise(role)
+        return F.concat(roles, F.array(F.coalesce(role, F.lit(""))))
+
+    def spare_amount(heads: Column, roles: Column) -> Column:
+        # Without a plain "amount" column, the first unclaimed header that holds the word.
+        loose = F.zip_with(
+            heads, roles, lambda h, r: F.when((r == "") & F.contains(h, F.lit("amount")), "amount").otherwise(r)
+        )
+        return F.when(F.array_contains(roles, "amount"), roles).otherwise(loose)
+
+    def indexes(heads: Column, roles: Column) -> Column:
+        def at(role: str) -> Column:
+            return F.when(F.array_contains(roles, role), (F.array_position(roles, role) - 1).cast("int"))
+
+        named = F.transform(heads, lambda h: F.contains(h, F.lit("transaction date")))
+        by_name = F.when(F.array_contains(named, True), (F.array_position(named, True) - 1).cast("int"))
+        return F.struct(*[at(r).alias(r) for r in ROLES], F.coalesce(by_name, at("date")).alias("transaction_date"))
+
+    return let(
+        F.transform(cells, text.one_line),
+        lambda heads: let(
+            F.aggregate(heads, none, claim),
+            lambda roles: let(spare_amount(heads, roles), lambda final: indexes(heads, final)),
+        ),
     )
 
 

@@ -1,10 +1,25 @@
-"""Counters of a run."""
+"""Counters of a run, kept as rows (section, item, value) so that no list has to fit one record."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Text of the report, in its order.
+SECTIONS = (
+    ("files_found", "Files found:     "),
+    ("files_new", "Files new:       "),
+    ("files_flagged", "Files flagged:   "),
+    ("files_errored", "Files errored:   "),
+    ("rows_added", "Rows added:      "),
+    ("rows_review", "Review rows:     "),
+    ("rows_superseded", "Superseded rows: "),
+    ("new_supplier", "New suppliers:   "),
+    ("unmatched_bank", "Unmatched bank:  "),
+    ("unmatched_expense", "Unmatched expense: "),
+    ("error", "Errors:"),
+)
+
 
 def stage_counters(files: DataFrame) -> DataFrame:
     """Per stage: found, new, flagged, errored, rows_added of files(stage, is_new, status, rows_added)."""
@@ -30,71 +45,74 @@ def rows_per_file(files: DataFrame, new_rows: DataFrame) -> DataFrame:
 
 def blocked(rows: DataFrame, statements: DataFrame) -> DataFrame:
     """One row: whether a Review row or a flagged statement holds the run back."""
-    review = rows.agg(F.coalesce(F.bool_or(F.col("status") == "Review"), F.lit(False)).alias("review")).withColumn("one", F.lit(1))
-    flagged = statements.agg(F.coalesce(F.bool_or("flagged"), F.lit(False)).alias("flagged")).withColumn("one", F.lit(1))
-    return review.join(flagged, "one").select((F.col("review") | F.col("flagged")).alias("blocked"))
+    hits = rows.select((F.col("status") == "Review").alias("hit")).unionByName(
+        statements.select(F.col("flagged").alias("hit"))
+    )
+    return hits.agg(F.coalesce(F.bool_or("hit"), F.lit(False)).alias("blocked"))
+
+
+def count_row(frame: DataFrame, section: str) -> DataFrame:
+    return frame.agg(F.count(F.lit(1)).alias("value")).select(
+        F.lit(section).alias("section"), F.lit("").alias("item"), "value"
+    )
+
+
+def item_rows(frame: DataFrame, section: str, item: Column) -> DataFrame:
+    """Distinct items with how often each occurs."""
+    return frame.groupBy(item.alias("item")).agg(F.count(F.lit(1)).alias("value")).select(
+        F.lit(section).alias("section"), "item", "value"
+    )
+
+
+def counter_rows(counters: DataFrame) -> DataFrame:
+    """Stage counters as (section, item, value)."""
+    fields = [("files_found", "found"), ("files_new", "new"), ("files_flagged", "flagged"), ("files_errored", "errored"), ("rows_added", "rows_added")]
+    entries = F.array(*[F.struct(F.lit(s).alias("section"), F.col("stage").alias("item"), F.col(c).cast("bigint").alias("value")) for s, c in fields])
+    return counters.select(F.explode(entries).alias("e")).select("e.*")
 
 
 def run_summary(
-    counters: DataFrame, rows: DataFrame, new_suppliers: DataFrame, errors: DataFrame, run_ts: str, dry_run: bool = False
+    counters: DataFrame,
+    rows: DataFrame,
+    replaced: DataFrame,
+    new_suppliers: DataFrame,
+    unmatched_txns: DataFrame,
+    unmatched_rows: DataFrame,
+    errors: DataFrame,
 ) -> DataFrame:
-    """One row with per-stage maps, counts and sorted name lists.
-
-    Name lists hold distinct new suppliers and file errors of this run.
-    """
-    per_stage = counters.agg(
-        *[
-            F.map_from_entries(F.array_sort(F.collect_list(F.struct("stage", c)))).alias(f"files_{c}" if c != "rows_added" else c)
-            for c in ("found", "new", "flagged", "errored", "rows_added")
-        ]
-    ).withColumn("one", F.lit(1))
-    counts = rows.agg(
-        F.count_if(F.col("status") == "Review").alias("rows_review"),
-        F.count_if(F.col("status") == "Superseded").alias("rows_superseded"),
-    ).withColumn("one", F.lit(1))
-    names = new_suppliers.agg(F.array_sort(F.collect_set("company")).alias("new_suppliers")).withColumn("one", F.lit(1))
-    problems = errors.agg(F.array_sort(F.collect_list("error")).alias("errors")).withColumn("one", F.lit(1))
-    return (
-        per_stage.join(counts, "one")
-        .join(names, "one")
-        .join(problems, "one")
-        .drop("one")
-        .withColumn("started", F.lit(run_ts))
-        .withColumn("dry_run", F.lit(dry_run))
-    )
+    """All counters of a run; new suppliers and errors are listed item by item."""
+    parts = [
+        counter_rows(counters),
+        count_row(rows.where("status = 'Review'"), "rows_review"),
+        count_row(replaced, "rows_superseded"),
+        item_rows(new_suppliers, "new_supplier", F.col("company")),
+        count_row(unmatched_txns, "unmatched_bank"),
+        count_row(unmatched_rows, "unmatched_expense"),
+        item_rows(errors, "error", F.col("error")),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def as_json(summary: DataFrame) -> DataFrame:
-    return summary.select(F.to_json(F.struct(*summary.columns)).alias("json"))
+    """One JSON object per counter."""
+    return summary.select(F.to_json(F.struct("section", "item", "value")).alias("json"))
 
 
 def summary_lines(summary: DataFrame) -> DataFrame:
-    """Readable text of a run summary, one row per line: (line_no, line)."""
-
-    def per_stage(name: str):
-        entries = F.array_sort(F.map_entries(name))
-        return F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit(": "), e["value"].cast("string"))), ", ")
-
-    none = F.when(F.size("new_suppliers") == 0, "none").otherwise(F.array_join("new_suppliers", ", "))
-    total_new = F.aggregate(F.map_values("files_new"), F.lit(0).cast("bigint"), lambda a, x: a + x)
-    full = F.flatten(
-        F.array(
-            F.array(
-                F.concat(F.lit("=== run "), F.col("started"), F.when(F.col("dry_run"), " (dry run)").otherwise("")),
-                F.concat(F.lit("Files found:     "), per_stage("files_found")),
-                F.concat(F.lit("Files new:       "), per_stage("files_new")),
-                F.concat(F.lit("Files flagged:   "), per_stage("files_flagged")),
-                F.concat(F.lit("Files errored:   "), per_stage("files_errored")),
-                F.concat(F.lit("Rows added:      "), per_stage("rows_added")),
-                F.concat(F.lit("Review rows:     "), F.col("rows_review").cast("string")),
-                F.concat(F.lit("Superseded rows: "), F.col("rows_superseded").cast("string")),
-                F.concat(F.lit("New suppliers:   "), none),
-            ),
-            F.when(F.size("errors") > 0, F.concat(F.array(F.lit("Errors:")), F.transform("errors", lambda e: F.concat(F.lit("  "), e)))).otherwise(
-                F.array().cast("array<string>")
-            ),
-        )
+    """Readable report rows (line_no, item, line), sorted by line number and item."""
+    label, number = F.lit(""), F.lit(0)
+    for i, (section, title) in enumerate(SECTIONS, start=1):
+        label = F.when(F.col("section") == section, title).otherwise(label)
+        number = F.when(F.col("section") == section, i).otherwise(number)
+    value = F.col("value").cast("string")
+    body = (
+        F.when(F.col("section").isin("new_supplier", "error"), F.col("item"))
+        .when(F.col("item") == "", value)
+        .otherwise(F.concat("item", F.lit(": "), value))
+    )
+    return summary.select(number.cast("bigint").alias("line_no"), "item", F.concat(label, body).alias("line")).orderBy(
+        "line_no", "item"
     )
-    idle = F.array(F.concat(F.col("started"), F.lit(" nothing to do (0 new files)")))
-    lines = F.when(total_new == 0, idle).otherwise(full)
-    return summary.select(F.posexplode(lines).alias("line_no", "line"))

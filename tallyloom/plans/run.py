@@ -68,7 +68,6 @@ def plan_run(
     run_ts: str,
     cfg: Settings = DEFAULTS,
     decisions: DataFrame | None = None,
-    dry_run: bool = False,
 ) -> RunResult:
     """Next tables after handling the files not in the ledger.
 
@@ -203,15 +202,15 @@ def plan_run(
     gate = summary.blocked(every, status).first()["blocked"] if cfg.block_on_flags else False
     errors = [("blocked: flags present",)] if gate else []
     told = summary.run_summary(
-        summary.stage_counters(files), every.unionByName(replaced_rows), new_names,
-        spark.createDataFrame(errors, "error string"), run_ts, dry_run,
+        summary.stage_counters(files), every, replaced_rows, new_names, unmatched, result.unmatched_rows,
+        spark.createDataFrame(errors, "error string"),
     )
     review = found_suppliers.review.unionByName(later.review)
     return RunResult(False, gate, entries_log, next_purchases, next_bank, aliases, pending, review, told)
 
 
 def publish_run(store: state.Store, result: RunResult, run_id: str, ord: int) -> None:
-    """Store the tables of a run. Nothing is stored for an empty, blocked or dry run."""
+    """Store the tables of a run; an empty or blocked run stores nothing, and a dry run skips this call."""
     if result.nothing_to_do or result.blocked:
         return
     store.stage("purchases", result.purchases, run_id)

@@ -16,7 +16,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyloom.durable import Scratch
 from tallyloom.functions import dates, money, text
+from tallyloom.functions.bind import let
 from tallyloom.operators import statements as st
 from tallyloom.settings import DEFAULTS, Settings
 
@@ -63,20 +65,22 @@ def _split_cells(line, mark: str):
 
 
 def csv_rows(lines: DataFrame, default_year: int | None = None) -> DataFrame:
-    """Table rows of CSV lines. The delimiter of a file is the first of comma, semicolon, tab under
-    which one of its first lines reads as a header; a byte order mark is dropped."""
+    """Table rows of CSV lines. The delimiter of a file is the one of comma, semicolon, tab that cuts
+    a header among its first lines into the most cells; a byte order mark is dropped."""
     clean = lines.withColumn("line", F.regexp_replace("line", "^﻿|\r$", ""))
     top = clean.where(F.col("row_no") < st.HEADER_SEARCH_LINES)
     tries = top.select(
         "source_file",
-        *[st.is_header(_split_cells(F.col("line"), mark)).alias(name) for name, mark in DELIMITERS.items()],
-    )
-    marks = tries.groupBy("source_file").agg(
-        *[F.bool_or(name).alias(name) for name in DELIMITERS]
+        *[
+            let(_split_cells(F.col("line"), mark), lambda c: F.when(st.is_header(c), F.size(c)).otherwise(0)).alias(name)
+            for name, mark in DELIMITERS.items()
+        ],
     )
+    marks = tries.groupBy("source_file").agg(*[F.max(name).alias(name) for name in DELIMITERS])
+    widest = F.greatest(*DELIMITERS)
     pick = F.lit(None).cast("string")
     for name, mark in reversed(DELIMITERS.items()):
-        pick = F.when(F.col(name), F.lit(mark)).otherwise(pick)
+        pick = F.when((F.col(name) > 0) & (F.col(name) == widest), F.lit(mark)).otherwise(pick)
     chosen = marks.select("source_file", pick.alias("mark")).where("mark is not null")
     cells = F.when(F.col("mark") == ",", _split_cells(F.col("line"), ","))
     for mark in (";", "\t"):
@@ -112,14 +116,14 @@ def _whole_csv(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def csv_file_rows(files: DataFrame, default_year: int | None = None) -> DataFrame:
     """Table rows of CSV files. Files with a quoted line break go through a full CSV reader, one
     file at a time; all others are read line by line in the JVM."""
-    lines = lines_of(files)
-    odd = (F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))) % 2 == 1
-    broken = lines.where(odd).select("source_file").distinct()
-    plain = csv_rows(lines.join(broken, "source_file", "left_anti"), default_year)
+    # A line with an odd number of quotes opens or closes a cell that spans lines.
+    broken = F.exists(F.split("content", "\n"), lambda line: F.length(F.regexp_replace(line, '[^"]', "")) % 2 == 1)
+    marked = files.withColumn("broken", broken)
+    plain = csv_rows(lines_of(marked.where("not broken")), default_year)
     sample = F.substring("content", 1, 4096)
     counts = [F.length(sample) - F.length(F.replace(sample, F.lit(m), F.lit(""))) for m in DELIMITERS.values()]
     mark = F.when(F.greatest(*counts) == counts[0], ",").when(F.greatest(*counts) == counts[1], ";").otherwise("\t")
-    quoted = files.join(broken, "source_file").select("source_file", "content", mark.alias("mark"))
+    quoted = marked.where("broken").select("source_file", "content", mark.alias("mark"))
     whole = quoted.mapInPandas(_whole_csv, ROWS).withColumn("year_hint", F.lit(default_year).cast("int"))
     return plain.unionByName(whole)
 
@@ -238,25 +242,24 @@ def statement_tables(cells: DataFrame) -> DataFrame:
     )
 
 
-def html_rows(files: DataFrame) -> DataFrame:
-    """Table rows of the best statement table of each HTML file, with its column map.
+def html_body(cells: DataFrame, files: DataFrame) -> DataFrame:
+    """Body rows of the best statement table of each HTML file, with its column map.
 
     The best table has a header that reads like a statement and the most body rows.
     """
-    cells = html_cells(files)
     heads = statement_tables(cells)
     best = heads.groupBy("source_file").agg(
         F.max_by(F.struct("table_no", "head"), F.struct("body", -F.col("table_no"))).alias("best")
     )
-    chosen = best.select("source_file", F.col("best.table_no").alias("table_no"), F.col("best.head").alias("head"))
-    years = files.select("source_file", dates.statement_period(page_text(F.col("content"))).alias("period"))
-    body = (
-        cells.join(chosen, ["source_file", "table_no"])
-        .where((F.col("row_no") != F.col("head.row_no")) & ~F.col("all_th"))
-        .withColumn("cols", st.header_columns(F.col("head.cells")))
-        .where("cols.date is not null and cols.description is not null")
-    )
-    return body.join(years, "source_file").select(
+    chosen = best.select(
+        "source_file",
+        F.col("best.table_no").alias("table_no"),
+        F.col("best.head.row_no").alias("head_no"),
+        st.header_columns(F.col("best.head.cells")).alias("cols"),
+    ).where("cols.date is not null and cols.description is not null")
+    periods = files.select("source_file", dates.statement_period(page_text(F.col("content"))).alias("period"))
+    body = cells.join(chosen, ["source_file", "table_no"]).where("row_no <> head_no and not all_th")
+    return body.join(periods, "source_file").select(
         "source_file",
         F.lit("html").alias("layout"),
         "row_no",
@@ -268,16 +271,24 @@ def html_rows(files: DataFrame) -> DataFrame:
     )
 
 
-def parse_csv(files: DataFrame, cfg: Settings = DEFAULTS, default_year: int | None = None) -> DataFrame:
-    return st.to_transactions(st.with_header(csv_file_rows(files, default_year)), cfg)
+def _finish(body: DataFrame, scratch: Scratch, cfg: Settings) -> DataFrame:
+    """Transactions of body rows. Typed rows are written once: numbering and bounds read them again."""
+    typed = scratch.write(st.typed_rows(body), "typed")
+    return st.statement_bounds(st.stable_refs(typed, cfg)).select(*st.TXN)
 
 
 def parse_csv_lines(lines: DataFrame, cfg: Settings = DEFAULTS, default_year: int | None = None) -> DataFrame:
-    return st.to_transactions(st.with_header(csv_rows(lines, default_year)), cfg)
+    scratch = Scratch(lines.sparkSession, "csv")
+    rows = scratch.write(csv_rows(lines, default_year), "rows")
+    return _finish(st.with_header(rows), scratch, cfg)
+
+
+def parse_csv(files: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
+    return _parse_with(READERS[1], files, cfg)[0]
 
 
 def parse_html(files: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
-    return st.to_transactions(html_rows(files), cfg)
+    return _parse_with(READERS[0], files, cfg)[0]
 
 
 # First and last brace of a reply; prose and fences around them are ignored.
@@ -323,26 +334,32 @@ def parse_responses(replies: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Reader:
+    """One statement format: table rows of files, the files it claims, and body rows with a column map."""
+
     name: str
     suffixes: tuple[str, ...]
-    parse: Callable[[DataFrame, Settings], DataFrame]
+    rows: Callable[[DataFrame], DataFrame]
     claims: Callable[[DataFrame], DataFrame]
+    body: Callable[[DataFrame, DataFrame], DataFrame]
 
 
-def _csv_claims(files: DataFrame) -> DataFrame:
-    return csv_file_rows(files).where(F.col("row_no") < st.HEADER_SEARCH_LINES).where(
-        st.is_header(F.col("cells"))
-    ).select("source_file").distinct()
+def _csv_claims(rows: DataFrame) -> DataFrame:
+    top = rows.where(F.col("row_no") < st.HEADER_SEARCH_LINES).where(st.is_header(F.col("cells")))
+    return top.select("source_file").distinct()
 
 
-def _html_claims(files: DataFrame) -> DataFrame:
-    return statement_tables(html_cells(files)).select("source_file").distinct()
+HTML = Reader(
+    "html", (".html", ".htm"), html_cells, lambda cells: statement_tables(cells).select("source_file").distinct(), html_body
+)
+CSV = Reader("csv", (".csv",), csv_file_rows, _csv_claims, lambda rows, files: st.with_header(rows))
+READERS: list[Reader] = [HTML, CSV]
 
 
-READERS: list[Reader] = [
-    Reader("html", (".html", ".htm"), parse_html, _html_claims),
-    Reader("csv", (".csv",), parse_csv, _csv_claims),
-]
+def _parse_with(reader: Reader, files: DataFrame, cfg: Settings) -> tuple[DataFrame, DataFrame]:
+    """(transactions, claimed files) of one reader; its table rows are written once."""
+    scratch = Scratch(files.sparkSession, reader.name)
+    rows = scratch.write(reader.rows(files), "rows")
+    return _finish(reader.body(rows, files), scratch, cfg), reader.claims(rows)
 
 
 def parse_statements(
@@ -350,15 +367,16 @@ def parse_statements(
 ) -> tuple[DataFrame, DataFrame]:
     """(transactions, files with reader and flagged). Readers are tried in order and the first to
     claim a file wins; a file no reader claims is flagged and taken from `replies` when listed there."""
-    todo = files.withColumn("suffix", F.lower(text.file_suffix(text.file_name(F.col("source_file")))))
+    files = Scratch(files.sparkSession, "files").write(files.select("source_file", "content"), "content")
+    suffix = F.lower(text.file_suffix(text.file_name(F.col("source_file"))))
     txns: DataFrame | None = None
     taken: DataFrame | None = None
     for reader in READERS if readers is None else readers:
-        mine = todo.where(F.col("suffix").isin(*reader.suffixes)).drop("suffix")
+        mine = files.where(suffix.isin(*reader.suffixes))
         if taken is not None:
             mine = mine.join(taken, "source_file", "left_anti")
-        claimed = reader.claims(mine).withColumn("reader", F.lit(reader.name))
-        parsed = reader.parse(mine, cfg)
+        parsed, claimed = _parse_with(reader, mine, cfg)
+        claimed = claimed.withColumn("reader", F.lit(reader.name))
         txns = parsed if txns is None else txns.unionByName(parsed)
         taken = claimed if taken is None else taken.unionByName(claimed)
     status = files.select("source_file").join(taken, "source_file", "left").select(
