@@ -68,7 +68,7 @@ def _best(slice_: _Slice, norm: str, k: int) -> list[tuple[int, float]]:
     found: list[tuple[float, int]] = []
     floor = -1.0
     for i in np.argsort(-top, kind="stable"):
-        if len(found) >= k and top[i] < floor:
+        if len(found) >= k and top[i] < floor - 1e-9:
             break
         found.append((-token_set_ratio(norm, slice_.norms[i]), int(i)))
         if len(found) >= k:
