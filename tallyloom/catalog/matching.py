@@ -169,11 +169,11 @@ _DUP = f"""WITH dim AS (SELECT supplier, min(pos) AS pos, arg_min(count, pos) AS
   dims AS (SELECT *, {sql_norm('supplier')} AS canon FROM dim),
   pairs AS (SELECT a.pos AS pa, b.pos AS pb, a.canon AS x, b.canon AS y FROM dims a JOIN dims b ON a.pos < b.pos),
   scored AS ({sql_token_set('pairs', 'pa, pb')}),
-  hits AS (SELECT *, starts_with(x || ' ', y || ' ') OR starts_with(y || ' ', x || ' ') AS leading FROM scored),
-  shown AS (SELECT CASE WHEN leading THEN 100.0::DOUBLE ELSE score END AS score, a.supplier AS supplier_a, a.n AS count_a,
+  hits AS (SELECT *, starts_with(x || ' ', y || ' ') OR starts_with(y || ' ', x || ' ') AS led FROM scored),
+  shown AS (SELECT CASE WHEN led THEN 100.0::DOUBLE ELSE score END AS score, a.supplier AS supplier_a, a.n AS count_a,
       b.supplier AS supplier_b, b.n AS count_b, CASE WHEN a.n > b.n OR (a.n = b.n AND length(a.supplier) >= length(b.supplier))
       THEN a.supplier ELSE b.supplier END AS suggested_canonical FROM hits JOIN dims a ON a.pos = pa JOIN dims b ON b.pos = pb
-      WHERE score >= 85 OR (leading AND least(length(x), length(y)) >= 4))"""
+      WHERE score >= 85 OR (led AND least(length(x), length(y)) >= 4))"""
 
 
 @query("E-13", f"{_DUP} SELECT * REPLACE (round(score, 6) AS score) FROM shown")

@@ -14,9 +14,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.durable import Scratch
 from tallyloom.functions import money, text
 from tallyloom.functions.scorers import scorer
 from tallyloom.operators import matching, ordered
+from tallyloom.operators.expenses import PURCHASE, canonical_category
 from tallyloom.settings import DEFAULTS, NO_BANK_TXN_NOTE, NO_RECEIPT_NOTE, RECEIPT_ARRIVED, Settings
 
 
@@ -119,10 +121,12 @@ def reconcile(
     t, r = match_items(active, free)
     how = scorer(score) if isinstance(score, str) else score
     pairs = matching.match_one_to_one(t, r, cfg.match_window_days, how, cfg.segment_rows)
-    matched = (
+    # Five results read the matches, so they are computed once and written.
+    matched = Scratch(txns.sparkSession, "reconcile").write(
         pairs.withColumnsRenamed({"t_seq": "txn_seq", "r_seq": "row_id"})
         .join(active.select("txn_seq", "ref", F.col("source_file").alias("txn_file"), "is_old"), "txn_seq")
-        .join(free.select("row_id", "source_file"), "row_id")
+        .join(free.select("row_id", "source_file"), "row_id"),
+        "matched",
     )
     claimed = (
         free.join(matched.select("row_id", "ref"), "row_id")
@@ -158,8 +162,6 @@ def bank_only_purchases(
     unmatched: DataFrame, categories: DataFrame, run_ts: str, cfg: Settings = DEFAULTS
 ) -> DataFrame:
     """Review rows for debits without receipt. `unmatched` carries canonical, default_category, is_new."""
-    from tallyloom.operators.expenses import PURCHASE, canonical_category
-
     known = canonical_category(unmatched, "default_category", categories, "category")
     amount = money.round_money(F.col("amount"))
     return known.select(

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.durable import Scratch
 from tallyloom.functions import text
 from tallyloom.operators import ordered, probe
 from tallyloom.settings import DEFAULTS, Settings
@@ -169,16 +170,20 @@ def resolve_norms(
 ) -> tuple[DataFrame, DataFrame]:
     """(norm, canonical, score, method) for distinct names, and the review table."""
     index, aliases = supplier_index(book.suppliers, cfg), alias_index(book.aliases, cfg)
+    # Names and candidates are read by several steps; each is computed once and written.
+    scratch = Scratch(norms.sparkSession, "resolve")
+    norms = scratch.write(norms, "norms")
     by_alias = alias_tier(norms, aliases)
     rest = norms.join(by_alias, "norm", "left_anti")
     by_exact = exact_tier(rest, index)
-    rest = rest.join(by_exact, "norm", "left_anti")
+    rest = scratch.write(rest.join(by_exact, "norm", "left_anti"), "rest")
     ranked = rank_candidates(
         guard_single_word(fuzzy_candidates(rest, index, cfg)),
         compact_hits(rest, index, aliases),
         containment_hits(rest, index),
         index,
     )
+    ranked = scratch.write(ranked, "ranked")
     routed = route(ranked, rest, cfg)
     review = review_table(ranked, routed)
 
