@@ -77,10 +77,12 @@ PERIOD_PATTERNS = (
 
 
 def statement_period(text: Column) -> Column:
-    """struct(start, end) of the first wording that yields two dates, else null."""
+    """struct(start, end) of the first wording that yields two dates, else null. An end printed
+    without a year takes the year of the start."""
     tries = []
     for rx in PERIOD_PATTERNS:
-        start, end = (parse_date(F.regexp_extract(text, rx, i)) for i in (1, 2))
+        start = parse_date(F.regexp_extract(text, rx, 1))
+        end = parse_date(F.regexp_extract(text, rx, 2), F.year(start))
         tries.append(F.when(start.isNotNull() & end.isNotNull(), F.struct(start.alias("start"), end.alias("end"))))
     return F.coalesce(*tries)
 

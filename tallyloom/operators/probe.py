@@ -77,6 +77,13 @@ def _best(slice_: _Slice, norm: str, k: int) -> list[tuple[int, float]]:
     return [(i, -s) for s, i in sorted(found)[:k]]
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Few rows carry much work here, so they are spread over all cores whatever their size."""
+    spark = df.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(parts, key)
+
+
 def top_candidates(names: DataFrame, dim: DataFrame, k: int, slice_rows: int) -> DataFrame:
     """The k best dimension rows per `norm` by token-set ratio, ties by dimension order.
 
@@ -100,7 +107,7 @@ def top_candidates(names: DataFrame, dim: DataFrame, k: int, slice_rows: int) ->
                         rows.append((norm, held.pos[i], place + 1, score, plain))
                 yield pd.DataFrame(rows, columns=["norm", "pos", "place", "token_set", "plain"])
 
-        got = names.select("norm").mapInPandas(probe, TOP)
+        got = _spread(names.select("norm"), "norm").mapInPandas(probe, TOP)
         out = got if out is None else out.unionByName(got)
     if parts > 1:
         # k rows per name and slice remain, so this window stays small for every name.
@@ -134,6 +141,7 @@ def similar_pairs(dim: DataFrame, least: float, slice_rows: int) -> DataFrame:
                             rows.append((pos, held.pos[i], score, lead))
                 yield pd.DataFrame(rows, columns=["pos_a", "pos_b", "token_set", "leads"])
 
-        got = dim.where("norm <> ''").select("pos", "norm").repartition("pos").mapInPandas(probe, SIMILAR)
+        named = dim.where("norm <> ''").select("pos", "norm")
+        got = _spread(named, "pos").mapInPandas(probe, SIMILAR)
         out = got if out is None else out.unionByName(got)
     return out
