@@ -169,11 +169,14 @@ class Store:
         """Append once per batch: a repeated batch replaces its own rows."""
         rows.write.mode("overwrite").parquet(f"{self.root}/{name}/batch={batch}")
 
-    def read_log(self, name: str, schema: StructType | str) -> DataFrame:
+    def read_log(self, name: str, schema: StructType | str, besides: str | None = None) -> DataFrame:
+        """All appended rows, or all but those of one batch."""
         fs, p = self._fs(f"{self.root}/{name}")
-        if not fs.exists(p):
+        found = [s.getPath().toString() for s in fs.listStatus(p)] if fs.exists(p) else []
+        kept = [f for f in found if "/batch=" in f and not f.endswith(f"/batch={besides}")]
+        if not kept:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{self.root}/{name}")
+        return self.spark.read.schema(schema).parquet(*kept)
 
 
 def with_defaults(purchases: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
 
-from tallyloom.operators import intake, state
+from tallyloom.operators import intake, ordered, state
 from tallyloom.settings import DEFAULTS, Settings
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -50,9 +50,11 @@ def record_imports(store: state.Store, schema: str, table: str = "imported") ->
     """foreachBatch sink that adds rows the import table does not hold. Repeating a batch changes nothing."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        known = store.read_log(table, schema)
-        rows = state.ordered.first_per_key(batch, intake.KEY, [F.col("polled_at")])
-        store.append(table, rows.join(known.select(*intake.KEY), intake.KEY, "left_anti"), f"{batch_id:010d}")
+        # A repeated batch is compared with the others only, then replaces its own rows.
+        own = f"{batch_id:010d}"
+        known = store.read_log(table, schema, besides=own)
+        rows = ordered.first_per_key(batch, intake.KEY, [F.col("polled_at")])
+        store.append(table, rows.join(known.select(*intake.KEY), intake.KEY, "left_anti"), own)
 
     return write
 
@@ -75,17 +77,24 @@ class _Debounce(StatefulProcessor):
         self.handle.registerTimer(due)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
-        stamps = sorted(int(ms) for pdf in rows for ms in pdf["ms"])
+        # Events inside one pause length never part, so first, last and count per such slot are enough:
+        # what is held grows with the time covered, not with the events.
+        slots: dict[int, list[int]] = {}
+        for pdf in rows:
+            found = pdf["ms"].groupby(pdf["ms"] // self.quiet_ms).agg(["min", "max", "count"])
+            for slot, lo, hi, n in found.itertuples():
+                kept = slots.setdefault(int(slot), [int(lo), int(hi), 0])
+                kept[0], kept[1], kept[2] = min(kept[0], int(lo)), max(kept[1], int(hi)), kept[2] + int(n)
         due, events, last = self.waiting.get() if self.waiting.exists() else (None, 0, None)
         fired = []
-        for ms in stamps:
+        for _, (lo, hi, n) in sorted(slots.items()):
             # An event after the pause opens a new batch even when both arrive together.
-            if due is not None and ms >= due:
+            if due is not None and lo >= due:
                 moved = self._free_at(due)
-                if moved <= ms:
+                if moved <= lo:
                     fired.append((key[0], events, last, moved))
                     events = 0
-            events, last, due = events + 1, ms, ms + self.quiet_ms
+            events, last, due = events + n, hi, hi + self.quiet_ms
         if due is not None:
             self._arm(due, events, last)
         yield pd.DataFrame(fired, columns=["folder", "events", "last_ms", "fired_ms"])
