@@ -79,12 +79,20 @@ PERIOD_PATTERNS = (
 def statement_period(text: Column) -> Column:
     """struct(start, end) of the first wording that yields two dates, else null. An end printed
     without a year takes the year of the start."""
-    tries = []
-    for rx in PERIOD_PATTERNS:
-        start = parse_date(F.regexp_extract(text, rx, 1))
-        end = parse_date(F.regexp_extract(text, rx, 2), F.year(start))
-        tries.append(F.when(start.isNotNull() & end.isNotNull(), F.struct(start.alias("start"), end.alias("end"))))
-    return F.coalesce(*tries)
+
+    def found(start: Column, end_text: Column) -> Column:
+        return let(
+            parse_date(end_text, F.year(start)),
+            lambda end: F.when(
+                start.isNotNull() & end.isNotNull(), F.struct(start.alias("start"), end.alias("end"))
+            ),
+        )
+
+    def spoken(rx: str) -> Column:
+        parts = F.struct(F.regexp_extract(text, rx, 1).alias("a"), F.regexp_extract(text, rx, 2).alias("b"))
+        return let(parts, lambda p: let(parse_date(p["a"]), lambda start: found(start, p["b"])))
+
+    return F.coalesce(*[spoken(rx) for rx in PERIOD_PATTERNS])
 
 
 def row_year(date: Column, run_ts: Column) -> Column:
