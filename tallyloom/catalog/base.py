@@ -171,14 +171,17 @@ class Tables:
             F.lit("OK").alias("status"), F.lit("").alias("bank_ref"), F.lit("").alias("copied_to_master"),
         )
 
-    def txns(self) -> DataFrame:
-        """v_bank as transactions with the bounds of their statement."""
+    def txns(self, spans: bool = True) -> DataFrame:
+        """v_bank as transactions, with the bounds of their statement where they are needed."""
         rows = self.v_bank.select(
             "txn_seq", "date", "description", money.from_cents(F.col("cents")).alias("amount"), "direction",
             F.concat("stem", F.lit(".csv")).alias("source_file"), "ref",
         )
-        spans = rows.groupBy("source_file").agg(F.min("date").alias("statement_start"), F.max("date").alias("statement_end"))
-        return rows.join(spans, "source_file")
+        if not spans:
+            none = F.lit(None).cast("date")
+            return rows.withColumn("statement_start", none).withColumn("statement_end", none)
+        bounds = rows.groupBy("source_file").agg(F.min("date").alias("statement_start"), F.max("date").alias("statement_end"))
+        return rows.join(bounds, "source_file")
 
 
 def query(key: str, sql: str | None = None):

@@ -256,7 +256,7 @@ _BY_TEXT = _rounds(
 
 
 def _match(t, how: str):
-    active = t.txns().where("direction = 'debit'")
+    active = t.txns(spans=False).where("direction = 'debit'")
     a, b = reconcile.match_items(active, t.purchases())
     return matching.match_one_to_one(a, b, 5, scorers.scorer(how))
 
@@ -315,7 +315,7 @@ def _(t):
 
 
 def _statuses(t):
-    txns = t.txns()
+    txns = t.txns(spans=False)
     skip = txns.where("direction = 'credit'")
     hits = _match(t, "none").select(F.col("t_seq").alias("txn_seq"), F.concat(F.lit("expenses/"), F.col("r_seq").cast("string"), F.lit(".pdf")).alias("source_file"))
     return reconcile.bank_rows(txns, hits, skip, RUN)
