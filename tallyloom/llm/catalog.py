@@ -1,6 +1,6 @@
 """All queries of this subpackage; importing the operators registers them."""
 
-from tallyloom.llm import exact_dedup, language_id, mixing, packing, simhash, url_filter  # noqa: F401
+from tallyloom.llm import exact_dedup, language_id, mixing, packing, simhash, substring_dedup, url_filter  # noqa: F401
 from tallyloom.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
