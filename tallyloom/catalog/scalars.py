@@ -319,7 +319,7 @@ def _(t):
         F.when(p == "1-URGENT", F.date_format(d, "M/d"))
         .when(p == "2-HIGH", F.date_format(d, "MM/dd/yyyy"))
         .when(p == "3-MEDIUM", F.date_format(d, "MMM d, yyyy"))
-        .when(p == "5-LOW", F.date_format(d, "d MMMM yyyy"))
+        .when(p == "5-LOW", F.when(F.col("o_orderkey") % 2 == 0, F.date_format(d, "d MMMM yyyy")).otherwise(F.date_format(d, "dd-MMM-yy")))
         .otherwise(F.date_format(d, "yyyyMMdd"))
     )
     parsed = dates.parse_date(cell, F.lit(2020))

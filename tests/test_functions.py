@@ -22,8 +22,8 @@ def test_normalise(spark):
 
 
 def test_processor_words_never_empty_a_name(spark):
-    assert column(spark, ["sq mood fabrics", "pos debit visa", "paypal", "mood sq"], text.strip_processor) == [
-        "mood fabrics", "visa", "paypal", "mood sq",
+    assert column(spark, ["sq fern hill", "pos debit visa", "paypal", "fern sq"], text.strip_processor) == [
+        "fern hill", "visa", "paypal", "fern sq",
     ]
 
 
@@ -34,15 +34,15 @@ def test_canonical_path(spark):
 
 
 def test_filename_hint(spark):
-    given = ["2026-09-01 - Loom.pdf", "20260901_Loom Works (1).jpg", "2026-13-45 Loom receipt.pdf", "IMG_1.jpg", "2026-09-01.pdf"]
+    given = ["2026-09-01 - Loom (a) receipt (2 b) Receipt.pdf", "2026-09-01 receipts (x.pdf", "202609011 Loom.pdf", "2026-09-01 - Loom.pdf", "20260901_Loom Works (1).jpg", "2026-13-45 Loom receipt.pdf", "IMG_1.jpg", "2026-09-01.pdf"]
     d = dt.date(2026, 9, 1)
     got = [tuple(r) for r in column(spark, given, text.filename_hint)]
-    assert got == [(d, "Loom"), (d, "Loom Works"), (None, "Loom"), (None, None), (d, None)]
+    assert got == [(d, "Loom"), (d, "receipts (x"), (None, None), (d, "Loom"), (d, "Loom Works"), (None, "Loom"), (None, None), (d, None)]
 
 
 def test_strip_phrases(spark):
-    got = column(spark, ["Loom Works - Ann Lee", "Ann Lee", "Annlee Loom"], lambda c: text.strip_phrases(c, ["Ann Lee"]))
-    assert got == ["Loom Works", None, "Annlee Loom"]
+    got = column(spark, ["Loom Works - Ann Lee", "Ann Lee", "Annlee Loom", "a_-Ann  Lee", "Ann Lee - ann lee_x"], lambda c: text.strip_phrases(c, ["Ann Lee"]))
+    assert got == ["Loom Works", None, "Annlee Loom", "a_-Ann Lee", "ann lee_x"]
 
 
 def test_payment_method(spark):
@@ -65,9 +65,9 @@ def test_parse_amount(spark, cell, want):
 
 
 def test_parse_date(spark):
-    given = ["2024-03-09", "3/9/2024", "13/5/2024", "3/9/24", "Mar 9, 2024", "9 March 2024", "20240309", "3/9", "Mar 9", "2024-02-30", "x", "2024-03-09T10:00:00"]
+    given = ["09-Mar-24", "9 Mar 24", "Mar 9, 24", "2024-03-09", "3/9/2024", "13/5/2024", "3/9/24", "Mar 9, 2024", "9 March 2024", "20240309", "3/9", "Mar 9", "2024-02-30", "x", "2024-03-09T10:00:00"]
     d = dt.date(2024, 3, 9)
-    want = [d, d, dt.date(2024, 5, 13), d, d, d, d, dt.date(2020, 3, 9), dt.date(2020, 3, 9), None, None, d]
+    want = [d, d, d, d, d, dt.date(2024, 5, 13), d, d, d, d, dt.date(2020, 3, 9), dt.date(2020, 3, 9), None, None, d]
     assert column(spark, given, lambda c: dates.parse_date(c, F.lit(2020))) == want
 
 
