@@ -185,7 +185,7 @@ def _(t):
     )
     store = state.Store(t.spark, scratch.root)
     store.stage("purchases", old, "v1")
-    store.publish(["purchases"], "v1", 1)
+    store.publish("v1")
     rows = state.with_defaults(store.read("purchases", schemas.PURCHASES))
     return rows.select("row_id", "company", "status", money.cents(F.col("total")).alias("cents"), "copied_to_master")
 

@@ -34,14 +34,14 @@ def _(t):
         F.lit(1).cast("bigint").alias("count"),
     )
     store.stage("suppliers", suppliers, "seed")
-    store.publish(["suppliers"], "seed", 0)
+    store.publish("seed")
     categories = t.customer.select(F.col("c_mktsegment").alias("category")).distinct().withColumn("tax_line", F.lit(""))
     replies = t.v_replies.select("source_file", "response")
     scratch.write(_files(t), "files")
 
     def run(batch, run_id, number):
         saved = plan.read_saved(store, categories)
-        plan.publish_run(store, plan.plan_run(batch, replies, saved, "2024-05-06 07:08:09"), run_id, number + 1)
+        plan.publish_run(store, plan.plan_run(batch, replies, saved, "2024-05-06 07:08:09"), run_id)
 
     arriving = t.spark.readStream.schema(schemas.FILES).parquet(f"{scratch.root}/*-files")
     streams.sweep_then_follow(arriving, streams.run_per_batch(store, run), f"{scratch.root}/checkpoint").awaitTermination()

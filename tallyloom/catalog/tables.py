@@ -60,14 +60,17 @@ def _(t):
 def _bank_table(t):
     return t.txns().select(
         F.col("txn_seq").alias("bank_id"), "date", "description", "amount", "direction", F.lit("Matched").alias("status"),
-        F.lit("expenses/x.pdf").alias("matched_source"), "ref", F.col("source_file").alias("statement_file"),
+        F.concat(F.lit("expenses/"), F.col("txn_seq").cast("string"), F.lit(".pdf")).alias("matched_source"), "ref", F.col("source_file").alias("statement_file"),
         "statement_start", "statement_end", F.lit(RUN).cast("timestamp").alias("processed_on"),
     )
 
 
 @query("J-4", "SELECT row_id AS bank_id, 'No receipt' AS status, '' AS matched_source FROM v_purchases WHERE mark <> 'O' AND category = 'BUILDING'")
 def _(t):
-    return state.release(_bank_table(t), _replaced(t)[1]).select("bank_id", "status", "matched_source")
+    """References are printed a hundred times each; only the receipt tells their rows apart."""
+    repeated = F.concat(F.lit("R"), (F.col("bank_id") % 100).cast("string"))
+    gone = _replaced(t)[1].withColumn("released_ref", F.when(F.col("released_ref") == "", "").otherwise(F.concat(F.lit("R"), (F.col("row_id") % 100).cast("string"))))
+    return state.release(_bank_table(t).withColumn("ref", repeated), gone).select("bank_id", "status", "matched_source")
 
 
 @query("J-11", "SELECT relative_path FROM v_ledger WHERE relative_path NOT IN (SELECT relative_path FROM v_files WHERE stage = 'bank')")
@@ -103,7 +106,7 @@ def _(t):
     return t.v_history.join(keyed, F.lower("category") == F.col("key"), "left").select("idx", F.coalesce("tax_line", F.lit("")).alias("tax_line"))
 
 
-@query("FIL-5", "SELECT 'purchase' AS kind, company AS label, cents FROM v_purchases WHERE mark = 'P' UNION ALL SELECT 'bank', left(description, 50), cents FROM v_bank WHERE direction = 'debit'")
+@query("FIL-5", "SELECT 'purchase' AS kind, company AS label, cents FROM v_purchases WHERE mark = 'P' UNION ALL SELECT 'bank', description, cents FROM v_bank WHERE direction = 'debit'")
 def _(t):
     rows = state.upsert(*_changed(t), ["row_id"])
     bank = _bank_table(t).withColumn("status", F.when(F.col("direction") == "debit", "No receipt").otherwise("Ignored"))
@@ -184,9 +187,19 @@ def _(t):
 
 @query("SNK-2", "SELECT row_id, 'OK' AS status, cents FROM v_purchases")
 def _(t):
+    """Rows with ids from 0 in the first version, the others appended to it and stored as the second."""
     rows = t.purchases()
     late = t.v_purchases.where("mark = 'P'").select("row_id")
-    return _brief(rows.join(late, "row_id", "left_anti").unionByName(rows.join(late, "row_id", "left_semi")))
+    kept, added = rows.join(late, "row_id", "left_anti"), rows.join(late, "row_id", "left_semi")
+    store = _store(t, "appended")
+    store.stage("purchases", kept, "v1")
+    store.publish("v1")
+    base = store.read("purchases", kept.schema)
+    store.stage("purchases", state.append_rows(base, added.withColumn("notes", F.col("row_id").cast("string")), "row_id", [F.col("source_file")]), "v2")
+    store.publish("v2")
+    # Appended rows have new ids; the note keeps the order key they came from.
+    stored = store.read("purchases", kept.schema)
+    return _brief(stored.withColumn("row_id", F.coalesce(F.col("notes").try_cast("bigint"), F.col("row_id"))))
 
 
 @query("SNK-4", _UPSERT)
@@ -195,9 +208,9 @@ def _(t):
     before, changed = _changed(t)
     store = _store(t, "versions")
     store.stage("purchases", before, "v1")
-    store.publish(["purchases"], "v1", 1)
+    store.publish("v1")
     store.stage("purchases", state.upsert(before, changed, ["row_id"]), "v2")
-    store.publish(["purchases"], "v2", 2)
+    store.publish("v2")
     store.stage("purchases", changed, "v3")
     return _brief(store.read("purchases", schemas.PURCHASES))
 
@@ -206,7 +219,7 @@ def _(t):
 def _(t):
     store = _store(t, "aliases")
     store.stage("aliases", _merged(t).orderBy(F.lower("alias"), "alias"), "v1")
-    store.publish(["aliases"], "v1", 1)
+    store.publish("v1")
     return store.read("aliases", "alias string, supplier string")
 
 
@@ -460,11 +473,16 @@ def _stream(t, columns: list[str]):
 def _drain(t, frame, label: str, schema: str):
     """Run a stream over what is there and read the rows it wrote."""
     scratch = Scratch(t.spark, label)
-    t.spark.conf.set("spark.sql.streaming.stateStore.providerClass", streams.ROCKSDB)
-    query_ = (
-        frame.writeStream.format("parquet").option("checkpointLocation", f"{scratch.root}/checkpoint")
-        .option("path", f"{scratch.root}/rows").outputMode("append").trigger(availableNow=True).start()
-    )
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = t.spark.conf.get(key)
+    t.spark.conf.set(key, streams.ROCKSDB)
+    try:  # a query keeps the setting it started with
+        query_ = (
+            frame.writeStream.format("parquet").option("checkpointLocation", f"{scratch.root}/checkpoint")
+            .option("path", f"{scratch.root}/rows").outputMode("append").trigger(availableNow=True).start()
+        )
+    finally:
+        t.spark.conf.set(key, before)
     query_.awaitTermination()
     return t.spark.read.schema(schema).parquet(f"{scratch.root}/rows")
 
@@ -481,16 +499,29 @@ def _(t):
     return batches.select("folder", F.date_format("first_event", show).alias("first_event"), F.date_format("last_event", show).alias("last_event"), "events")
 
 
-@query("STM-1-stream")
+# A stream emits a batch once the newest event, less the lateness, is past its pause.
+_CLOSED = _QUIET.replace("GROUP BY folder, batch_no", "GROUP BY folder, batch_no HAVING max(ts) + INTERVAL 3600 SECOND <= (SELECT max(ts) FROM v_events) - INTERVAL 1800 SECOND")
+
+
+@query("STM-1-stream", _CLOSED)
 def _(t):
-    spells = streams.quiet_batches(_stream(t, ["folder", "ts"]), 3600)
-    return _drain(t, spells, "quiet", "folder string, first_event timestamp, last_event timestamp, events bigint, fires_at timestamp")
+    spells = streams.quiet_batches(_stream(t, ["folder", "ts"]), 3600, "30 minutes")
+    out = _drain(t, spells, "quiet", "folder string, first_event timestamp, last_event timestamp, events bigint, fires_at timestamp")
+    show = "yyyy-MM-dd HH:mm:ss"
+    return out.select("folder", F.date_format("first_event", show).alias("first_event"), F.date_format("last_event", show).alias("last_event"), "events")
+
+
+# An event after the pause closes a batch at once; the last one of a folder waits for the clock.
+_FIRED = _QUIET.replace("SELECT folder, strftime(min", "SELECT * FROM (SELECT folder, max(ts) AS at, lead(1) OVER (PARTITION BY folder ORDER BY batch_no) AS another, strftime(min")
+_FIRED = f"""{_FIRED}) WHERE another = 1 OR at + INTERVAL 3600 SECOND <= (SELECT max(ts) FROM v_events) - INTERVAL 1800 SECOND"""
 
 
-@query("STM-2")
+@query("STM-2", f"SELECT folder, events, last_event, strftime(at + INTERVAL 3600 SECOND, '%Y-%m-%d %H:%M:%S') AS fired FROM ({_FIRED})")
 def _(t):
-    fired = streams.debounce(_stream(t, ["folder", "ts"]), 3600)
-    return _drain(t, fired, "debounce", "folder string, events bigint, last_ms bigint, fired_ms bigint")
+    fired = streams.debounce(_stream(t, ["folder", "ts"]), 3600, "30 minutes")
+    out = _drain(t, fired, "debounce", "folder string, events bigint, last_ms bigint, fired_ms bigint")
+    at = lambda c: F.date_format(F.timestamp_millis(c), "yyyy-MM-dd HH:mm:ss")
+    return out.select("folder", "events", at("last_ms").alias("last_event"), at("fired_ms").alias("fired"))
 
 
 @query("STM-3", "SELECT count(*) AS events FROM @events")
@@ -522,13 +553,13 @@ _ONCE = "SELECT folder, name, sha256(props) AS content_hash FROM v_events GROUP
 
 @query("STM-5", _ONCE)
 def _(t):
-    """Stream with keyed dedup, then an import table no batch can fill twice."""
+    """A stream of listings into an import table no batch can fill twice."""
     scratch = Scratch(t.spark, "imports")
     store = state.Store(t.spark, scratch.root)
     schema = "folder string, name string, content_hash string, polled_at timestamp"
     listing = _stream(t, ["folder", "name", "content_hash", "ts"]).withColumnRenamed("ts", "polled_at")
     sink = streams.record_imports(store, schema)
-    streams.sweep_then_follow(streams.import_once(listing, "1 hour"), sink, f"{scratch.root}/checkpoint").awaitTermination()
+    streams.sweep_then_follow(listing, sink, f"{scratch.root}/checkpoint").awaitTermination()
     return store.read_log("imported", schema).select("folder", "name", "content_hash")
 
 
@@ -539,7 +570,7 @@ def _(t):
     prints = scratch.write(_prints(t), "prints")
     stream = t.spark.readStream.schema(prints.schema).parquet(f"{scratch.root}/*-prints")
     runs = _drain(
-        t, streams.settled(stream), "settled",
+        t, streams.settled(stream, "0 seconds").where("poll_id is not null"), "settled",
         "folder string, poll_id bigint, run_length bigint, is_settled boolean, over_time boolean",
     )
     poll = F.date_format(F.timestamp_seconds("poll_id"), "yyyy-MM-dd HH")

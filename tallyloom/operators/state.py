@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -44,10 +47,15 @@ def supersede(purchases: DataFrame, replaced: DataFrame, run_date: str) -> DataF
 
 
 def release(bank: DataFrame, superseded: DataFrame) -> DataFrame:
-    """Changed bank rows: the rows superseded receipts had claimed are open again."""
-    refs = superseded.where("released_ref <> ''").select(F.col("released_ref").alias("ref")).distinct()
+    """Changed bank rows: the rows superseded receipts had claimed are open again.
+
+    A reference may be printed twice, so the row must also name the receipt that let go.
+    """
+    claims = superseded.where("released_ref <> ''").select(
+        F.col("released_ref").alias("ref"), F.col("source_file").alias("matched_source")
+    )
     return (
-        bank.join(refs, "ref", "left_semi")
+        bank.join(claims.distinct(), ["ref", "matched_source"], "left_semi")
         .withColumn("status", F.lit("No receipt"))
         .withColumn("matched_source", F.lit(""))
         .select(*bank.columns)
@@ -91,6 +99,15 @@ def merge_aliases(existing: DataFrame, detected: DataFrame) -> DataFrame:
     return existing.select("alias", "supplier").unionByName(mine.select("alias", "supplier"))
 
 
+def append_rows(table: DataFrame, rows: DataFrame, key: str, order: list[Column]) -> DataFrame:
+    """The table with rows added at its end: keys go on after the largest one, in the order given."""
+    last = table.agg(F.max(key).alias("last")).first()["last"]
+    first = 0 if last is None else int(last) + 1
+    numbered = ordered.sequence(rows.drop(key), order, "__place")
+    added = numbered.withColumn(key, F.col("__place") + first).select(*table.columns)
+    return table.unionByName(added)
+
+
 def rewrite_paths(frame: DataFrame, columns: list[str], old: str, new: str, words: dict[str, tuple[str, str]] | None = None) -> DataFrame:
     """Frame with path prefixes and whole words rewritten; `changed` marks touched rows."""
     out, touched = frame, F.lit(False)
@@ -108,13 +125,13 @@ def rewrite_paths(frame: DataFrame, columns: list[str], old: str, new: str, word
 
 
 def review_queue(purchases: DataFrame, bank: DataFrame) -> DataFrame:
-    """What needs a look: Review purchases and bank rows without a receipt, texts shortened for print."""
+    """What needs a look: Review purchases and bank rows without a receipt."""
     rows = purchases.where("status = 'Review'").select(
         F.lit("purchase").alias("kind"), "date", F.col("company").alias("label"),
-        F.col("total").alias("amount"), F.substring("notes", 1, 60).alias("detail"),
+        F.col("total").alias("amount"), F.col("notes").alias("detail"),
     )
     open_rows = bank.where("status = 'No receipt'").select(
-        F.lit("bank").alias("kind"), "date", F.substring("description", 1, 50).alias("label"),
+        F.lit("bank").alias("kind"), "date", F.col("description").alias("label"),
         F.col("amount").alias("amount"), F.lit("").alias("detail"),
     )
     return rows.unionByName(open_rows)
@@ -127,56 +144,105 @@ def totals(purchases: DataFrame, keep: Column | None = None) -> DataFrame:
 
 
 class Store:
-    """Versioned tables in a shared folder.
+    """Tables and logs in a shared folder, with one writer.
 
-    A run writes `<table>/version=<run_id>` folders, then one pointer row naming the version of every
-    table. Readers follow the newest pointer, so a run that died half way is never seen.
+    Every write goes to a folder of its own, `<name>/<id>-<unique>`, so nothing published is ever overwritten.
+    A manifest names the folders that make up all tables and logs; the next one appears by a single rename.
+    A run that died before that left nothing visible, one that died after it is complete.
     """
 
+    #: Folders of one log before publishing merges the older ones, and how many recent ones stay apart.
+    MOST_PARTS, RECENT_PARTS = 32, 8
+
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
+        self._staged: dict[str, list[tuple[str, str, str]]] = {}
 
     def _fs(self, path: str):
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
-    def published(self) -> dict[str, str]:
-        """Newest version per table."""
-        fs, p = self._fs(f"{self.root}/published")
-        if not fs.exists(p):
-            return {}
-        rows = self.spark.read.schema("run_id string, name string, version string, ord bigint").json(f"{self.root}/published")
-        newest = rows.groupBy("name").agg(F.max_by("version", "ord").alias("version"))
-        return {r["name"]: r["version"] for r in newest.collect()}
+    def _names(self, folder: str) -> list[str]:
+        fs, p = self._fs(folder)
+        return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+    def manifest(self) -> dict:
+        """The newest published state: folder of each table, (batch, folder) list of each log."""
+        numbers = [n for n in self._names(f"{self.root}/published") if n.endswith(".json")]
+        if not numbers:
+            return {"number": 0, "run_id": None, "tables": {}, "logs": {}}
+        body = self.spark.read.text(f"{self.root}/published/{numbers[-1]}", wholetext=True).first()[0]
+        return json.loads(body)
+
+    def _folder(self, name: str, rows: DataFrame, label: str) -> str:
+        folder = f"{name}/{label}-{uuid.uuid4().hex}"
+        rows.write.parquet(f"{self.root}/{folder}")
+        return folder
 
     def read(self, name: str, schema: StructType | str) -> DataFrame:
         """Published rows of a table; columns an older version lacks are null."""
-        version = self.published().get(name)
-        if version is None:
+        folder = self.manifest()["tables"].get(name)
+        if folder is None:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}/version={version}")
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{folder}")
 
-    def stage(self, name: str, rows: DataFrame, run_id: str) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.root}/{name}/version={run_id}")
+    def read_log(self, name: str, schema: StructType | str, besides: str | None = None) -> DataFrame:
+        """All appended rows, or all but those of one batch."""
+        kept = [f"{self.root}/{folder}" for batch, folder in self.manifest()["logs"].get(name, []) if besides is None or batch != besides]
+        return self.spark.read.schema(schema).parquet(*kept) if kept else self.spark.createDataFrame([], schema)
 
-    def publish(self, names: list[str], run_id: str, ord: int) -> None:
-        """Make the staged versions visible with one small file."""
-        pointer = [(run_id, n, run_id, ord) for n in names]
-        frame = self.spark.createDataFrame(pointer, "run_id string, name string, version string, ord bigint")
-        frame.coalesce(1).write.mode("overwrite").json(f"{self.root}/published/run={run_id}")
+    def stage(self, name: str, rows: DataFrame, run_id: str) -> None:
+        """Write the next version of a table; publish() makes it visible."""
+        self._staged.setdefault(run_id, []).append(("table", name, self._folder(name, rows, run_id)))
+
+    def stage_log(self, name: str, rows: DataFrame, run_id: str) -> None:
+        """Write rows to add to a log; publish() makes them visible, in place of earlier rows of this run."""
+        self._staged.setdefault(run_id, []).append(("log", name, self._folder(name, rows, run_id)))
+
+    def publish(self, run_id: str) -> None:
+        """Make all that was staged for the run visible together."""
+        state = self.manifest()
+        for kind, name, folder in self._staged.pop(run_id, []):
+            if kind == "table":
+                state["tables"][name] = folder
+            else:
+                parts = [p for p in state["logs"].get(name, []) if p[0] != run_id]
+                state["logs"][name] = self._merged(name, [*parts, [run_id, folder]])
+        state |= {"number": state["number"] + 1, "run_id": run_id}
+        final = f"{self.root}/published/{state['number']:012d}.json"
+        fs, draft = self._fs(f"{self.root}/published/_{uuid.uuid4().hex}")
+        out = fs.create(draft)
+        out.write(bytearray(json.dumps(state), "utf-8"))
+        out.close()
+        if not fs.rename(draft, self._fs(final)[1]):
+            raise RuntimeError(f"{final} was published by another writer")
+
+    def _merged(self, name: str, parts: list) -> list:
+        """Older parts of a long log as one; a batch that may still be repeated keeps its own part."""
+        if len(parts) <= self.MOST_PARTS:
+            return parts
+        old, recent = parts[: -self.RECENT_PARTS], parts[-self.RECENT_PARTS:]
+        rows = self.spark.read.parquet(*[f"{self.root}/{folder}" for _, folder in old])
+        return [[None, self._folder(name, rows, "merged")], *recent]
 
     def append(self, name: str, rows: DataFrame, batch: str) -> None:
         """Append once per batch: a repeated batch replaces its own rows."""
-        rows.write.mode("overwrite").parquet(f"{self.root}/{name}/batch={batch}")
-
-    def read_log(self, name: str, schema: StructType | str, besides: str | None = None) -> DataFrame:
-        """All appended rows, or all but those of one batch."""
-        fs, p = self._fs(f"{self.root}/{name}")
-        found = [s.getPath().toString() for s in fs.listStatus(p)] if fs.exists(p) else []
-        kept = [f for f in found if "/batch=" in f and not f.endswith(f"/batch={besides}")]
-        if not kept:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*kept)
+        self.stage_log(name, rows, batch)
+        self.publish(batch)
+
+    def vacuum(self) -> None:
+        """Delete folders and manifests the newest manifest does not need. Nothing may be reading or writing."""
+        state = self.manifest()
+        needed = {*state["tables"].values(), *(f for parts in state["logs"].values() for _, f in parts)}
+        for name in [*state["tables"], *state["logs"]]:
+            for folder in self._names(f"{self.root}/{name}"):
+                if f"{name}/{folder}" not in needed:
+                    fs, path = self._fs(f"{self.root}/{name}/{folder}")
+                    fs.delete(path, True)
+        for n in self._names(f"{self.root}/published"):
+            if n != f"{state['number']:012d}.json":
+                fs, path = self._fs(f"{self.root}/published/{n}")
+                fs.delete(path, True)
 
 
 def with_defaults(purchases: DataFrame) -> DataFrame:

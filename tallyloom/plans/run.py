@@ -1,8 +1,8 @@
 """One bookkeeping run: new files in, updated tables out.
 
 `plan_run` turns the saved tables and the files of this run into the next version of every table.
-`publish_run` stages them and makes them visible together; the ledger comes last, so a run that
-died before its end is simply done again.
+`publish_run` stages them and makes them and the ledger visible together. A run that died before that
+is done again from the start; one that died after it finds its files in the ledger and has nothing to do.
 """
 
 from __future__ import annotations
@@ -209,7 +209,7 @@ def plan_run(
     return RunResult(False, gate, entries_log, next_purchases, next_bank, aliases, pending, review, told)
 
 
-def publish_run(store: state.Store, result: RunResult, run_id: str, ord: int) -> None:
+def publish_run(store: state.Store, result: RunResult, run_id: str) -> None:
     """Store the tables of a run; an empty or blocked run stores nothing, and a dry run skips this call."""
     if result.nothing_to_do or result.blocked:
         return
@@ -217,5 +217,5 @@ def publish_run(store: state.Store, result: RunResult, run_id: str, ord: int) ->
     store.stage("bank", result.bank, run_id)
     store.stage("aliases", result.aliases, run_id)
     store.stage("pending", result.pending, run_id)
-    store.publish(["purchases", "bank", "aliases", "pending"], run_id, ord)
-    store.append("ledger", result.ledger_entries, run_id)
+    store.stage_log("ledger", result.ledger_entries, run_id)
+    store.publish(run_id)

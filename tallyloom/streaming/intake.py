@@ -16,8 +16,12 @@ from tallyloom.settings import DEFAULTS, Settings
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def quiet_batches(events: DataFrame, quiet_seconds: int, lateness: str = "0 seconds") -> DataFrame:
-    """One row per folder and busy spell, emitted once no event came for `quiet_seconds`."""
+def quiet_batches(events: DataFrame, quiet_seconds: int, lateness: str) -> DataFrame:
+    """One row per folder and busy spell, emitted once no event came for `quiet_seconds`.
+
+    `lateness` is how far events may lag behind the newest one of any folder; later ones are not seen,
+    so it must cover the slowest source. A larger value costs delay, not rows.
+    """
     timed = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", lateness)
     spell = F.session_window("ts", f"{quiet_seconds} seconds")
     return (
@@ -39,15 +43,11 @@ def touched_folders(changes: DataFrame, every: str, folders: tuple[str, ...] = D
     )
 
 
-def import_once(listing: DataFrame, lateness: str) -> DataFrame:
-    """First sighting of each (folder, name, content_hash) within the watermark. Older history is
-    covered by the anti-join against `imported` in record_imports()."""
-    timed = listing.withColumn("polled_at", F.col("polled_at").cast("timestamp")).withWatermark("polled_at", lateness)
-    return timed.dropDuplicatesWithinWatermark(intake.KEY)
-
-
 def record_imports(store: state.Store, schema: str, table: str = "imported") -> Callable[[DataFrame, int], None]:
-    """foreachBatch sink that adds rows the import table does not hold. Repeating a batch changes nothing."""
+    """foreachBatch sink that adds rows the import table does not hold, however late they come.
+
+    The table alone decides what was seen before. Repeating a batch changes nothing.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # A repeated batch is compared with the others only, then replaces its own rows.
@@ -66,6 +66,7 @@ class _Debounce(StatefulProcessor):
     def __init__(self, quiet_ms: int, busy: list[tuple[int, int]]) -> None:
         self.quiet_ms, self.busy = quiet_ms, busy
 
+    # Argument names are those Spark passes by.
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.waiting = handle.getValueState("waiting", "due bigint, events bigint, last bigint")
@@ -76,13 +77,10 @@ class _Debounce(StatefulProcessor):
         self.waiting.update((due, events, last))
         self.handle.registerTimer(due)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
-        # Events inside one pause length never part, so first, last and count per such slot are enough:
-        # what is held grows with the time covered, not with the events.
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         slots: dict[int, list[int]] = {}
         for pdf in rows:
-            found = pdf["ms"].groupby(pdf["ms"] // self.quiet_ms).agg(["min", "max", "count"])
-            for slot, lo, hi, n in found.itertuples():
+            for slot, lo, hi, n in zip(pdf["slot"], pdf["lo"], pdf["hi"], pdf["n"]):
                 kept = slots.setdefault(int(slot), [int(lo), int(hi), 0])
                 kept[0], kept[1], kept[2] = min(kept[0], int(lo)), max(kept[1], int(hi)), kept[2] + int(n)
         due, events, last = self.waiting.get() if self.waiting.exists() else (None, 0, None)
@@ -108,7 +106,7 @@ class _Debounce(StatefulProcessor):
                     due, moved = due + max(1, self.quiet_ms // 4), True
         return due
 
-    def handleExpiredTimer(self, key, timers, expired) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         out = []
         if self.waiting.exists():
             due, events, last = self.waiting.get()
@@ -124,14 +122,32 @@ class _Debounce(StatefulProcessor):
         pass
 
 
-def debounce(events: DataFrame, quiet_seconds: int, busy: list[tuple[int, int]] = ()) -> DataFrame:
+def _slots(quiet_ms: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """First, last and number of events per folder and slot of one pause length, for the rows of a task.
+
+    Events inside one slot never part, so that is all the state needs; a busy folder's events are summed
+    up before they meet.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = pdf.groupby(["folder", pdf["ms"] // quiet_ms], dropna=False)["ms"].agg(["min", "max", "count"]).reset_index()
+            found.columns = ["folder", "slot", "lo", "hi", "n"]
+            yield found
+
+    return run
+
+
+def debounce(events: DataFrame, quiet_seconds: int, lateness: str, busy: list[tuple[int, int]] = ()) -> DataFrame:
     """(folder, events, last_ms, fired_ms): quiet-period batches that wait while the consumer is busy.
 
-    `busy` lists (from, until) in epoch milliseconds. Needs the RocksDB state store.
+    `busy` lists (from, until) in epoch milliseconds; `lateness` as in quiet_batches. Needs the RocksDB
+    state store.
     """
-    timed = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "0 seconds")
-    timed = timed.withColumn("ms", F.unix_millis("ts"))
-    return timed.groupBy("folder").transformWithStateInPandas(
+    timed = events.select("folder", F.unix_millis(F.col("ts").cast("timestamp")).alias("ms")).where("ms is not null")
+    slots = timed.mapInPandas(_slots(quiet_seconds * 1000), "folder string, slot bigint, lo bigint, hi bigint, n bigint")
+    slots = slots.withColumn("ts", F.timestamp_millis("hi")).withWatermark("ts", lateness)
+    return slots.groupBy("folder").transformWithStateInPandas(
         _Debounce(quiet_seconds * 1000, list(busy)),
         "folder string, events bigint, last_ms bigint, fired_ms bigint",
         "append",
@@ -140,15 +156,22 @@ def debounce(events: DataFrame, quiet_seconds: int, busy: list[tuple[int, int]]
 
 
 class _Settle(StatefulProcessor):
-    """Per folder: last fingerprint and how many polls in a row carried it."""
+    """Per folder: last fingerprint, how many polls in a row carried it, and since when the wait lasts."""
 
     def __init__(self, stable: int, wait_ms: int) -> None:
         self.stable, self.wait_ms = stable, wait_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.seen = handle.getValueState("seen", "n bigint, h1 bigint, h2 bigint, run bigint, started bigint")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
+    def _arm(self, started: int | None) -> None:
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if started is not None:
+            self.handle.registerTimer(started + self.wait_ms)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         polls = sorted(
             (int(ms), int(poll), int(n), int(h1), int(h2))
             for pdf in rows
@@ -159,29 +182,48 @@ class _Settle(StatefulProcessor):
         for ms, poll, *mark in polls:
             same = held is not None and list(held[:3]) == mark
             run = held[3] + 1 if same else 1
-            started = held[4] if held is not None else ms
-            held = (*mark, run, started)
-            out.append((key[0], poll, run, run >= self.stable, ms - started > self.wait_ms))
+            # A wait starts with the first poll after a settled one, and ends with it or by giving up.
+            started = held[4] if held is not None and held[4] >= 0 else ms
+            settled, over = run >= self.stable, ms - started > self.wait_ms
+            held = (*mark, run, -1 if settled or over else started)
+            out.append((key[0], poll, run, settled, over))
         if held is not None:
             self.seen.update(held)
-        yield pd.DataFrame(out, columns=["folder", "poll_id", "run_length", "is_settled", "over_time"])
+            self._arm(held[4] if held[4] >= 0 else None)
+        yield pd.DataFrame(out, columns=SETTLED)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """The longest wait is over and no poll came to tell: the folder is given up, the next poll waits anew."""
+        out = []
+        held = self.seen.get() if self.seen.exists() else None
+        if held is not None and held[4] >= 0:
+            self.seen.update((*held[:4], -1))
+            out.append((key[0], None, held[3], False, True))
+        yield pd.DataFrame(out, columns=SETTLED).astype({"poll_id": "Int64"})
 
     def close(self) -> None:
         pass
 
 
-def settled(prints: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
-    """(folder, poll_id, run_length, is_settled, over_time) for a stream of poll fingerprints."""
+SETTLED = ["folder", "poll_id", "run_length", "is_settled", "over_time"]
+
+
+def settled(prints: DataFrame, lateness: str, cfg: Settings = DEFAULTS) -> DataFrame:
+    """(folder, poll_id, run_length, is_settled, over_time) for a stream of poll fingerprints.
+
+    One row per poll, and one without poll_id for a wait that ran out between polls. `lateness` is how far
+    polls may lag behind the newest one. Needs the RocksDB state store.
+    """
+    polled = F.col("polled_at").cast("timestamp")
     flat = prints.select(
-        "folder", F.col("poll_id").cast("bigint").alias("poll_id"),
-        F.unix_millis(F.col("polled_at").cast("timestamp")).alias("ms"),
+        "folder", F.col("poll_id").cast("bigint").alias("poll_id"), polled.alias("ts"), F.unix_millis(polled).alias("ms"),
         F.col("print.n").alias("n"), F.col("print.h1").alias("h1"), F.col("print.h2").alias("h2"),
     )
-    return flat.groupBy("folder").transformWithStateInPandas(
+    return flat.withWatermark("ts", lateness).groupBy("folder").transformWithStateInPandas(
         _Settle(cfg.stable_polls, cfg.settle_max_wait_minutes * 60_000),
         "folder string, poll_id bigint, run_length bigint, is_settled boolean, over_time boolean",
         "append",
-        "none",
+        "eventTime",
     )
 
 

@@ -24,7 +24,7 @@ class Books:
         self.imports = root / "imports"
         self.store = Store(spark, f"file:{root}/store")
         self.store.stage("suppliers", spark.createDataFrame(SUPPLIERS, schemas.SUPPLIERS), "seed")
-        self.store.publish(["suppliers"], "seed", 0)
+        self.store.publish("seed")
         self.categories = spark.createDataFrame(CATEGORIES, schemas.CATEGORIES)
         self.replies = []
 
@@ -44,7 +44,7 @@ class Books:
         saved = plan.read_saved(self.store, self.categories)
         replies = self.spark.createDataFrame(self.replies, schemas.REPLIES)
         result = plan.plan_run(source.discover(self.spark, str(self.imports)), replies, saved, f"2024-04-0{self.n} 10:00:00")
-        plan.publish_run(self.store, result, f"run{self.n}", self.n)
+        plan.publish_run(self.store, result, f"run{self.n}")
         return result
 
     def purchases(self):
@@ -95,6 +95,58 @@ def test_runs(spark, tmp_path):
     assert {r.relative_path for r in ledger.where("status = 'Flagged'").collect()} == {"expenses/copy.pdf"}
 
 
+def test_a_run_that_dies_is_repeated_under_its_id(spark, tmp_path):
+    books = Books(spark, tmp_path)
+    books.receipt("2024-03-01 Loom.pdf", "one", date="2024-03-01", supplier_name="Loom Works Inc", total="12.50", sales_tax=0)
+    books.statement("march.csv", "Date,Description,Amount,Reference\n2024-03-03,SQ *LOOM WORKS,12.50,A1\n2024-03-09,MILL NORTH 12,7.00,A2\n")
+
+    class Died(Exception):
+        pass
+
+    def attempt(die_before: str | None) -> None:
+        """One attempt by a fresh process; die_before names the step that never happens."""
+        store = Store(spark, books.store.root)
+        if die_before:
+            def dead(*_):
+                raise Died
+
+            setattr(store, die_before, dead)
+        saved = plan.read_saved(store, books.categories)
+        replies = spark.createDataFrame(books.replies, schemas.REPLIES)
+        result = plan.plan_run(source.discover(spark, str(books.imports)), replies, saved, "2024-04-01 10:00:00")
+        plan.publish_run(store, result, "run1")
+
+    for step in ("stage_log", "publish"):
+        with pytest.raises(Died):
+            attempt(step)
+        assert books.purchases() == [] and books.store.read_log("ledger", schemas.LEDGER).isEmpty()
+    attempt(None)
+    rows, bank = books.purchases(), books.bank()
+    assert len(rows) == 2 and len(bank) == 2 and books.store.read_log("ledger", schemas.LEDGER).count() == 2
+    attempt(None)  # died after publishing, before the caller noted it
+    assert (books.purchases(), books.bank()) == (rows, bank) and books.store.read_log("ledger", schemas.LEDGER).count() == 2
+    books.store.vacuum()
+    assert (books.purchases(), books.bank()) == (rows, bank) and books.store.read_log("ledger", schemas.LEDGER).count() == 2
+
+
+def test_long_logs_are_merged(spark, tmp_path):
+    store = Store(spark, f"file:{tmp_path}/store")
+    store.MOST_PARTS, store.RECENT_PARTS = 4, 2
+    for i in range(9):
+        store.append("log", spark.createDataFrame([(i,)], "v int"), f"b{i}")
+    store.append("log", spark.createDataFrame([(80,)], "v int"), "b8")
+    assert sorted(r.v for r in store.read_log("log", "v int").collect()) == [0, 1, 2, 3, 4, 5, 6, 7, 80]
+    assert len(store.manifest()["logs"]["log"]) <= 4
+
+
+def test_release_needs_reference_and_receipt(spark):
+    from tallyloom.operators.state import release
+
+    bank = spark.createDataFrame([(1, "A", "Matched", "x.pdf"), (2, "A", "Matched", "y.pdf"), (3, "B", "Matched", "x.pdf")], "bank_id long, ref string, status string, matched_source string")
+    gone = spark.createDataFrame([("A", "x.pdf"), ("", "y.pdf")], "released_ref string, source_file string")
+    assert [tuple(r) for r in release(bank, gone).collect()] == [(1, "A", "No receipt", "")]
+
+
 def test_update_needs_its_rows(spark):
     from tallyloom.operators.state import update
 

@@ -20,6 +20,7 @@ def events(spark, root):
         folder = rnd.choice(list(at))
         at[folder] += rnd.choice([1, 5, 30, 130, 400])
         rows.append((i, folder, START + dt.timedelta(seconds=at[folder])))
+    rows.append((300, "expenses", START + dt.timedelta(seconds=max(at.values()) + 1000)))
     path = str(root / "events")
     spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(path)
     return rows, path
@@ -54,7 +55,7 @@ def test_quiet_batches(spark, tmp_path):
     got = sorted((r.folder, r.first_event, r.last_event, r.events) for r in batch.collect())
     assert got == sorted(closed + still_open)
     stream = spark.readStream.schema(SCHEMA).parquet(path)
-    fired = drain(spark, streams.quiet_batches(stream, 120), tmp_path, "spells")
+    fired = drain(spark, streams.quiet_batches(stream, 120, "0 seconds"), tmp_path, "spells")
     assert {(r.folder, r.first_event, r.last_event, r.events) for r in fired} <= set(closed + still_open)
     assert set(closed) - {(r.folder, r.first_event, r.last_event, r.events) for r in fired} == set()
 
@@ -62,12 +63,18 @@ def test_quiet_batches(spark, tmp_path):
 def test_debounce_waits_while_busy(spark, tmp_path):
     rows, path = events(spark, tmp_path)
     stream = spark.readStream.schema(SCHEMA).parquet(path)
-    idle = drain(spark, streams.debounce(stream, 120), tmp_path, "idle")
+    idle = drain(spark, streams.debounce(stream, 120, "0 seconds"), tmp_path, "idle")
     closed, _ = plain_spells(rows, 120)
     assert {(r.folder, r.events) for r in idle} >= {(f, n) for f, _, _, n in closed}
+    # One folder ends long before the other, so its last batch is fired by the clock alone.
+    ends = {f: max(ts for _, g, ts in rows if g == f) for f in ("expenses", "bank")}
+    early = min(ends, key=ends.get)
+    assert (max(ends.values()) - ends[early]).total_seconds() > 120
+    last_ms = int((ends[early] - dt.datetime(1970, 1, 1)).total_seconds() * 1000)
+    assert [r.fired_ms for r in idle if r.folder == early and r.last_ms == last_ms] == [last_ms + 120_000]
     # While the consumer is always busy nothing fires before the busy time ends.
     end = int((START + dt.timedelta(days=2) - dt.datetime(1970, 1, 1)).total_seconds() * 1000)
-    busy = drain(spark, streams.debounce(spark.readStream.schema(SCHEMA).parquet(path), 120, [(0, end)]), tmp_path, "busy")
+    busy = drain(spark, streams.debounce(spark.readStream.schema(SCHEMA).parquet(path), 120, "0 seconds", [(0, end)]), tmp_path, "busy")
     assert all(r.fired_ms >= end for r in busy)
 
 
@@ -82,10 +89,40 @@ def test_settled_stream_equals_batch(spark, tmp_path):
     path = str(tmp_path / "prints")
     prints.write.parquet(path)
     stream = spark.readStream.schema(prints.schema).parquet(path)
-    got = drain(spark, streams.settled(stream, Settings(stable_polls=3)), tmp_path, "settle")
+    got = drain(spark, streams.settled(stream, "0 seconds", Settings(stable_polls=3)), tmp_path, "settle")
     assert [r.run_length for r in sorted(got, key=lambda r: r.poll_id)] == batch
 
 
+def test_settle_gives_up_by_the_clock_and_waits_anew(spark, tmp_path):
+    at = lambda m: START + dt.timedelta(minutes=m)
+    polls = [("bank", 1, at(0), "f1", 1, "h"), ("bank", 2, at(10), "f2", 1, "h"), ("bank", 3, at(500), "f3", 1, "h"), ("bank", 4, at(501), "f3", 1, "h"),
+             ("bank", 5, at(900), "f4", 1, "h"), ("idle", 6, at(0), "f1", 1, "h"), ("late", 7, at(2000), "f1", 1, "h")]
+    frame = spark.createDataFrame(polls, "folder string, poll_id long, polled_at timestamp, name string, size long, content_hash string")
+    path = str(tmp_path / "prints")
+    prints = intake.fingerprints(frame)
+    prints.where("poll_id < 3 or poll_id = 6").coalesce(1).write.parquet(path)
+    prints.where("poll_id between 3 and 5 or poll_id = 7").coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(prints.schema).option("maxFilesPerTrigger", 1).option("latestFirst", "false").parquet(path)
+    got = drain(spark, streams.settled(stream, "0 seconds", Settings(stable_polls=2)), tmp_path, "deadline")
+    by = {r.poll_id: (r.run_length, r.is_settled, r.over_time) for r in got if r.poll_id is not None}
+    assert by[4] == (2, True, False)
+    assert by[5] == (1, False, False)  # a new wait began after the settled poll
+    given_up = [(r.folder, r.over_time) for r in got if r.poll_id is None]
+    assert ("idle", True) in given_up
+
+
+def test_a_late_listing_row_is_still_imported(spark, tmp_path):
+    store = Store(spark, f"file:{tmp_path}/store")
+    schema = "folder string, name string, content_hash string, polled_at timestamp"
+    path = str(tmp_path / "listing")
+    write = streams.record_imports(store, schema)
+    for i, hour in enumerate((15, 11)):
+        spark.createDataFrame([("bank", f"n{i}", "h", START + dt.timedelta(hours=hour))], schema).coalesce(1).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(schema).parquet(path)
+        streams.sweep_then_follow(stream, write, str(tmp_path / "check")).awaitTermination()
+    assert sorted(r.name for r in store.read_log("imported", schema).collect()) == ["n0", "n1"]
+
+
 def test_a_repeated_batch_imports_nothing_twice(spark, tmp_path):
     store = Store(spark, f"file:{tmp_path}/store")
     schema = "folder string, name string, content_hash string, polled_at timestamp"
