@@ -55,7 +55,8 @@ VIEWS = {
                  ELSE 'PAYPAL *' || replace(replace(upper(p_name || p_brand), ' ', ''), '#', '') || ' AUTO PAY' END AS name,
                o_orderpriority AS context, 'expenses/' || CAST(o_orderkey AS STRING) || '.pdf' AS source_file,
                s_suppkey AS pos
-        FROM @orders JOIN @supplier ON s_suppkey = o_custkey JOIN @part ON p_partkey = o_custkey""",
+        FROM (SELECT *, o_custkey % (SELECT count(*) FROM @supplier) AS supp FROM @orders)
+             JOIN @supplier ON s_suppkey = supp JOIN @part ON p_partkey = supp""",
     "v_categories": """
         SELECT DISTINCT p_type AS category, 'Line ' || lower(p_type) AS tax_line FROM @part""",
     # CSV statements in three layouts: preamble, header, one line per transaction, a total line.

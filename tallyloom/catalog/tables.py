@@ -512,11 +512,11 @@ def _(t):
 
 
 # An event after the pause closes a batch at once; the last one of a folder waits for the clock.
-_FIRED = _QUIET.replace("SELECT folder, strftime(min", "SELECT * FROM (SELECT folder, max(ts) AS at, lead(1) OVER (PARTITION BY folder ORDER BY batch_no) AS another, strftime(min")
-_FIRED = f"""{_FIRED}) WHERE another = 1 OR at + INTERVAL 3600 SECOND <= (SELECT max(ts) FROM v_events) - INTERVAL 1800 SECOND"""
+_FIRED = _QUIET.replace("SELECT folder, strftime(min", "SELECT * FROM (SELECT folder, max(ts) AS latest, lead(1) OVER (PARTITION BY folder ORDER BY batch_no) AS another, strftime(min")
+_FIRED = f"""{_FIRED}) WHERE another = 1 OR latest + INTERVAL 3600 SECOND <= (SELECT max(ts) FROM v_events) - INTERVAL 1800 SECOND"""
 
 
-@query("STM-2", f"SELECT folder, events, last_event, strftime(at + INTERVAL 3600 SECOND, '%Y-%m-%d %H:%M:%S') AS fired FROM ({_FIRED})")
+@query("STM-2", f"SELECT folder, events, last_event, strftime(latest + INTERVAL 3600 SECOND, '%Y-%m-%d %H:%M:%S') AS fired FROM ({_FIRED})")
 def _(t):
     fired = streams.debounce(_stream(t, ["folder", "ts"]), 3600, "30 minutes")
     out = _drain(t, fired, "debounce", "folder string, events bigint, last_ms bigint, fired_ms bigint")

@@ -18,10 +18,9 @@ _RATE = "decimal(9,3)"
 
 def read_replies(replies: DataFrame) -> DataFrame:
     """Typed fields of replies(source_file, response); `error` is set where no JSON object is found."""
-    body = F.regexp_extract("response", r"(?s)(\{.*\})", 1)
-    parsed = replies.withColumn("body", body).withColumn("reply", F.from_json("body", REPLY))
+    parsed = replies.withColumn("body", text.json_object(F.col("response"))).withColumn("reply", F.from_json("body", REPLY))
     field = F.col("reply")
-    unread = (F.col("body") == "") | F.try_parse_json("body").isNull()
+    unread = F.col("body").isNull()
 
     def filled(name: str) -> Column:
         return F.when(field[name] != "", field[name])

@@ -1,8 +1,9 @@
 """Similarity search of names against a supplier dimension.
 
-The dimension is counted first and read in slices of at most `slice_rows` rows. A slice is shipped
-to the executors once; names stay distributed and only the wanted results leave a task, never the
-pairs that were looked at. Every name meets every slice, so the result is whole for any size.
+The dimension is dealt into slices and the names into chunks by a hash; each pair of a slice and a
+chunk meets in one task, by a cogroup on (slice, chunk). An upper bound on the score, from shared words
+and letters, skips most comparisons; only the wanted results leave a task. Every name meets every
+slice, so the result is whole for any size; nothing is broadcast and nothing passes the driver.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ SIMILAR = "pos_a bigint, pos_b bigint, token_set double, leads boolean"
 
 
 def _bag(text: str) -> np.ndarray:
-    return np.bincount([ord(ch) % _LETTERS for ch in text], minlength=_LETTERS).astype(np.int16)
+    return np.bincount([ord(ch) % _LETTERS for ch in text], minlength=_LETTERS).astype(np.int32)
 
 
 def _pack(pos: list[int], norms: list[str]) -> tuple:
@@ -52,16 +53,6 @@ class _Slice:
         return top
 
 
-def _slices(dim: DataFrame, slice_rows: int) -> Iterator[tuple]:
-    """The dimension as slices of about `slice_rows` rows. One slice at a time is on the driver."""
-    total = dim.count()
-    parts = max(1, math.ceil(total / slice_rows))
-    marked = dim.select("pos", "norm", F.pmod(F.xxhash64("pos"), F.lit(parts)).alias("part"))
-    for part in range(parts):
-        rows = marked.where(F.col("part") == part).orderBy("pos").select("pos", "norm").toPandas()
-        yield _pack(rows["pos"].tolist(), rows["norm"].tolist())
-
-
 def _best(slice_: _Slice, norm: str, k: int) -> list[tuple[int, float]]:
     """Index and score of the k best names, ties by position."""
     top = slice_.bounds(norm)
@@ -77,11 +68,35 @@ def _best(slice_: _Slice, norm: str, k: int) -> list[tuple[int, float]]:
     return [(i, -s) for s, i in sorted(found)[:k]]
 
 
-def _spread(df: DataFrame, key: str) -> DataFrame:
-    """Few rows carry much work here, so they are spread over all cores whatever their size."""
-    spark = df.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return df.repartition(parts, key)
+def _met(names: DataFrame, key: str, dim: DataFrame, slice_rows: int, run, schema: str) -> tuple[DataFrame, int]:
+    """run(names, slice) over all pairs of a chunk of names and a slice of the dimension, and the number of slices.
+
+    Chunks hold about `slice_rows` names too, or fewer where that leaves cores idle.
+    """
+    spark = dim.sparkSession
+    slices = max(1, math.ceil(dim.count() / slice_rows))
+    cores = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    chunks = max(math.ceil(cores / slices), math.ceil(names.count() / slice_rows))
+
+    def dealt(df: DataFrame, by: str, own: str, parts: int, other: str, others: int) -> DataFrame:
+        numbered = df.withColumn(own, F.pmod(F.xxhash64(by), F.lit(parts)).cast("int"))
+        return numbered.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
+
+    # New column instances: names may come from the dimension itself.
+    left = dealt(names, key, "chunk", chunks, "slice", slices)
+    left = left.select(*[F.col(c).alias(c) for c in left.columns])
+    right = dealt(dim.select("pos", "norm"), "pos", "slice", slices, "chunk", chunks)
+    pairs = left.groupBy("slice", "chunk").cogroup(right.groupBy("slice", "chunk"))
+
+    def meet(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+        columns = [c.split()[0] for c in schema.split(", ")]
+        if not len(mine) or not len(theirs):
+            return pd.DataFrame([], columns=columns)
+        theirs = theirs.sort_values("pos", kind="stable")
+        held = _Slice(_pack(theirs["pos"].tolist(), theirs["norm"].tolist()))
+        return pd.DataFrame(list(run(mine, held)), columns=columns)
+
+    return pairs.applyInPandas(meet, schema), slices
 
 
 def top_candidates(names: DataFrame, dim: DataFrame, k: int, slice_rows: int) -> DataFrame:
@@ -89,27 +104,15 @@ def top_candidates(names: DataFrame, dim: DataFrame, k: int, slice_rows: int) ->
 
     `plain` carries the whole-string ratio where the dimension name is one word.
     """
-    spark = names.sparkSession
-    out: DataFrame | None = None
-    parts = 0
-    for piece in _slices(dim, slice_rows):
-        parts += 1
-        shipped = spark.sparkContext.broadcast(piece)
-
-        def probe(batches: Iterator[pd.DataFrame], shipped=shipped, k=k) -> Iterator[pd.DataFrame]:
-            held = _Slice(shipped.value)
-            for pdf in batches:
-                rows = []
-                for norm in pdf["norm"]:
-                    for place, (i, score) in enumerate(_best(held, norm, k)):
-                        other = held.norms[i]
-                        plain = ratio(norm, other) if len(other.split()) == 1 else None
-                        rows.append((norm, held.pos[i], place + 1, score, plain))
-                yield pd.DataFrame(rows, columns=["norm", "pos", "place", "token_set", "plain"])
-
-        got = _spread(names.select("norm"), "norm").mapInPandas(probe, TOP)
-        out = got if out is None else out.unionByName(got)
-    if parts > 1:
+
+    def run(mine: pd.DataFrame, held: _Slice) -> Iterator[tuple]:
+        for norm in mine["norm"]:
+            for place, (i, score) in enumerate(_best(held, norm, k)):
+                other = held.norms[i]
+                yield norm, held.pos[i], place + 1, score, ratio(norm, other) if len(other.split()) == 1 else None
+
+    out, slices = _met(names.select("norm"), "norm", dim, slice_rows, run, TOP)
+    if slices > 1:
         # k rows per name and slice remain, so this window stays small for every name.
         order = Window.partitionBy("norm").orderBy(F.desc("token_set"), "pos")
         out = out.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
@@ -118,30 +121,19 @@ def top_candidates(names: DataFrame, dim: DataFrame, k: int, slice_rows: int) ->
 
 def similar_pairs(dim: DataFrame, least: float, slice_rows: int) -> DataFrame:
     """Pairs (pos_a < pos_b) scoring at least `least`, or of which one leads the other."""
-    spark = dim.sparkSession
-    out: DataFrame | None = None
-    for piece in _slices(dim, slice_rows):
-        shipped = spark.sparkContext.broadcast(piece)
-
-        def probe(batches: Iterator[pd.DataFrame], shipped=shipped) -> Iterator[pd.DataFrame]:
-            held = _Slice(shipped.value)
-            for pdf in batches:
-                rows = []
-                for pos, norm in zip(pdf["pos"], pdf["norm"]):
-                    mine = norm.split()
-                    for i in np.flatnonzero(held.bounds(norm) >= least - 1e-9):
-                        other = held.norms[i]
-                        if held.pos[i] <= pos or not other:
-                            continue
-                        score = token_set_ratio(norm, other)
-                        theirs = other.split()
-                        n = min(len(mine), len(theirs))
-                        lead = mine[:n] == theirs[:n]
-                        if score >= least or (lead and min(len(norm), len(other)) >= 4):
-                            rows.append((pos, held.pos[i], score, lead))
-                yield pd.DataFrame(rows, columns=["pos_a", "pos_b", "token_set", "leads"])
-
-        named = dim.where("norm <> ''").select("pos", "norm")
-        got = _spread(named, "pos").mapInPandas(probe, SIMILAR)
-        out = got if out is None else out.unionByName(got)
-    return out
+
+    def run(mine: pd.DataFrame, held: _Slice) -> Iterator[tuple]:
+        for pos, norm in zip(mine["pos"], mine["norm"]):
+            words = norm.split()
+            for i in np.flatnonzero(held.bounds(norm) >= least - 1e-9):
+                other = held.norms[i]
+                if held.pos[i] <= pos or not other:
+                    continue
+                score = token_set_ratio(norm, other)
+                theirs = other.split()
+                n = min(len(words), len(theirs))
+                lead = words[:n] == theirs[:n]
+                if score >= least or (lead and min(len(norm), len(other)) >= 4):
+                    yield pos, held.pos[i], score, lead
+
+    return _met(dim.where("norm <> ''").select("pos", "norm"), "pos", dim, slice_rows, run, SIMILAR)[0]

@@ -34,7 +34,6 @@ SKIP_WORDS = ("total", "balance", "opening", "closing")
 CREDIT_TEXT = ("PAYMENT", "CREDIT", "REFUND", "DEPOSIT")
 CREDIT_TYPES = ("credit", "payment", "deposit")
 DEBIT_TYPES = ("debit", "purchase", "withdrawal", "sale")
-HEADER_SEARCH_LINES = 20
 
 ROLES = [role for role, _ in COLUMN_WORDS]
 
@@ -56,6 +55,13 @@ def is_header(cells: Column) -> Column:
     return dated & priced & described
 
 
+def may_be_header(line: Column) -> Column:
+    """True for every line that some delimiter can cut into a header, and for few others."""
+    low = text.one_line(line)
+    dated, priced, described = (_has_any(low, words) for words in REQUIRED_WORDS)
+    return dated & priced & described
+
+
 def header_columns(cells: Column, strict: bool = False) -> Column:
     """Map role -> 0-based column index. Columns are read left to right and each takes the first
     role still free whose words it holds; `strict` asks for whole words."""
@@ -93,13 +99,12 @@ def header_columns(cells: Column, strict: bool = False) -> Column:
 
 
 def with_header(rows: DataFrame, strict: bool = False) -> DataFrame:
-    """Body rows of files whose first lines hold a header, with the column map in `cols`.
+    """Body rows of files that hold a header, with the column map in `cols`.
 
-    The header is the first qualifying line of the first twenty; lines above it are preamble.
+    The header is the first qualifying line; lines above it are preamble, however many.
     """
     head = (
-        rows.where(F.col("row_no") < HEADER_SEARCH_LINES)
-        .where(is_header(F.col("cells")))
+        rows.where(is_header(F.col("cells")))
         .groupBy("source_file")
         .agg(F.min_by(F.struct("row_no", "cells"), "row_no").alias("head"))
         .select(

@@ -179,13 +179,16 @@ def plan_run(
     handled = summary.rows_per_file(
         fresh.drop("content")
         .join(review_files, "relative_path", "left")
-        .join(status.select(F.col("source_file").alias("relative_path"), "flagged"), "relative_path", "left")
-        .withColumn("status", F.when((F.col("row_status") == "Review") | F.col("flagged"), "Flagged").otherwise("Processed")),
+        .join(status.select(F.col("source_file").alias("relative_path"), "flagged", "error"), "relative_path", "left")
+        .withColumn(
+            "status",
+            F.when(F.col("error").isNotNull(), "Error").when((F.col("row_status") == "Review") | F.col("flagged"), "Flagged").otherwise("Processed"),
+        ),
         rows.select("source_file").unionByName(debit_rows.select("source_file")),
     )
     entries_log = handled.select(
         "filename", "relative_path", "sha256", "size", stamp.alias("date_processed"), "stage", "status", "rows_added",
-        F.lit("").alias("notes"),
+        F.coalesce("error", F.lit("")).alias("notes"),
     )
     files = (
         found.select("relative_path", "stage")
@@ -200,10 +203,11 @@ def plan_run(
         .unionByName(debit_rows.where("category = ''").select("company"))
     )
     gate = summary.blocked(every, status).first()["blocked"] if cfg.block_on_flags else False
-    errors = [("blocked: flags present",)] if gate else []
+    failed = status.where("error is not null").select(F.concat_ws(": ", "source_file", "error").alias("error"))
+    gates = spark.createDataFrame([("blocked: flags present",)] if gate else [], "error string")
     told = summary.run_summary(
         summary.stage_counters(files), every, replaced_rows, new_names, unmatched, result.unmatched_rows,
-        spark.createDataFrame(errors, "error string"),
+        failed.unionByName(gates),
     )
     review = found_suppliers.review.unionByName(later.review)
     return RunResult(False, gate, entries_log, next_purchases, next_bank, aliases, pending, review, told)

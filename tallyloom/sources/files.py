@@ -45,7 +45,7 @@ def inventory(raw: DataFrame, root: str, cfg: Settings = DEFAULTS) -> DataFrame:
 
 
 def discover(spark: SparkSession, root: str, cfg: Settings = DEFAULTS) -> DataFrame:
-    """Inventory of the imports folder, ordered by path. Drop `content` before any join."""
+    """Inventory of the imports folder, in no order. Drop `content` before any join."""
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     return inventory(raw, root, cfg)
 
@@ -60,9 +60,10 @@ def discover_stream(spark: SparkSession, root: str, cfg: Settings = DEFAULTS) ->
 
 
 def text_content(files: DataFrame) -> DataFrame:
-    """(source_file, content): bytes as text; invalid bytes are replaced."""
+    """(source_file, content, valid): bytes as text; invalid bytes are replaced, and `valid` is then false."""
+    raw = F.col("content").cast("string")
     return files.select(
-        F.col("relative_path").alias("source_file"), F.decode("content", "UTF-8").alias("content")
+        F.col("relative_path").alias("source_file"), F.make_valid_utf8(raw).alias("content"), F.is_valid_utf8(raw).alias("valid")
     )
 
 

@@ -52,11 +52,21 @@ def lines_of(files: DataFrame) -> DataFrame:
 
 
 def _split_cells(line, mark: str):
-    """Cells of one line: split at marks outside quotes, outer quotes removed, "" read as one quote."""
+    """Cells of one line: split at marks outside quotes, outer quotes removed, "" read as one quote.
+
+    A line without a quote is split plainly. Else cells are read one by one from the left, so the work
+    follows the length of the line.
+    """
     q = text.quoted(mark) if mark != "\t" else r"\t"
-    parts = F.split(line, rf'{q}(?=(?:[^"]*+"[^"]*+")*+[^"]*+$)', -1)
+    plain = F.split(line, q, -1)
+    # Each cell is read with the mark before it; the mark put in front makes the first one like the rest.
+    read = F.regexp_extract_all(F.concat(F.lit(mark), line), F.lit(rf'{q}((?:[^"{mark}]++|"[^"]*+"|"[^"]*+$)*+)'), F.lit(1))
+    return F.when(~F.contains(line, F.lit('"')), plain).otherwise(_unquoted(read))
+
+
+def _unquoted(cells):
     return F.transform(
-        parts,
+        cells,
         lambda c: F.when(
             F.rlike(c, F.lit(r'^".*"$')),
             F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"')),
@@ -64,30 +74,32 @@ def _split_cells(line, mark: str):
     )
 
 
+def file_marks(lines: DataFrame) -> DataFrame:
+    """(source_file, mark): the delimiter of each file that has a header line.
+
+    The first line that any of comma, semicolon and tab cuts into a header decides, by the mark that
+    cuts it into the most cells. Only lines that hold the words of a header are cut.
+    """
+    hopeful = lines.where(st.may_be_header(F.col("line")))
+    cuts = [F.struct(F.lit(i).alias("at"), F.lit(m).alias("mark"), _split_cells(F.col("line"), m).alias("cells")) for i, m in enumerate(DELIMITERS.values())]
+    tries = hopeful.select("source_file", "row_no", F.explode(F.array(*cuts)).alias("cut")).where(st.is_header(F.col("cut.cells")))
+    best = F.struct("row_no", -F.size("cut.cells"), F.col("cut.at").alias("at"))
+    return tries.groupBy("source_file").agg(F.min_by("cut.mark", best).alias("mark"))
+
+
+def _clean(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("line", F.regexp_replace("line", "^\ufeff|\r$", ""))
+
+
 def csv_rows(lines: DataFrame, default_year: int | None = None) -> DataFrame:
-    """Table rows of CSV lines. The delimiter of a file is the one of comma, semicolon, tab that cuts
-    a header among its first lines into the most cells; a byte order mark is dropped."""
-    clean = lines.withColumn("line", F.regexp_replace("line", "^﻿|\r$", ""))
-    top = clean.where(F.col("row_no") < st.HEADER_SEARCH_LINES)
-    tries = top.select(
-        "source_file",
-        *[
-            let(_split_cells(F.col("line"), mark), lambda c: F.when(st.is_header(c), F.size(c)).otherwise(0)).alias(name)
-            for name, mark in DELIMITERS.items()
-        ],
-    )
-    marks = tries.groupBy("source_file").agg(*[F.max(name).alias(name) for name in DELIMITERS])
-    widest = F.greatest(*DELIMITERS)
-    pick = F.lit(None).cast("string")
-    for name, mark in reversed(DELIMITERS.items()):
-        pick = F.when((F.col(name) > 0) & (F.col(name) == widest), F.lit(mark)).otherwise(pick)
-    chosen = marks.select("source_file", pick.alias("mark")).where("mark is not null")
+    """Table rows of CSV lines, split at the file's delimiter; a byte order mark is dropped."""
+    clean = _clean(lines)
     cells = F.when(F.col("mark") == ",", _split_cells(F.col("line"), ","))
     for mark in (";", "\t"):
         cells = cells.when(F.col("mark") == mark, _split_cells(F.col("line"), mark))
     return (
         clean.where(F.trim("line") != "")
-        .join(chosen, "source_file")
+        .join(file_marks(clean), "source_file")
         .select(
             "source_file",
             F.lit("csv").alias("layout"),
@@ -101,7 +113,11 @@ def csv_rows(lines: DataFrame, default_year: int | None = None) -> DataFrame:
 def _whole_csv(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for name, content, mark in zip(pdf["source_file"], pdf["content"], pdf["mark"]):
-            rows = list(csv.reader(io.StringIO(content.lstrip("﻿"), newline=""), delimiter=mark))
+            try:
+                rows = list(csv.reader(io.StringIO(content.lstrip("﻿"), newline=""), delimiter=mark))
+            except csv.Error as e:  # one bad file is told, the others go on
+                yield pd.DataFrame({"source_file": name, "layout": "error", "row_no": -1, "cells": [[str(e)]], "year_hint": pd.Series([None], dtype="Int32")})
+                continue
             yield pd.DataFrame(
                 {
                     "source_file": name,
@@ -118,12 +134,10 @@ def csv_file_rows(files: DataFrame, default_year: int | None = None) -> DataFram
     file at a time; all others are read line by line in the JVM."""
     # A line with an odd number of quotes opens or closes a cell that spans lines.
     broken = F.exists(F.split("content", "\n"), lambda line: F.length(F.regexp_replace(line, '[^"]', "")) % 2 == 1)
-    marked = files.withColumn("broken", broken)
+    marked = files.select("source_file", "content").withColumn("broken", broken)
     plain = csv_rows(lines_of(marked.where("not broken")), default_year)
-    sample = F.substring("content", 1, 4096)
-    counts = [F.length(sample) - F.length(F.replace(sample, F.lit(m), F.lit(""))) for m in DELIMITERS.values()]
-    mark = F.when(F.greatest(*counts) == counts[0], ",").when(F.greatest(*counts) == counts[1], ";").otherwise("\t")
-    quoted = marked.where("broken").select("source_file", "content", mark.alias("mark"))
+    spanning = marked.where("broken").drop("broken")
+    quoted = spanning.join(file_marks(_clean(lines_of(spanning))), "source_file")
     whole = quoted.mapInPandas(_whole_csv, ROWS).withColumn("year_hint", F.lit(default_year).cast("int"))
     return plain.unionByName(whole)
 
@@ -206,11 +220,15 @@ def _tokenize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for name, content in zip(pdf["source_file"], pdf["content"]):
             page = _Tables()
-            page.feed(content or "")
-            page.close()
-            for table in page.open:
-                page._end_row(table)
-            rows = pd.DataFrame([r for r in page.rows if r[4]], columns=names)
+            try:
+                page.feed(content or "")
+                page.close()
+                for table in page.open:
+                    page._end_row(table)
+                found = [r for r in page.rows if r[4]]
+            except Exception as e:  # one bad file is told, the others go on
+                found = [[-1, -1, False, False, [f"{type(e).__name__}: {e}"]]]
+            rows = pd.DataFrame(found, columns=names)
             rows.insert(0, "source_file", name)
             yield rows
 
@@ -291,11 +309,6 @@ def parse_html(files: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     return _parse_with(READERS[0], files, cfg)[0]
 
 
-# First and last brace of a reply; prose and fences around them are ignored.
-def json_body(reply):
-    return F.regexp_extract(reply, r"(?s)(\{.*\})", 1)
-
-
 _TXN_JSON = (
     "statement_start string, statement_end string, transactions array<struct<"
     "date:string,description:string,amount:string,direction:string,balance:string,ref:string>>"
@@ -308,7 +321,7 @@ def parse_responses(replies: DataFrame) -> DataFrame:
     A row without a date, a description, a direction or an amount is left out; `file#n` counts all
     listed rows, kept or not.
     """
-    body = replies.select("source_file", F.from_json(json_body(F.col("response")), _TXN_JSON).alias("reply"))
+    body = replies.select("source_file", F.from_json(text.json_object(F.col("response")), _TXN_JSON).alias("reply"))
     rows = body.select(
         "source_file",
         dates.parse_date(F.col("reply.statement_start")).alias("statement_start"),
@@ -341,46 +354,56 @@ class Reader:
     rows: Callable[[DataFrame], DataFrame]
     claims: Callable[[DataFrame], DataFrame]
     body: Callable[[DataFrame, DataFrame], DataFrame]
+    strict_bytes: bool = False
 
 
 def _csv_claims(rows: DataFrame) -> DataFrame:
-    top = rows.where(F.col("row_no") < st.HEADER_SEARCH_LINES).where(st.is_header(F.col("cells")))
-    return top.select("source_file").distinct()
+    return rows.where(st.is_header(F.col("cells"))).select("source_file").distinct()
 
 
 HTML = Reader(
     "html", (".html", ".htm"), html_cells, lambda cells: statement_tables(cells).select("source_file").distinct(), html_body
 )
-CSV = Reader("csv", (".csv",), csv_file_rows, _csv_claims, lambda rows, files: st.with_header(rows))
+CSV = Reader("csv", (".csv",), csv_file_rows, _csv_claims, lambda rows, files: st.with_header(rows), True)
 READERS: list[Reader] = [HTML, CSV]
 
 
-def _parse_with(reader: Reader, files: DataFrame, cfg: Settings) -> tuple[DataFrame, DataFrame]:
-    """(transactions, claimed files) of one reader; its table rows are written once."""
+def _parse_with(reader: Reader, files: DataFrame, cfg: Settings) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(transactions, claimed files, files that failed with their error) of one reader; its table rows are written once."""
     scratch = Scratch(files.sparkSession, reader.name)
-    rows = scratch.write(reader.rows(files), "rows")
-    return _finish(reader.body(rows, files), scratch, cfg), reader.claims(rows)
+    read = scratch.write(reader.rows(files), "rows")
+    rows, failed = read.where("row_no >= 0"), read.where("row_no < 0")
+    errors = failed.select("source_file", F.get("cells", F.lit(0)).alias("error"))
+    return _finish(reader.body(rows, files), scratch, cfg), reader.claims(rows), errors
 
 
 def parse_statements(
     files: DataFrame, cfg: Settings = DEFAULTS, replies: DataFrame | None = None, readers: list[Reader] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """(transactions, files with reader and flagged). Readers are tried in order and the first to
-    claim a file wins; a file no reader claims is flagged and taken from `replies` when listed there."""
-    files = Scratch(files.sparkSession, "files").write(files.select("source_file", "content"), "content")
+    """(transactions, files with reader, flagged and error). Readers are tried in order and the first to
+    claim a file wins; a file no reader claims is flagged and taken from `replies` when listed there.
+
+    A file whose reader fails has an error and no rows; the others go on. A column `valid` tells whether the
+    bytes were UTF-8: CSV files that were not are flagged, HTML is read with replacement characters.
+    """
+    if "valid" not in files.columns:
+        files = files.withColumn("valid", F.lit(True))
+    files = Scratch(files.sparkSession, "files").write(files.select("source_file", "content", "valid"), "content")
     suffix = F.lower(text.file_suffix(text.file_name(F.col("source_file"))))
     txns: DataFrame | None = None
     taken: DataFrame | None = None
+    failed: DataFrame | None = None
     for reader in READERS if readers is None else readers:
-        mine = files.where(suffix.isin(*reader.suffixes))
+        mine = files.where(suffix.isin(*reader.suffixes) & (F.col("valid") | F.lit(not reader.strict_bytes))).drop("valid")
         if taken is not None:
             mine = mine.join(taken, "source_file", "left_anti")
-        parsed, claimed = _parse_with(reader, mine, cfg)
+        parsed, claimed, errors = _parse_with(reader, mine, cfg)
         claimed = claimed.withColumn("reader", F.lit(reader.name))
         txns = parsed if txns is None else txns.unionByName(parsed)
         taken = claimed if taken is None else taken.unionByName(claimed)
-    status = files.select("source_file").join(taken, "source_file", "left").select(
-        "source_file", "reader", F.col("reader").isNull().alias("flagged")
+        failed = errors if failed is None else failed.unionByName(errors)
+    status = files.select("source_file").join(taken, "source_file", "left").join(failed, "source_file", "left").select(
+        "source_file", "reader", (F.col("reader").isNull() & F.col("error").isNull()).alias("flagged"), "error"
     )
     if replies is not None:
         open_files = status.where("flagged").select("source_file")

@@ -120,3 +120,12 @@ def test_decisions_fill_the_grey_zone(spark):
     decided = spark.createDataFrame([("norh sta ai", "North Star Air")], "norm string, choice string")
     out = resolve.resolve(frame, b, decisions=decided)
     assert [r.method for r in out.matches.orderBy("seq").collect()] == ["model", "alias"]
+
+
+def test_a_very_long_name_keeps_its_candidates(spark):
+    from tallyloom.operators import probe
+
+    long = "a" * 40_000
+    dim = spark.createDataFrame([(0, long + " b"), (1, "c d"), (2, "e")], "pos long, norm string")
+    got = probe.top_candidates(spark.createDataFrame([(long + " c",)], "norm string"), dim, 2, 2).orderBy("place").collect()
+    assert [r.pos for r in got] == [0, 1] and got[0].token_set > 99

@@ -61,3 +61,51 @@ def test_replies(spark):
     reply = '```json\n{"statement_start": "2024-01-01", "statement_end": null, "transactions": [{"date": "2024-01-03", "description": "A", "amount": 5.5, "direction": "debit", "balance": null, "ref": null}, {"date": "?", "description": "B", "amount": 1, "direction": "debit"}, {"date": "2024-01-04", "description": "C", "amount": "7", "direction": "credit", "ref": "Z9"}]}\n```'
     rows = source.parse_responses(spark.createDataFrame([("s.pdf", reply)], "source_file string, response string")).orderBy("row_no")
     assert [(r.description, str(r.amount), r.ref) for r in rows.collect()] == [("A", "5.50", "s.pdf#1"), ("C", "7.00", "Z9")]
+
+
+def test_long_preamble_and_late_header(spark):
+    body = "".join(f"note {i}\n" for i in range(22)) + "Date,Description,Amount\n2024-03-01,Reed shop,5.00\n"
+    _, got, status = parse(spark, late__csv=body)
+    assert got == [("late.csv", "2024-03-01", "Reed shop", "5.00", "debit", "late.csv#1")] and status["late.csv"] == ("csv", False)
+
+
+def test_semicolons_with_quoted_breaks_and_commas(spark):
+    body = "x, y, z, and more, of this, in a preamble\nDate;Details;Withdrawals;Deposits\n2024-01-02;\"two, three,\nfour, five\";7.00;\n2024-01-03;back, home;;3.00\n"
+    _, got, _ = parse(spark, semi__csv=body)
+    assert [(d, a) for _, _, d, a, _, _ in got] == [("two, three,\nfour, five", "7.00"), ("back, home", "3.00")]
+
+
+def test_quoted_cells(spark):
+    lines = ['a,"b, ""c""",d', '"x",,"y,z"', "plain,cells,", '"",e']
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    got = [r[0] for r in df.select(source._split_cells(df.line, ",")).collect()]
+    assert got == [["a", 'b, "c"', "d"], ["x", "", "y,z"], ["plain", "cells", ""], ["", "e"]]
+
+
+def test_bad_bytes_and_failing_files_stay_alone(spark, monkeypatch):
+    from tallyloom.sources import files as file_source
+
+    rows = [("bank/good.csv", CARD.encode()), ("bank/bad.csv", CARD.encode() + b"2024-03-09,,,\xff\xfe,,1.00,\n"), ("bank/page.html", PAGE.encode().replace(b"Loom", b"L\xffom"))]
+    raw = spark.createDataFrame([(n, bytearray(b)) for n, b in rows], "relative_path string, content binary")
+    txns, status = source.parse_statements(file_source.text_content(raw))
+    flags = {r.source_file: (r.reader, r.flagged) for r in status.collect()}
+    assert flags == {"bank/good.csv": ("csv", False), "bank/bad.csv": (None, True), "bank/page.html": ("html", False)}
+    assert "L�om Works" in [r.description for r in txns.collect()]
+    import csv
+
+    huge = 'Date,Details,Withdrawals\n2024-01-02,"two\n' + "y" * (csv.field_size_limit() + 10) + '",7.00\n'
+    df = spark.createDataFrame([("huge.csv", huge), ("card.csv", CARD)], "source_file string, content string")
+    txns, status = source.parse_statements(df)
+    by = {r.source_file: r for r in status.collect()}
+    assert by["huge.csv"].error and not by["huge.csv"].flagged and by["card.csv"].error is None
+    assert {r.source_file for r in txns.collect()} == {"card.csv"}
+
+
+def test_replies_with_braces_in_prose(spark):
+    from tallyloom.operators import expenses
+
+    replies = ['Here {see below}: {"total": 5, "notes": ["a {b}"]} and {more}', "no object {at all}", "", '{"total": "7"}', None, '{"a": {"total": 1}}']
+    df = spark.createDataFrame(list(enumerate(replies)), "source_file string, response string")
+    got = {r.source_file: (r.total, r.error) for r in expenses.read_replies(df).collect()}
+    assert [None if got[str(i)][0] is None else int(got[str(i)][0]) for i in range(6)] == [5, None, None, 7, None, None]
+    assert [got[str(i)][1] is not None for i in range(6)] == [False, True, True, False, True, False]
