@@ -230,15 +230,12 @@ def sql_strip_processor(norm: str) -> str:
 
 
 def sql_lcs(a: str, b: str) -> str:
-    """DuckDB: length of the longest common subsequence; the table row is kept as a list."""
-    codes = f"list_transform(string_split({b}, ''), lambda c: CAST(unicode(c) AS BIGINT))"
-    letters = f"list_transform(string_split({a}, ''), lambda c: [CAST(unicode(c) AS BIGINT)])"
-    zeros = f"list_transform(range(0, length({b}) + 1), lambda z: CAST(0 AS BIGINT))"
-    step = (
-        "lambda acc, ch: list_transform(range(1, len(acc) + 1), lambda j: list_max(list_transform(range(1, j + 1), "
-        f"lambda k: CASE WHEN k > 1 AND {codes}[k - 1] = ch[1] THEN acc[k - 1] + 1 ELSE acc[k] END)))"
-    )
-    return f"(CASE WHEN {a} = '' OR {b} = '' THEN 0 ELSE list_reduce({letters}, {step}, {zeros})[-1] END)"
+    """DuckDB: length of the longest common subsequence of texts up to 120 letters, one bit per letter of b."""
+    spots = f"list_transform(string_split({b}, ''), lambda c, i: CASE WHEN c = ch THEN 1::HUGEINT << (i - 1)::HUGEINT ELSE 0::HUGEINT END)"
+    masks = f"list_transform(string_split({a}, ''), lambda ch: list_sum({spots})::HUGEINT)"
+    full = f"((1::HUGEINT << length({b})::HUGEINT) - 1::HUGEINT)"
+    step = f"lambda v, m: ((v + (v & m)) | (v - (v & m))) & {full}"
+    return f"(CASE WHEN {a} = '' OR {b} = '' THEN 0 ELSE length({b}) - bit_count(list_reduce({masks}, {step}, {full})) END)"
 
 
 def sql_token_set(source: str, keys: str) -> str:

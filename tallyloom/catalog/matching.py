@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyloom.catalog.base import day, query, sql_fold, sql_norm, sql_strip_processor, sql_token_set
+from tallyloom.catalog.base import day, query, sql_fold, sql_lcs, sql_norm, sql_strip_processor, sql_token_set
 from tallyloom.durable import Scratch
 from tallyloom.functions import money, scorers, text
 from tallyloom.operators import matching, profile, reconcile, resolve, state
@@ -36,6 +36,32 @@ _BOOSTS = _STEPS + """,
            AND (contains(canon, ' ') OR starts_with(lead || ' ', canon || ' ')) GROUP BY norm)"""
 
 
+_SINGLE = "NOT contains(canon, ' ') AND contains(norm, ' ') AND NOT starts_with(lead || ' ', canon || ' ')"
+
+
+def _sql_guarded(names: str, dims: str) -> str:
+    """DuckDB: (norm, pos, place, token_set, canonical, score): ten best of `dims` per name of `names`, one-word guard applied."""
+    plain = f"200.0::DOUBLE * {sql_lcs('norm', 'canon')} / (length(norm) + length(canon))"
+    return f"""SELECT norm, pos, place, token_set, supplier AS canonical, CASE WHEN {_SINGLE} THEN {plain} ELSE token_set END AS score
+        FROM (SELECT norm, pos, score AS token_set, row_number() OVER (PARTITION BY norm ORDER BY score DESC, pos) AS place
+              FROM ({sql_token_set(f"(SELECT norm, pos, norm AS x, canon AS y FROM {names} CROSS JOIN {dims})", "norm, pos")}))
+             JOIN {dims} USING (pos) JOIN {names} USING (norm) WHERE place <= 10"""
+
+
+_RANKED = f"""{_BOOSTS},
+  guarded AS ({_sql_guarded("rest", "dims")}),
+  every AS (SELECT norm, canonical, score, place FROM guarded UNION ALL SELECT norm, canonical, 96.0, 11 FROM comp UNION ALL SELECT norm, canonical, 95.0, 12 FROM cont),
+  merged AS (SELECT norm, canonical, coalesce(max(score) FILTER (place = 11), max(score) FILTER (place <= 10)) AS base, max(score) FILTER (place = 12) AS contained,
+             CASE WHEN bool_or(place = 11) THEN 11 ELSE min(place) END AS arrival FROM every GROUP BY norm, canonical),
+  ranked AS (SELECT norm, canonical, greatest(base, contained) AS score, row_number() OVER (PARTITION BY norm
+             ORDER BY greatest(base, contained) DESC, n DESC, length(canon) DESC, arrival) AS rank FROM merged JOIN dims ON supplier = canonical),
+  routed AS (SELECT norm, canonical, coalesce(score, 0) AS score, CASE WHEN score >= 92 THEN 'fuzzy' WHEN score >= 70 THEN 'review' ELSE 'new' END AS zone
+             FROM rest LEFT JOIN (SELECT * FROM ranked WHERE rank = 1) USING (norm)),
+  resolved AS (SELECT norm, canonical, 100.0 AS score, 'alias' AS method FROM tier1 UNION ALL SELECT norm, canonical, 100.0, 'exact' FROM tier2
+               UNION ALL SELECT norm, CASE zone WHEN 'fuzzy' THEN canonical END, score, CASE zone WHEN 'fuzzy' THEN 'fuzzy' ELSE 'new' END FROM routed),
+  firsts AS (SELECT norm, min(seq) AS first_seq, arg_min(name, seq) AS first_name FROM nm GROUP BY norm)"""
+
+
 class _Names:
     """Resolver inputs over the adapter views."""
 
@@ -69,7 +95,7 @@ def _(t):
     return resolve.exact_tier(n.norms, n.index)
 
 
-@query("E-3")
+@query("E-3", f"{_BOOSTS} SELECT norm, pos, place::INT AS place, round(token_set, 6) AS score FROM ({_sql_guarded('rest', 'dims')})")
 def _(t):
     n = _Names(t)
     found = resolve.fuzzy_candidates(n.rest, n.index)
@@ -77,7 +103,13 @@ def _(t):
 
 
 # Every name of the table against one-word suppliers: a word standing alone must lead the descriptor.
-@query("E-4")
+@query(
+    "E-4",
+    f"""{_STEPS}, word AS (SELECT supplier, min(pos) AS pos, {sql_norm('supplier')} AS canon FROM (
+            SELECT pos, string_split(supplier, ' ')[-1] AS supplier FROM v_suppliers) GROUP BY supplier),
+        named AS (SELECT norm, {sql_strip_processor('norm')} AS lead FROM norms)
+        SELECT norm, canonical, round(score, 6) AS score FROM ({_sql_guarded('named', 'word')})""",
+)
 def _(t):
     single = t.v_suppliers.withColumn("supplier", F.substring_index("supplier", " ", -1))
     n = _Names(t)
@@ -97,18 +129,18 @@ def _(t):
     return resolve.containment_hits(n.rest, n.index)
 
 
-@query("E-7")
+@query("E-7", f"{_RANKED} SELECT norm, canonical, round(score, 6) AS score, rank::INT AS rank FROM ranked")
 def _(t):
     return _Names(t).ranked().select("norm", "canonical", F.round("score", 6).alias("score"), "rank")
 
 
-@query("E-8")
+@query("E-8", f"{_RANKED} SELECT norm, canonical, round(score, 6) AS score, zone FROM routed")
 def _(t):
     n = _Names(t)
     return resolve.route(n.ranked(), n.rest).withColumn("score", F.round("score", 6))
 
 
-@query("SRT-2")
+@query("SRT-2", f"{_RANKED} SELECT norm, count(*) AS offered FROM ranked JOIN routed USING (norm) WHERE zone = 'review' AND rank <= 5 GROUP BY norm")
 def _(t):
     n = _Names(t)
     ranked = Scratch(t.spark, "ranked").write(n.ranked(), "ranked")
@@ -117,7 +149,13 @@ def _(t):
     )
 
 
-@query("E-9")
+@query(
+    "E-9",
+    f"""{_RANKED} SELECT seq, coalesce(canonical, '') AS canonical, coalesce(trim(default_category), '') AS category,
+            round(CASE WHEN method = 'fuzzy' AND seq > first_seq THEN 100.0 ELSE score END, 6) AS score,
+            CASE WHEN method = 'fuzzy' AND seq > first_seq THEN 'alias' ELSE method END AS method
+        FROM nm JOIN resolved USING (norm) JOIN firsts USING (norm) LEFT JOIN dim ON supplier = canonical""",
+)
 def _(t):
     n = _Names(t)
     return resolve.resolve(n.names, n.book).matches.select(
@@ -126,7 +164,11 @@ def _(t):
     )
 
 
-@query("E-10")
+@query(
+    "E-10",
+    f"""{_RANKED} SELECT first_seq AS seq, first_name AS alias, canonical AS supplier FROM resolved JOIN firsts USING (norm) JOIN dims ON supplier = canonical
+        WHERE method = 'fuzzy' AND norm <> canon AND norm NOT IN (SELECT norm FROM ali)""",
+)
 def _(t):
     n = _Names(t)
     return resolve.resolve(n.names, n.book).learned
@@ -204,7 +246,7 @@ def _(t):
     )
 
 
-@query("UDF-3")
+@query("UDF-3", f"{_RANKED} SELECT norm, ranked.canonical AS canonical FROM ranked JOIN routed USING (norm) WHERE zone = 'review' AND rank = 2")
 def _(t):
     n = _Names(t)
     ranked = Scratch(t.spark, "ranked").write(n.ranked(), "ranked")
@@ -295,14 +337,9 @@ def _(t):
 
 @query("SRT-3", f"{_BY_TEXT} SELECT txn_seq, row_id, row_number() OVER (PARTITION BY txn_seq ORDER BY score DESC, gap, row_id)::INT AS rank FROM c0")
 def _(t):
-    from pyspark.sql import Window
-
     a, b = reconcile.match_items(t.txns().where("direction = 'debit'"), t.purchases())
-    pairs = matching.candidate_pairs(a, b, 5).join(a.select(F.col("seq").alias("t_seq"), F.col("text").alias("x")), "t_seq")
-    pairs = pairs.join(b.select(F.col("seq").alias("r_seq"), F.col("text").alias("y")), "r_seq")
-    scored = pairs.withColumn("score", scorers.scorer("levenshtein")(F.col("x"), F.col("y")))
-    order = Window.partitionBy("t_seq").orderBy(F.desc("score"), "gap", "r_seq")
-    return scored.select(F.col("t_seq").alias("txn_seq"), F.col("r_seq").alias("row_id"), F.row_number().over(order).alias("rank"))
+    ranked = matching.ranked_pairs(a, b, 5, scorers.scorer("levenshtein"))
+    return ranked.select(F.col("t_seq").alias("txn_seq"), F.col("r_seq").alias("row_id"), "rank")
 
 
 @query("WIN-6", f"""WITH days AS (SELECT DISTINCT cents, date FROM (SELECT cents, date FROM v_purchases UNION ALL SELECT cents, date FROM v_bank)),

@@ -102,8 +102,7 @@ def _(t):
 
 @query("J-17", "SELECT idx, coalesce(tax_line, '') AS tax_line FROM v_history h LEFT JOIN v_categories c ON lower(trim(c.category)) = lower(h.category)")
 def _(t):
-    keyed = t.v_categories.select(F.lower(F.trim("category")).alias("key"), "tax_line")
-    return t.v_history.join(keyed, F.lower("category") == F.col("key"), "left").select("idx", F.coalesce("tax_line", F.lit("")).alias("tax_line"))
+    return profile.with_tax_line(t.v_history, t.v_categories).select("idx", "tax_line")
 
 
 @query("FIL-5", "SELECT 'purchase' AS kind, company AS label, cents FROM v_purchases WHERE mark = 'P' UNION ALL SELECT 'bank', description, cents FROM v_bank WHERE direction = 'debit'")
@@ -231,7 +230,7 @@ def _(t):
 
 @query("AGG-9", "SELECT CAST(year(date) AS INT) AS year, category, sum(cents)::BIGINT AS total FROM v_purchases GROUP BY ALL")
 def _(t):
-    sums = t.purchases().groupBy("year", "category").agg(F.sum("total").alias("total"))
+    sums = profile.category_totals(t.purchases())
     return sums.select("year", "category", money.cents(F.col("total")).alias("total"))
 
 

@@ -112,6 +112,18 @@ def supplier_profiles(history: DataFrame) -> DataFrame:
     )
 
 
+def category_totals(purchases: DataFrame) -> DataFrame:
+    """Sum of totals per year and category."""
+    return purchases.groupBy("year", "category").agg(F.sum("total").alias("total"))
+
+
+def with_tax_line(rows: DataFrame, categories: DataFrame) -> DataFrame:
+    """Rows with the tax line of their category, empty where the category is not known. Case and blanks do not count."""
+    known = categories.groupBy(F.lower(F.trim("category")).alias("__key")).agg(F.min("tax_line").alias("tax_line"))
+    joined = rows.join(known, F.lower(F.trim("category")) == F.col("__key"), "left").drop("__key")
+    return joined.withColumn("tax_line", F.coalesce("tax_line", F.lit("")))
+
+
 def payment_counts(history: DataFrame) -> DataFrame:
     """(payment_method, count) with cheque numbers dropped, sorted by name."""
     used = tidy_history(history).where("payment_method <> ''")
