@@ -238,6 +238,19 @@ def sql_lcs(a: str, b: str) -> str:
     return f"(CASE WHEN {a} = '' OR {b} = '' THEN 0 ELSE length({b}) - bit_count(list_reduce({masks}, {step}, {full})) END)"
 
 
+def sql_partial(a: str, b: str) -> str:
+    """DuckDB: best ratio of the shorter text with any window of the longer one, windows over its edges included."""
+
+    def best(needle: str, hay: str) -> str:
+        window = f"{hay}[greatest(1, e - length({needle}) + 1):e]"
+        score = f"200.0::DOUBLE * {sql_lcs(needle, window)} / (length({needle}) + length({window}))"
+        return f"list_max(list_transform(range(1, length({hay}) + length({needle})), lambda e: {score}))"
+
+    return f"""(CASE WHEN {a} = '' OR {b} = '' THEN CASE WHEN {a} = {b} THEN 100.0 ELSE 0.0 END
+        WHEN length({a}) < length({b}) THEN {best(a, b)} WHEN length({a}) > length({b}) THEN {best(b, a)}
+        ELSE greatest({best(a, b)}, {best(b, a)}) END)"""
+
+
 def sql_token_set(source: str, keys: str) -> str:
     """DuckDB: (keys, x, y, score) of source(keys, x, y) with the token-set ratio of x and y."""
     return f"""

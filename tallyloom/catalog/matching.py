@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyloom.catalog.base import day, query, sql_fold, sql_lcs, sql_norm, sql_strip_processor, sql_token_set
+from tallyloom.catalog.base import day, query, sql_fold, sql_lcs, sql_norm, sql_partial, sql_strip_processor, sql_token_set
 from tallyloom.durable import Scratch
 from tallyloom.functions import money, scorers, text
 from tallyloom.operators import matching, profile, reconcile, resolve, state
@@ -237,7 +237,13 @@ def _(t):
     return t.spark.read.option("header", "true").csv(path)
 
 
-@query("UDF-1")
+@query(
+    "UDF-1",
+    f"""WITH f AS (SELECT txn_seq, {sql_fold('description')} AS x, {sql_fold('company')} AS y FROM v_bank JOIN v_purchases ON row_id = txn_seq)
+        SELECT txn_seq, round(200.0::DOUBLE * {sql_lcs('x', 'y')} / (length(x) + length(y)), 6) AS indel, round(score, 6) AS token_set, round({sql_partial('x', 'y')}, 6) AS partial,
+               round(100.0::DOUBLE * (1.0::DOUBLE - levenshtein(x, y)::DOUBLE / greatest(length(x), length(y))), 6) AS levenshtein
+        FROM f JOIN (SELECT txn_seq, score FROM ({sql_token_set('f', 'txn_seq')})) USING (txn_seq)""",
+)
 def _(t):
     fold = text.ascii_fold(F.col("description"))
     pairs = t.v_bank.join(t.v_purchases.select(F.col("row_id").alias("txn_seq"), text.ascii_fold(F.col("company")).alias("company")), "txn_seq")
@@ -297,6 +303,9 @@ _BY_TEXT = _rounds(
 )
 
 
+_BY_WINDOW = _rounds(f"(SELECT {sql_partial('x', 'y')} FROM (SELECT {sql_fold('b.description')} AS x, {sql_fold('p.company')} AS y))")
+
+
 def _match(t, how: str):
     active = t.txns(spans=False).where("direction = 'debit'")
     a, b = reconcile.match_items(active, t.purchases())
@@ -329,7 +338,7 @@ def _(t):
     return m.select(F.col("t_seq").alias("txn_seq"), F.col("r_seq").alias("row_id"), "gap", F.round("score", 6).alias("score"))
 
 
-@query("J-6-partial")
+@query("J-6-partial", f"{_BY_WINDOW} SELECT txn_seq, row_id, gap::INT AS gap, round(score, 6) AS score FROM matched")
 def _(t):
     m = _match(t, "partial")
     return m.select(F.col("t_seq").alias("txn_seq"), F.col("r_seq").alias("row_id"), "gap", F.round("score", 6).alias("score"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyloom.catalog.base import (
-    day, query, sql_fold, sql_lcs, sql_norm, sql_strip_processor, sql_token_set,
+    day, query, sql_fold, sql_lcs, sql_partial, sql_norm, sql_strip_processor, sql_token_set,
 )
 from tallyloom.functions import dates, hashing, money, scorers, text
 from tallyloom.operators import expenses, state, statements
@@ -79,7 +79,10 @@ def _(t):
     return _neighbours(t).select("pos", F.round(scorers.scorer("token_set")(F.col("x"), F.col("y")), 6).alias("score"))
 
 
-@query("STR-9")
+_FOLDED = f"(SELECT txn_seq, {sql_fold('description')} AS x, {sql_fold('company')} AS y FROM v_bank JOIN v_purchases ON row_id = txn_seq)"
+
+
+@query("STR-9", f"SELECT txn_seq, round({sql_partial('x', 'y')}, 6) AS score FROM {_FOLDED}")
 def _(t):
     return t.v_bank.join(t.v_purchases.select(F.col("row_id").alias("txn_seq"), "company"), "txn_seq").select(
         "txn_seq",
