@@ -8,7 +8,7 @@ from tallyloom import schemas
 from tallyloom.catalog.base import day, query, sql_fold, sql_norm
 from tallyloom.durable import Scratch
 from tallyloom.functions import money, text
-from tallyloom.operators import expenses, intake, ordered, profile, resolve, state, summary
+from tallyloom.operators import expenses, intake, ordered, profile, reconcile, resolve, state, summary
 from tallyloom.settings import Settings
 from tallyloom.sources import files as file_source
 from tallyloom.streaming import intake as streams
@@ -313,6 +313,8 @@ def _summary(t):
         summary.stage_counters(_handled(t)), rows, _replaced(t)[1], t.v_history.select("company"),
         t.v_bank.where("direction = 'debit'"), t.v_purchases.where("mark = 'F'"),
         t.v_ledger.where("status = 'Error'").select(F.concat("relative_path", F.lit(": unreadable")).alias("error")),
+        # One statement, so references that repeat across files do so in one.
+        reconcile.ref_warnings(t.v_bank.select(F.lit("all.csv").alias("source_file"), F.concat(F.lit("C"), F.col("cents").cast("string")).alias("ref")).where("cents % 97 = 0")),
     )
 
 
@@ -324,7 +326,8 @@ _SUMMARY = f"""WITH c AS ({_COUNTS}), s AS (
    UNION ALL SELECT 'new_supplier', company, count(*) FROM v_history GROUP BY company
    UNION ALL SELECT 'unmatched_bank', '', count(*) FROM v_bank WHERE direction = 'debit'
    UNION ALL SELECT 'unmatched_expense', '', count(*) FROM v_purchases WHERE mark = 'F'
-   UNION ALL SELECT 'error', relative_path || ': unreadable', count(*) FROM v_ledger WHERE status = 'Error' GROUP BY relative_path)"""
+   UNION ALL SELECT 'error', relative_path || ': unreadable', count(*) FROM v_ledger WHERE status = 'Error' GROUP BY relative_path
+   UNION ALL SELECT 'warning', 'all.csv: reference C' || cents || ' printed ' || count(*) || ' times', 1 FROM v_bank WHERE cents % 97 = 0 GROUP BY cents HAVING count(*) > 1)"""
 
 
 @query("AGG-10", f"{_SUMMARY} SELECT * FROM s")

@@ -1,17 +1,34 @@
 """Written tables that cut lineage and survive the loss of an executor.
 
 Tables land under the folder the cluster names in ``spark.checkpoint.dir``. Only a local session
-without that setting falls back to a temporary folder of its own.
+without that setting falls back to a temporary folder of its own; a cluster must name one.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: dict[str, str] = {}
+_noted: list[list[Scratch]] = []
+
+
+@contextmanager
+def dropped_after() -> Iterator[None]:
+    """Drops every folder of written tables that is opened inside, once the block is done.
+
+    Put it around steps whose results are stored elsewhere by then.
+    """
+    _noted.append([])
+    try:
+        yield
+    finally:
+        for scratch in _noted.pop():
+            scratch.drop()
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -34,6 +51,8 @@ class Scratch:
         self.spark = spark
         self.root = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
         self._n = 0
+        if _noted:
+            _noted[-1].append(self)
 
     def write(self, df: DataFrame, label: str) -> DataFrame:
         self._n += 1

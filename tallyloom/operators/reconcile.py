@@ -41,6 +41,12 @@ def repeated_refs(txns: DataFrame) -> DataFrame:
     return txns.groupBy("source_file", "ref").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
+def ref_warnings(txns: DataFrame) -> DataFrame:
+    """One `warning` per reference a statement prints more than once; such rows share their bank-only row."""
+    told = F.concat("source_file", F.lit(": reference "), "ref", F.lit(" printed "), F.col("n").cast("string"), F.lit(" times"))
+    return repeated_refs(txns).select(told.alias("warning"))
+
+
 def ignored(txns: DataFrame, cfg: Settings = DEFAULTS) -> Column:
     """New transactions that take no part: credits and descriptions with an ignore term."""
     low = F.lower("description")

@@ -18,6 +18,7 @@ SECTIONS = (
     ("unmatched_bank", "Unmatched bank:  "),
     ("unmatched_expense", "Unmatched expense: "),
     ("error", "Errors:"),
+    ("warning", "Warnings:"),
 )
 
 
@@ -79,8 +80,9 @@ def run_summary(
     unmatched_txns: DataFrame,
     unmatched_rows: DataFrame,
     errors: DataFrame,
+    warnings: DataFrame,
 ) -> DataFrame:
-    """All counters of a run; new suppliers and errors are listed item by item."""
+    """All counters of a run; new suppliers, errors and warnings are listed item by item."""
     parts = [
         counter_rows(counters),
         count_row(rows.where("status = 'Review'"), "rows_review"),
@@ -89,6 +91,7 @@ def run_summary(
         count_row(unmatched_txns, "unmatched_bank"),
         count_row(unmatched_rows, "unmatched_expense"),
         item_rows(errors, "error", F.col("error")),
+        item_rows(warnings, "warning", F.col("warning")),
     ]
     out = parts[0]
     for part in parts[1:]:
@@ -109,7 +112,7 @@ def summary_lines(summary: DataFrame) -> DataFrame:
         number = F.when(F.col("section") == section, i).otherwise(number)
     value = F.col("value").cast("string")
     body = (
-        F.when(F.col("section").isin("new_supplier", "error"), F.col("item"))
+        F.when(F.col("section").isin("new_supplier", "error", "warning"), F.col("item"))
         .when(F.col("item") == "", value)
         .otherwise(F.concat("item", F.lit(": "), value))
     )

@@ -207,7 +207,7 @@ def plan_run(
     gates = spark.createDataFrame([("blocked: flags present",)] if gate else [], "error string")
     told = summary.run_summary(
         summary.stage_counters(files), every, replaced_rows, new_names, unmatched, result.unmatched_rows,
-        failed.unionByName(gates),
+        failed.unionByName(gates), reconcile.ref_warnings(new_txns),
     )
     review = found_suppliers.review.unionByName(later.review)
     return RunResult(False, gate, entries_log, next_purchases, next_bank, aliases, pending, review, told)

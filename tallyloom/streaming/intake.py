@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
 
+from tallyloom.durable import dropped_after
 from tallyloom.operators import intake, ordered, state
 from tallyloom.settings import DEFAULTS, Settings
 
@@ -239,10 +240,14 @@ def sweep_then_follow(
 
 
 def run_per_batch(store: state.Store, run: Callable[[DataFrame, str, int], None]) -> Callable[[DataFrame, int], None]:
-    """foreachBatch handler that gives each batch of new files a run id of its own."""
+    """foreachBatch handler that gives each batch of new files a run id of its own.
+
+    `run` stores what it finds; the tables it wrote on the way are dropped when it is done.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            run(batch, f"batch-{batch_id:010d}", batch_id)
+            with dropped_after():
+                run(batch, f"batch-{batch_id:010d}", batch_id)
 
     return handle

@@ -154,3 +154,37 @@ def test_update_needs_its_rows(spark):
     with pytest.raises(ValueError):
         update(base, spark.createDataFrame([(2, "b")], "row_id long, v string"), ["row_id"])
     assert [tuple(r) for r in update(base, base.withColumn("v", F.lit("z")), ["row_id"]).collect()] == [(1, "z")]
+
+
+def test_a_failing_file_has_an_error_and_the_rest_goes_on(spark, tmp_path):
+    import csv
+
+    books = Books(spark, tmp_path)
+    books.receipt("2024-03-01 Loom.pdf", "one", date="2024-03-01", supplier_name="Loom Works Inc", total="12.50", sales_tax=0)
+    books.statement("good.csv", "Date,Description,Amount,Reference\n2024-03-03,SQ *LOOM WORKS,12.50,A1\n2024-03-09,MILL NORTH 12,7.00,A2\n2024-03-09,MILL NORTH 13,8.00,A2\n")
+    books.statement("huge.csv", 'Date,Description,Amount\n2024-01-02,"two\n' + "y" * (csv.field_size_limit() + 10) + '",7.00\n')
+    result = books.run()
+    ledger = {r.relative_path: (r.status, r.notes) for r in books.store.read_log("ledger", schemas.LEDGER).collect()}
+    assert ledger["bank/huge.csv"][0] == "Error" and "limit" in ledger["bank/huge.csv"][1]
+    assert {s for p, (s, _) in ledger.items() if p != "bank/huge.csv"} == {"Processed"}
+    told = {(r.section, r.item): r.value for r in result.summary.collect()}
+    assert told["files_errored", "bank"] == 1 and [i for s, i in told if s == "error"][0].startswith("bank/huge.csv: ")
+    assert ("warning", "bank/good.csv: reference A2 printed 2 times") in told
+    assert "A1" in [ref for ref, status, _ in books.bank() if status == "Matched"]
+
+
+def test_written_tables_of_a_batch_are_dropped(spark):
+    import os
+
+    from tallyloom import durable
+    from tallyloom.streaming import intake as streams
+
+    seen = []
+
+    def run(batch, run_id, number):
+        scratch = durable.Scratch(spark, "inside")
+        seen.append(scratch.root.removeprefix("file://"))
+        assert scratch.write(batch, "rows").count() == 1
+
+    streams.run_per_batch(None, run)(spark.range(1), 0)
+    assert seen and not os.path.exists(seen[0])
