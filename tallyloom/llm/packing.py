@@ -8,8 +8,13 @@ most one sequence that is not full. Groups are independent and bounded, so packi
 
 from __future__ import annotations
 
+import base64
+import json
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,48 +30,69 @@ END_ID = 0
 GROUP_DOCS = 1000
 SEED = 7
 #: Space-separated pieces of text whose ids a worker keeps, and how long one of them may be.
-CACHE_ENTRIES, CACHE_CHARS = 300_000, 40
-VOCABULARY = "byte_bpe_50k.json"
+CACHE_ENTRIES, CACHE_CHARS = 200_000, 24
+VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 
 
 class Encoder:
-    """Ids of whole texts by a byte-level BPE file of the tokenizers library.
+    """Ids of whole texts by a byte-level BPE vocabulary, as the tokenizers library gives them for its file.
 
-    The file's splitting rule never joins text across a single space between two marks that are not
-    white space, so " word" units can be encoded one by one and remembered. A text with other white
-    space at such a place is encoded as a whole.
+    The same vocabulary's ranks are merged by the faster tiktoken; a text that spells a special token goes
+    to tokenizers itself. The splitting rule always parts a text before a single space between two marks
+    that are not white space, so the units between are encoded once and remembered; a text with other
+    white space at such a place is encoded as a whole.
     """
 
-    def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes | None] = {}
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+    def __init__(self, vocabulary: str, ranks: str) -> None:
+        import public_tokenizers
+        import tiktoken
+
+        with open(ranks, "rb") as lines:
+            known = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=known, special_tokens={})
+        self.opens = np.zeros(max(known.values()) + 1, bool)
+        self.opens[[rank for token, rank in known.items() if token.startswith(b" ")]] = True
+        self.vocabulary, self.exact = vocabulary, None
+        with open(vocabulary, encoding="utf-8") as body:
+            self.special = re.compile("|".join(re.escape(t["content"]) for t in json.load(body)["added_tokens"]) or "(?!)")
+        self.known: dict[str, bytes] = {}
+
+    def whole(self, text: str) -> bytes:
+        if not self.special.search(text):
+            return array("I", self.fast.encode_ordinary(text)).tobytes()
+        if self.exact is None:
+            from tokenizers import Tokenizer
+
+            self.exact = Tokenizer.from_file(self.vocabulary)
+        return array("I", self.exact.encode(text, add_special_tokens=False).ids).tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
-        units = text.split(" ")
-        if len(units) < 8:
-            return self.whole([text])[0]
-        first, units = units[0], units[1:]
-        if not first or first.strip() != first:
-            return self.whole([text])[0]
-        known = self.known
-        found = list(map(known.get, units))
+        first, *units = text.split(" ")
+        if len(units) < 8 or not first or first.strip() != first or self.special.search(text):
+            return self.whole(text)
+        found = list(map(self.known.get, units))
         if None in found:
-            new = {u for u, ids in zip(units, found) if ids is None}
+            new = list({u for u, ids in zip(units, found) if ids is None})
             if any(not u or u.strip() != u for u in new):
-                return self.whole([text])[0]
-            order = list(new)
-            made = dict(zip(order, self.whole([" " + u for u in order])))
+                return self.whole(text)
+            # Only the first token of a unit opens with a space, so one call serves all of them.
+            ids = np.array(self.fast.encode_ordinary(" " + " ".join(new)), "<u4")
+            cuts = np.append(np.flatnonzero(self.opens[ids]), len(ids)).tolist()
+            if len(cuts) != len(new) + 1:
+                return self.whole(text)
+            data = ids.tobytes()
+            made = {u: data[4 * a:4 * z] for u, a, z in zip(new, cuts, cuts[1:])}
             found = [ids if ids is not None else made[u] for u, ids in zip(units, found)]
-            if len(known) < CACHE_ENTRIES:
-                known.update((u, ids) for u, ids in made.items() if len(u) <= CACHE_CHARS)
-        return self.whole([first])[0] + b"".join(found)
+            if len(self.known) < CACHE_ENTRIES:
+                self.known.update((u, b) for u, b in made.items() if len(u) <= CACHE_CHARS)
+        return self.whole(first) + b"".join(found)
+
+
+@lru_cache(1)
+def encoder(vocabulary: str, ranks: str) -> Encoder:
+    """One encoder for each Python worker; its memory serves all tasks the worker runs."""
+    return Encoder(vocabulary, ranks)
 
 
 class Tournament:
@@ -126,13 +152,13 @@ def fill_up(bins: list[list[int]], sizes: list[int], capacity: int = CAPACITY) -
     return [b for b in full if b]
 
 
-def _encoded(path: str, capacity: int, end_id: int):
+def _encoded(vocabulary: str, ranks: str, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(path), np.array([end_id], "<u4").tobytes()
+        own, end = encoder(vocabulary, ranks), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             tokens, crcs, rests = [], [], []
             for x in batch.column("text"):
-                ids = encoder.encode(x.as_py() or "") + end
+                ids = own.encode(x.as_py() or "") + end
                 cut = len(ids) // (4 * capacity) * 4 * capacity
                 view = memoryview(ids)
                 tokens.append(len(ids) // 4)
@@ -175,23 +201,23 @@ def _packed(capacity: int, kind: pa.DataType):
     return run
 
 
-def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, group_docs: int = GROUP_DOCS, seed: int = SEED) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str | None = None, ranks: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, group_docs: int = GROUP_DOCS, seed: int = SEED) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Every row of `docs` is a document of its own, repeated rows too; null text is empty (the end id alone).
     A null doc_id is kept. Other columns are ignored, an empty table gives an empty result. Sequences
     hold at most `capacity` ids; offsets in a sequence have no gap; reruns agree.
-    vocabulary: a tokenizers file, by default the public byte-level one.
+    vocabulary, ranks: one byte-level vocabulary as a file of tokenizers and as ranks; by default the public one.
     """
     import public_tokenizers
     from pyspark.sql.pandas.types import to_arrow_type
 
-    path = vocabulary or str(public_tokenizers.path(VOCABULARY))
+    files = vocabulary or str(public_tokenizers.path(VOCABULARY)), ranks or str(public_tokenizers.path(RANKS))
     kind = docs.schema["doc_id"].dataType
     groups = max(1, round(docs.count() / group_docs))
     named = docs.select("doc_id", "text").withColumn("pack", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(groups)))
     named = named.withColumn("pack", F.when(F.col("doc_id").isNull(), F.col("pack")).otherwise(F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(groups))))
-    encoded = named.mapInArrow(_encoded(path, capacity, end_id), f"doc_id {kind.simpleString()}, pack long, doc_tokens long, crcs array<long>, rest binary")
+    encoded = named.mapInArrow(_encoded(*files, capacity, end_id), f"doc_id {kind.simpleString()}, pack long, doc_tokens long, crcs array<long>, rest binary")
     schema = f"doc_id {kind.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     return encoded.groupBy("pack").applyInArrow(_packed(capacity, to_arrow_type(kind)), schema)
 
