@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.bind import let
@@ -29,6 +29,13 @@ def parse_date(text: Column, default_year: Column | None = None, pivot: int = 76
     return let(F.trim(F.coalesce(text, F.lit(""))), lambda raw: _iso_text(raw, year, pivot)).try_cast("date")
 
 
+def with_date(frame: DataFrame, cell: str, out: str, default_year: Column | None = None, pivot: int = 76) -> DataFrame:
+    """The frame with parse_date() of a text column as `out`; the trimmed text is a column, so all of it is compiled."""
+    year = (F.lit(None) if default_year is None else default_year).cast("int").cast("string")
+    trimmed = frame.withColumn("__text", F.trim(F.coalesce(F.col(cell), F.lit(""))))
+    return trimmed.withColumn(out, _iso_text(F.col("__text"), year, pivot).try_cast("date")).drop("__text")
+
+
 def _iso_text(raw: Column, year: Column, pivot: int) -> Column:
 
     def get(rx: str, i: int) -> Column:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.bind import let
@@ -29,35 +31,54 @@ def from_cents(value: Column) -> Column:
     return (value.cast("decimal(18,0)") / F.lit(100).cast("decimal(3,0)")).cast(MONEY)
 
 
+def _amount_steps(cell: Column) -> list[tuple[str, Callable[[Callable[[str], Column]], Column]]]:
+    """The steps of reading an amount, each from the values of the steps before it."""
+    return [
+        ("raw", lambda v: F.trim(F.coalesce(cell, F.lit("")))),
+        # Only the first mark is taken out of the text.
+        ("body", lambda v: F.trim(F.regexp_replace(v("raw"), r"(?i)^(.*?)\b(?:CR|DR)\b", "$1"))),
+        ("paren", lambda v: F.startswith(v("body"), F.lit("(")) & F.endswith(v("body"), F.lit(")")) & (F.length(v("body")) >= 2)),
+        ("inner", lambda v: F.trim(F.regexp_replace(
+            F.when(v("paren"), F.substring(v("body"), F.lit(2), F.length(v("body")) - 2)).otherwise(v("body")), "[$,]", ""))),
+        ("size", lambda v: to_number(F.trim(F.regexp_replace(v("inner"), "^-+", "")))),
+        ("mark", lambda v: F.upper(F.regexp_extract(v("raw"), r"(?i)\b(CR|DR)\b", 1))),
+    ]
+
+
+def _amount(v: Callable[[str], Column]) -> Column:
+    return F.when(
+        v("size").isNotNull(),
+        F.struct(
+            round_money(v("size")).alias("magnitude"),
+            F.when(v("mark") == "CR", "credit").when(v("mark") == "DR", "debit").alias("explicit_direction"),
+            (v("paren") | F.startswith(v("inner"), F.lit("-"))).alias("negative"),
+        ),
+    )
+
+
 def parse_amount(cell: Column) -> Column:
     """struct(magnitude, explicit_direction, negative) of a statement cell; null where it is no amount."""
 
-    def numbered(raw: Column, body: Column, paren: Column) -> Column:
-        mark = F.upper(F.regexp_extract(raw, r"(?i)\b(CR|DR)\b", 1))
-        return let(
-            to_number(F.trim(F.regexp_replace(body, "^-+", ""))),
-            lambda size: F.when(
-                size.isNotNull(),
-                F.struct(
-                    round_money(size).alias("magnitude"),
-                    F.when(mark == "CR", "credit").when(mark == "DR", "debit").alias("explicit_direction"),
-                    (paren | F.startswith(body, F.lit("-"))).alias("negative"),
-                ),
-            ),
-        )
-
-    def unwrapped(raw: Column, body: Column) -> Column:
-        paren = F.startswith(body, F.lit("(")) & F.endswith(body, F.lit(")")) & (F.length(body) >= 2)
-        inner = F.when(paren, F.substring(body, F.lit(2), F.length(body) - 2)).otherwise(body)
-        return let(F.trim(F.regexp_replace(inner, "[$,]", "")), lambda b: numbered(raw, b, paren))
-
-    # Only the first mark is taken out of the text.
-    return let(
-        F.trim(F.coalesce(cell, F.lit(""))),
-        lambda raw: let(
-            F.trim(F.regexp_replace(raw, r"(?i)^(.*?)\b(?:CR|DR)\b", "$1")), lambda body: unwrapped(raw, body)
-        ),
-    )
+    def step(at: int, known: dict[str, Column]) -> Column:
+        steps = _amount_steps(cell)
+        if at == len(steps):
+            return _amount(known.__getitem__)
+        name, value = steps[at]
+        return let(value(known.__getitem__), lambda v: step(at + 1, {**known, name: v}))
+
+    return step(0, {})
+
+
+def with_amount(frame: DataFrame, cell: str, out: str) -> DataFrame:
+    """The frame with parse_amount() of a text column as `out`; each step is a column, so all of it is compiled."""
+    steps = _amount_steps(F.col(cell))
+
+    def of(name: str) -> Column:
+        return F.col(f"__{name}")
+
+    for name, value in steps:
+        frame = frame.withColumn(f"__{name}", value(of))
+    return frame.withColumn(out, _amount(of)).drop(*[f"__{name}" for name, _ in steps])
 
 
 def loose_decimal(text: Column) -> Column:

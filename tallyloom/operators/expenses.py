@@ -19,6 +19,7 @@ _RATE = "decimal(9,3)"
 def read_replies(replies: DataFrame) -> DataFrame:
     """Typed fields of replies(source_file, response); `error` is set where no JSON object is found."""
     parsed = replies.withColumn("body", text.json_object(F.col("response"))).withColumn("reply", F.from_json("body", REPLY))
+    parsed = dates.with_date(parsed.withColumn("date_text", F.col("reply.date")), "date_text", "date")
     field = F.col("reply")
     unread = F.col("body").isNull()
 
@@ -27,7 +28,7 @@ def read_replies(replies: DataFrame) -> DataFrame:
 
     return parsed.select(
         "source_file",
-        dates.parse_date(field["date"]).alias("date"),
+        "date",
         filled("supplier_name").alias("supplier_name"),
         *[money.loose_decimal(field[c]).cast("decimal(18,6)").alias(c) for c in ("total", "sales_tax", "net")],
         money.loose_decimal(field["tax_rate"]).cast(_RATE).alias("tax_rate"),

@@ -153,23 +153,22 @@ def typed_rows(body: DataFrame) -> DataFrame:
         "row_no",
         "layout",
         first.alias("first_cell"),
-        dates.parse_date(date_text, F.col("year_hint")).alias("date"),
+        date_text.alias("date_text"),
+        "year_hint",
         _cell("description").alias("description"),
         by_side.alias("by_side"),
         (debit != "").alias("is_debit"),
-        money.parse_amount(F.when(by_side, side).otherwise(_cell("amount"))).alias("parsed"),
+        F.when(by_side, side).otherwise(_cell("amount")).alias("amount_text"),
         _cell("type").alias("kind"),
-        money.parse_amount(_cell("balance"))["magnitude"].alias("balance"),
+        _cell("balance").alias("balance_text"),
         _cell("ref").alias("bank_ref"),
         *[c for c in ("period_start", "period_end") if c in body.columns],
     )
-    kept = read.where(
-        ~_has_any(F.col("first_cell"), SKIP_WORDS)
-        & (F.col("description") != "")
-        & F.col("date").isNotNull()
-        & F.col("parsed").isNotNull()
-    )
-    return kept.select(
+    read = read.where(~_has_any(F.col("first_cell"), SKIP_WORDS) & (F.col("description") != ""))
+    read = dates.with_date(read, "date_text", "date", F.col("year_hint"))
+    read = money.with_amount(money.with_amount(read, "amount_text", "parsed"), "balance_text", "printed")
+    kept = read.where(F.col("date").isNotNull() & F.col("parsed").isNotNull())
+    return kept.withColumn("balance", F.col("printed.magnitude")).select(
         "source_file",
         "row_no",
         "date",
