@@ -97,6 +97,36 @@ def judge(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD, z: float
                       F.when(free, F.col("share")).alias("share"), F.when(free, F.col("bound")).alias("bound"))
 
 
-@query("op7_url_filter")
+def _level_sql(level: int) -> str:
+    """DuckDB: posterior means of one level (its keys, bad, n, prior, strength, mean), from those of the level above."""
+    keys = ", ".join(LEVELS[: level + 1])
+    above = f"JOIN level{level - 1} AS above USING ({', '.join(LEVELS[:level])})" if level else "CROSS JOIN (SELECT (sum(bad) + 1) / (sum(n) + 2) AS mean FROM names) AS above"
+    return f"""
+  own{level} AS (SELECT {keys}, sum(own.bad) AS bad, sum(own.n) AS n, any_value(above.mean) AS prior FROM names AS own {above} GROUP BY {keys}),
+  fit{level} AS (SELECT sum(n * (bad / n - prior) * (bad / n - prior)) AS ss, sum(prior * (1 - prior)) AS chance, sum((n - 1) * prior * (1 - prior)) AS more
+                 FROM own{level} WHERE n > 0),
+  rho{level} AS (SELECT 1 / least(greatest(coalesce(CASE WHEN more > 0 THEN (ss - chance) / more END, 0.0::DOUBLE), {1 / (STRONGEST + 1)!r}::DOUBLE), {1 / (WEAKEST + 1)!r}::DOUBLE) - 1 AS strength FROM fit{level}),
+  level{level} AS (SELECT *, (prior * strength + bad) / (strength + n) AS mean FROM own{level} CROSS JOIN rho{level})"""
+
+
+SQL = rf"""
+WITH parts AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
+  ruled AS (
+  SELECT *, CASE WHEN ends_with('.' || host, '.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+                 WHEN ends_with('.' || host, '.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+                 WHEN ends_with('.' || host, '.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+                 WHEN ends_with('.' || host, '.net') AND starts_with(path, '/') THEN 'net/' END AS rule FROM parts),
+  judged AS (SELECT *, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' END AS said FROM ruled),
+  names AS (SELECT host, string_split(host, '.')[-1] AS suffix, array_to_string(string_split(host, '.')[-2:], '.') AS domain,
+                   (count(*) FILTER (said = 'block'))::DOUBLE AS bad, count(said)::DOUBLE AS n FROM judged GROUP BY host),
+  {", ".join(_level_sql(i) for i in range(len(LEVELS)))}
+SELECT page_id, host, path, rule, coalesce(said, CASE WHEN mean - {Z} * sqrt(mean * (1 - mean) / (strength + n + 1)) > {THRESHOLD} THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged JOIN level2 USING (host)
+"""
+
+
+@query("op7_url_filter", SQL)
 def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judge(table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict")

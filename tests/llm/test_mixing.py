@@ -2,6 +2,7 @@ import re
 from collections import Counter
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tallyloom.llm import mixing
@@ -45,6 +46,55 @@ def test_query_meets_targets(spark):
         assert abs(taken[s] - want[s]) <= 0.5
 
 
+def spark_hash(*values):
+    """Spark's xxhash64: ("i", 32-bit), ("l", 64-bit) or text, each seeded by the hash before it; nulls are passed over."""
+    h = 42
+    for v in values:
+        if v is not None:
+            data = v.encode() if isinstance(v, str) else v[1].to_bytes(4 if v[0] == "i" else 8, "little", signed=True)
+            h = xxhash.xxh64_intdigest(data, h & (1 << 64) - 1)
+            h -= (h >> 63) << 64
+    return h
+
+
+def plain_taken(rows, block_words):
+    """Words taken of each row (doc_id, text, source), by walking over every word of every slot."""
+    size = [len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for _, t, _ in rows]
+    sizes = Counter()
+    for (_, _, s), n in zip(rows, size):
+        sizes[s] += n
+    targets = plain_targets(sizes)
+    count = max(1, len(rows) // mixing.STRETCH_ROWS)
+    taken = Counter()
+    for no, source in enumerate(sorted(sizes, key=lambda s: (s is None, (s or "").encode())), 1):
+        placed = []
+        for i, ((d, t, s), n) in enumerate(zip(rows, size)):
+            if s == source:
+                copy = spark_hash(("l", 1), ("l", n), ("l", spark_hash(t or "")), s)
+                placed.append((spark_hash(("l", d), ("l", copy)) % count, d, copy, i))
+        words = [i for *_, i in sorted(placed) for _ in range(size[i])]
+        blocks = [words[a:a + block_words] for a in range(0, len(words), block_words)]
+        left, turn = min(round(targets[source]), 3 * sizes[source]), 0
+        while left:
+            lap, x, n = turn // len(blocks), turn % len(blocks), len(blocks)
+            key = spark_hash(("l", no), ("l", lap))
+            for r in range(1, mixing.SWAPS + 1):
+                other = (spark_hash(("i", mixing.SEED), ("i", r), ("l", key)) % n - x) % n
+                if spark_hash(("i", r), ("l", key), ("l", max(x, other)), ("i", mixing.SEED)) & 1:
+                    x = other
+            used = blocks[x][:left]
+            left, turn = left - len(used), turn + 1
+            taken.update(rows[i][0] for i in used)
+    return taken
+
+
+def test_taken_against_plain_loops(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "source")
+    want = plain_taken([tuple(r) for r in docs.collect()], 64)
+    got = {r.doc_id: r.taken for r in mixing.mix(docs, block_words=64)["docs"].collect()}
+    assert got == {d: want.get(d, 0) for d in got}
+
+
 def test_limits_are_shared_again(spark):
     sizes = {"a": 10, "b": 1000, "c": 5, "d": 400, None: 0, "e": 3000, "ä": 1}
     df = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
