@@ -93,6 +93,7 @@ def dedup(docs: DataFrame, **options) -> DataFrame:
     rows = scratch.write(identities(docs, scratch=scratch, **options), "named")
     order = F.struct((-F.col("n_code")).alias("n"), F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("id"), F.col("row").alias("row"))
     groups = rows.groupBy("level", "name").agg(F.min(order).alias("best"), F.count(F.lit(1)).alias("group_size"))
+    groups = scratch.write(groups, "groups")  # so that the join can split the rows of a hot group
     out = rows.join(groups, ["level", "name"])
     return out.select("doc_id", F.col("best.id").alias("keep_id"), "group_size",
                       (F.col("row") == F.col("best.row")).alias("kept"), "text_sha256", "mark")
