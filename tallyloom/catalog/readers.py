@@ -54,7 +54,13 @@ def _(t):
 
 @query("SRC-2", _TXN_SQL)
 def _(t):
-    return _shown(source.parse_csv_lines(t.v_csv_lines))
+    """Statements written as one text file each, and read from there. Folder names are escaped, and once more in paths."""
+    folder = f"{Scratch(t.spark, 'statements').root}/lines"
+    named = t.v_csv_lines.select(F.col("source_file").alias("file"), "row_no", "line").repartition("file").sortWithinPartitions("file", "row_no")
+    named.select("file", "line").write.partitionBy("file").text(folder)
+    lines = source.read_lines(t.spark, folder)
+    name = F.url_decode(F.url_decode(F.regexp_extract("source_file", "/file=([^/]+)/", 1)))
+    return _shown(source.parse_csv_lines(lines.withColumn("source_file", name)))
 
 
 def _html_files(t):
@@ -151,10 +157,12 @@ def _(t):
 
 @query("SRC-7", "SELECT supplier, min(pos) AS pos, arg_min(default_category, pos) AS default_category FROM v_suppliers GROUP BY supplier")
 def _(t):
-    named = t.v_suppliers.select(
-        "pos", F.trim(F.concat(F.lit(" "), "supplier", F.lit(" "))).alias("supplier"), "default_category"
-    )
-    return file_source.first_rows(named, "supplier").select("supplier", "pos", "default_category")
+    """The dimension written as a CSV file with blanks around its names, and read from there."""
+    path = f"{Scratch(t.spark, 'dimension').root}/suppliers"
+    shown = t.v_suppliers.orderBy("pos").coalesce(1).select(F.concat(F.lit(" "), "supplier", F.lit(" ")).alias("Supplier"), F.col("default_category").alias("Category"))
+    shown.write.option("header", "true").option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
+    named = file_source.read_dimension(t.spark, path, {"Supplier": "supplier", "Category": "default_category"}, "supplier")
+    return named.select("supplier", "pos", "default_category")
 
 
 @query(
