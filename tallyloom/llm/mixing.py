@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.durable import Scratch
-from tallyloom.llm.base import WORD, table, text_mark
+from tallyloom.llm.base import WORD, partitions_for, table, text_mark
 from tallyloom.llm.registry import query
 
 BLOCK_WORDS = 1024
@@ -25,7 +25,7 @@ SWAPS = 24
 #: Rows of one stretch of a source: the running totals of a stretch are taken in one task.
 STRETCH_ROWS = 4000
 #: Slots numbered by one task.
-CHUNK = 50_000
+CHUNK = 5_000
 
 
 def n_words(text: Column) -> Column:
@@ -67,7 +67,7 @@ def permuted(index: Column, n: Column, key: Column, seed: int = SEED, swaps: int
     return F.aggregate(F.sequence(F.lit(1), F.lit(swaps)), index.cast("long"), swap)
 
 
-def slots(plan: DataFrame, block_words: int = BLOCK_WORDS, seed: int = SEED, shards: int = 1) -> DataFrame:
+def slots(plan: DataFrame, block_words: int = BLOCK_WORDS, seed: int = SEED, shards: int = 1, partitions: int = 8) -> DataFrame:
     """One row per slot of the mix: source, source_no, slot, round, block, words (used of the block), shard.
 
     plan: source, source_no, source_size, want (words). The last slot of a source may use part of its block.
@@ -81,7 +81,7 @@ def slots(plan: DataFrame, block_words: int = BLOCK_WORDS, seed: int = SEED, sha
     part = F.when(rest > 0, F.least(F.col("n"), F.ceil(rest / block_words) + 1)).otherwise(0)
     x = x.withColumn("rest", rest).withColumn("count", F.col("rounds") * F.col("n") + part)
     chunks = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(count - 1) div {CHUNK}")))
-    x = x.withColumn("chunk", chunks).repartition("source_no", "chunk")
+    x = x.withColumn("chunk", chunks).repartition(partitions, "source_no", "chunk")
     first = F.col("chunk") * CHUNK
     x = x.withColumn("slot", F.explode(F.sequence(first, F.least(first + CHUNK, F.col("count")) - 1)))
     x = x.withColumn("round", F.expr("slot div n")).withColumn("turn", F.expr("slot % n"))
@@ -152,7 +152,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_RO
     want = F.least(F.round("target").cast("long"), F.col("source_size") * most)
     plan = scratch.write(plan.withColumn("source_no", number).withColumn("want", want), "plan")
     total = plan.agg(F.sum("want")).first()[0] or 0
-    made = scratch.write(slots(plan, block_words, seed, max(1, total // shard_words)), "slots")
+    partitions = partitions_for(docs.sparkSession, total // block_words, CHUNK)
+    made = scratch.write(slots(plan, block_words, seed, max(1, total // shard_words), partitions), "slots")
     numbered = placed.join(plan.select(F.col("source").alias("src"), "source_no"), F.col("source").eqNullSafe(F.col("src"))).drop("src")
     last = F.expr(f"(start + size - 1) div {block_words}")
     cells = numbered.filter("size > 0").withColumn("block", F.explode(F.sequence(F.expr(f"start div {block_words}"), last)))
