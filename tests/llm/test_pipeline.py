@@ -79,10 +79,20 @@ def test_pack(steps):
     assert max(lengths.values()) <= 1024 and sum(1024 - n for n in lengths.values()) < 1024
 
 
-def test_run_and_edge_rows(spark, steps, tmp_path):
-    columns = "doc_id long, text string, lang string, source string, n_chars long"
-    rows = [(1, None, "en", "a", 0), (2, "", "en", None, 0), (3, "the and of " * 20, "en", None, 9), (3, "the and of " * 20, "en", None, 9), (4, "der und die " * 30, "de", "a", None), (None, "le la les " * 30, "fr", "b", 1), (5, "el la los " * 30000, None, "b", 1)]
-    spark.createDataFrame(rows, columns).write.parquet(f"{tmp_path}/documents.parquet")
+def test_run_and_edge_rows(spark, tmp_path):
+    columns = "doc_id long, text string, lang string, source string, n_chars long, score string, lang_pred string, fp long, name string, copy int, block string"
+    clash = ("s", "l", 1, "n", 2, "b")
+    rows = [(1, None, "en", "a", 0), (2, "", "en", None, 0), (3, "the and of " * 20, "en", None, 9), (3, "the and of " * 20, "en", None, 9), (4, "der und die " * 30, "de", "a", None), (None, "le la les " * 30, "fr", "b", 1), (5, "el la los " * 30000, None, "b", 1), (6, "12 34", "en", "a", 5)]
+    docs = spark.createDataFrame([(*r, *clash) for r in rows], columns)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        for given in (docs, docs.limit(0)):
+            out = stage(spark, given, str(tmp_path))
+            assert out.schema.simpleString() == docs.schema.simpleString(), name
+            assert all(tuple(r)[5:] == clash for r in out.collect())
+    kept = corpus_pipeline.STAGES[0][1](spark, docs, "").collect()
+    assert sorted(str(r.doc_id) for r in kept) == ["3", "3", "4", "5", "None"]
+    assert len(corpus_pipeline.STAGES[1][1](spark, docs, "").collect()) == 6
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
-    spark.createDataFrame([], columns).write.parquet(f"{tmp_path}/none/documents.parquet")
+    docs.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
