@@ -77,11 +77,12 @@ def plan_run(
     spark = found.sparkSession
     scratch = Scratch(spark, "run")
     stamp = F.lit(run_ts).cast("timestamp")
-    fresh = scratch.write(state.new_files(found, saved.ledger), "fresh")
+    # Contents stay where they are; only the statements among the new files are read again.
+    fresh = scratch.write(state.new_files(found.drop("content"), saved.ledger), "fresh")
     if fresh.isEmpty():
         return RunResult(True, False, *[None] * 7)
-    receipts = fresh.where("stage = 'expense'").drop("content")
-    bank_files = fresh.where("stage = 'bank'")
+    receipts = fresh.where("stage = 'expense'")
+    bank_files = found.join(fresh.where("stage = 'bank'").select("relative_path", "sha256"), ["relative_path", "sha256"], "left_semi")
 
     # Re-uploads replace the rows of the earlier upload and free their bank rows.
     replaced = state.supersede(saved.purchases, state.reuploads(receipts, saved.ledger), run_ts[:10])
@@ -177,8 +178,7 @@ def plan_run(
     # Ledger, gate and summary.
     review_files = rows.select(F.col("source_file").alias("relative_path"), F.col("status").alias("row_status"))
     handled = summary.rows_per_file(
-        fresh.drop("content")
-        .join(review_files, "relative_path", "left")
+        fresh.join(review_files, "relative_path", "left")
         .join(status.select(F.col("source_file").alias("relative_path"), "flagged", "error"), "relative_path", "left")
         .withColumn(
             "status",
