@@ -92,10 +92,11 @@ def links(values: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Fingerprint and component of every row: doc_id, mark, fp (signed long), component_id.
+    """Fingerprint and component of every row: doc_id, mark, fp (signed long), root, component_id.
 
     Two documents are linked if their fingerprints differ in at most two bits; component_id is the
-    smallest doc_id reachable, itself included. Null and empty texts have fingerprint 0 and are linked
+    smallest doc_id reachable, itself included. `root`, a fingerprint, names the component itself: ids that
+    are null or stand for several texts are no name. Null and empty texts have fingerprint 0 and are linked
     like any other. Rows with a null doc_id keep their fingerprint; their component is the smallest
     id among the others there, or null. Repeated rows are returned as often as given. Other columns
     are ignored; an empty table gives an empty result.
@@ -107,14 +108,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     held = values.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     held = scratch.write(held, "roots")
     named = held.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = scratch.write(held.join(named, "root").select("fp", "component_id"), "classes")
-    return rows.join(classes, "fp").select("doc_id", "mark", "fp", "component_id")
+    classes = scratch.write(held.join(named, "root").select("fp", "root", "component_id"), "classes")
+    return rows.join(classes, "fp").select("doc_id", "mark", "fp", "root", "component_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The row of `docs` with the smallest doc_id of each component, with all its columns."""
+    """The row of `docs` with the smallest doc_id of each component, with all its columns.
+
+    A component of null doc_ids keeps one of its rows too. A doc_id of two texts far apart stays twice.
+    """
     first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("doc_id"), F.col("mark").alias("mark")))
-    kept = near_duplicates(docs).groupBy("component_id").agg(first.alias("one"))
+    kept = near_duplicates(docs).groupBy("root").agg(first.alias("one"))
     return keep_listed(docs, kept.select("one.doc_id", "one.mark"))
 
 

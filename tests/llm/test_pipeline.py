@@ -96,3 +96,12 @@ def test_run_and_edge_rows(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
     docs.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_near_copies_keep_distinct_texts_without_usable_ids(spark, tmp_path):
+    texts = ["the and of " * 20, "der und die " * 30, "le la les " * 30, "el la los " * 30]
+    rows = [(None, t, "en", "a", len(t)) for t in texts] + [(5, t.upper() + "x y z", "en", "a", 1) for t in ("red green blue", "white black brown")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
+    for _, stage in corpus_pipeline.STAGES[1:3]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert sorted(map(str, docs.collect())) == sorted(map(str, spark.createDataFrame(rows, docs.schema).collect()))

@@ -75,6 +75,15 @@ def test_edge_rows(spark):
     assert simhash.fingerprint("a b c d " * 30000) == simhash._signed(plain_fingerprint("a b c d " * 30000))
 
 
+def test_one_of_each_without_usable_ids(spark):
+    far = ["one two three", "eins zwei drei", "un deux trois", "uno dos tres"]
+    rows = [(None, far[0]), (None, far[1]), (None, far[1]), (None, far[2].upper()), (None, far[2]), (7, far[2]), (3, "red green blue"), (3, "white black brown"), (3, "white black brown"), (4, "RED green blue"), (9, far[3]), (None, far[3])]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, source string")
+    got = sorted((tuple(r) for r in simhash.one_of_each(df).collect()), key=str)
+    want = [(None, far[0]), (None, far[1]), (7, far[2]), (3, "red green blue"), (3, "white black brown"), (9, far[3])]
+    assert got == sorted([(*w, "x") for w in want], key=str)
+
+
 def test_long_chain(spark):
     n = 200
     df = spark.createDataFrame([(i, i + 1) for i in range(n)], "a long, b long")
