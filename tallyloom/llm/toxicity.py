@@ -1,8 +1,8 @@
 """Toxicity by a weighted lexicon, matched by Aho-Corasick on folded text.
 
 Folding lowers case, maps look-alike letters of other scripts and digits to Latin letters, and turns
-punctuation into spaces, so "1d10t" and "idiot" are one word. The lexicon holds beginnings of words,
-weighted by their log odds in toxic documents of a bounded, labelled sample. Hits inside an exception
+punctuation of any script into spaces, so "1d10t" and "idiot" are one word. The lexicon holds beginnings
+of words, short words as a whole, and runs of characters where a script writes no spaces, weighted by their log odds in toxic documents of a bounded, labelled sample. Hits inside an exception
 phrase do not count. The sum of weights, plain and per word of text, gives the score by a logistic
 curve fitted on the same sample.
 """
@@ -10,6 +10,7 @@ curve fitted on the same sample.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -27,8 +28,10 @@ from tallyloom.llm.registry import query
 SAMPLE = {0: 6000, 1: 3000}
 #: Entries of the lexicon at most; the heaviest stay.
 MOST_TERMS = 5000
-#: Shortest and longest beginning of a word that may be an entry; whole words may be longer.
+#: Shortest and longest beginning of a word that may be an entry; whole words may be shorter or longer.
 SHORTEST, LONGEST = 4, 7
+#: Characters in a row that may be an entry in a script without spaces.
+LONGEST_RUN = 4
 #: An entry stands in so many toxic sample documents, after so many different words, and is so much likelier there.
 LEAST_DOCS, LEAST_CONTEXTS, LEAST_ODDS = 5, 4, 2.0
 #: Words added to a text's length, so that a hit in a very short text is not all there is.
@@ -53,21 +56,61 @@ for _a, _b in DIGITS.items():
     _BYTES[ord(_a)] = ord(_b)
 _BYTES = bytes(_BYTES)
 _MARKS = re.compile(rb"[@$](?![A-Za-z0-9])")
+#: Runs of what is neither ASCII nor a letter or number.
+_ODD = re.compile(r"[^\w\x00-\x7f]+")
+#: Thai, Lao, Myanmar, Khmer, Han and kana: each character, with the marks on it, is a word of its own.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\ua9e0-\ua9ff\uaa60-\uaa7f\uf900-\ufaff\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U0003ffff]" + r"[^\w\x00-\x7f]*")
 
 
-def fold(text: str) -> str:
-    """Folded text between spaces, one character per UTF-8 byte."""
+def _spaced(run: re.Match) -> str:
+    """Spaces for a run of odd characters; accents and vowel signs stay on their letter, invisible ones go."""
+    out, on_letter = [], run.start() > 0 and run.string[run.start() - 1].isalnum()
+    for c in run.group():
+        kind = unicodedata.category(c)
+        if kind == "Cf" or "\ufe00" <= c <= "\ufe0f" or "\U000e0100" <= c <= "\U000e01ef":
+            continue
+        on_letter = on_letter and kind[0] == "M"
+        out.append(c if on_letter else " ")
+    return "".join(out)
+
+
+def _folded(text: str) -> bytes:
     text = text.lower()
     if _SEEN.search(text):
         text = text.translate(_LETTERS).lower()
+    if not text.isascii():
+        text = _UNSPACED.sub(r" \g<0> ", _ODD.sub(_spaced, text))
     data = text.encode("utf-8", "surrogatepass")
     if b"$" in data or b"@" in data:  # at the end of a word they are marks, not letters
         data = _MARKS.sub(b" ", data)
-    return f" {data.translate(_BYTES).decode('latin-1')} "
+    return data.translate(_BYTES)
+
+
+def fold(text: str) -> str:
+    """Folded text between spaces, one character per UTF-8 byte."""
+    return f" {_folded(text).decode('latin-1')} "
+
+
+def folded_words(text: str) -> list[str]:
+    """Words of the folded text. Split as bytes: two of the bytes inside letters are white space in Latin-1."""
+    return [w.decode("latin-1") for w in _folded(text).split()]
+
+
+def _unspaced(word: str) -> bool:
+    return word[0] >= "\xe0" and _UNSPACED.match(word.encode("latin-1").decode()) is not None
 
 
-def terms(word: str) -> list[str]:
-    return [word[:n] for n in range(SHORTEST, min(len(word) - 1, LONGEST) + 1)] + [word] if len(word) >= SHORTEST else []
+def terms(words: list[str]) -> Iterator[tuple[int, list[str]]]:
+    """Place and possible entries of every word. An entry that ends in a space matches up to the end of a word."""
+    alone = [_unspaced(w) for w in words]
+    for at, word in enumerate(words):
+        if alone[at]:
+            sizes = range(1, LONGEST_RUN + 1)
+            yield at, [" ".join(words[at:at + n]) + " " for n in sizes if at + n <= len(words) and all(alone[at:at + n])]
+        elif len(word) < SHORTEST:
+            yield at, [word + " "]
+        else:
+            yield at, [word[:n] for n in range(SHORTEST, min(len(word) - 1, LONGEST) + 1)] + [word]
 
 
 @dataclass
@@ -86,7 +129,7 @@ class Lexicon:
             machine.add_word(f" {term}", (weight, len(term)))
         for phrase in self.exceptions:
             # Runs of spaces are one space in the matched text, so phrases match over any white space.
-            own = " ".join(fold(phrase).split())
+            own = " ".join(folded_words(phrase))
             machine.add_word(f" {own} ", (None, len(own) + 1))
         if len(machine):
             machine.make_automaton()
@@ -96,7 +139,7 @@ class Lexicon:
         """Summed weight of the hits outside exception phrases, and the number of words."""
         if self.machine is None:
             self.machine = self.build()
-        words = fold(text or "").split()
+        words = folded_words(text or "")
         if not words or not len(self.machine):
             return 0.0, len(words)
         hits, spared = [], []
@@ -141,11 +184,11 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     docs, contexts = ({}, {}), {}
     for batch in batches:
         for x, label in zip(batch.column("text"), batch.column("toxic").to_pylist()):
-            words = fold(x.as_py() or "").split()
+            words = folded_words(x.as_py() or "")
             found = {}
-            for before, word in zip(["", *words], words):
-                bit = 1 << sum(before.encode("latin-1")) % 63
-                for term in terms(word):
+            for at, entries in terms(words):
+                bit = 1 << sum(words[at - 1].encode("latin-1") if at else b"") % 63
+                for term in entries:
                     found[term] = found.get(term, 0) | bit
             own = docs[label]
             for term, bits in found.items():

@@ -32,6 +32,28 @@ def test_folding():
     assert tx.fold("é").strip().encode("latin-1").decode() == "é"
 
 
+def test_marks_of_any_script_are_spaces():
+    for mark in "“”‘’«»‹›–—…¡¿·•、。「」،؟।\u00a0\u3000\u2028☠🤬":
+        assert tx.folded_words(f"an{mark}idiot{mark}") == ["an", "idiot"], mark
+    assert tx.folded_words("☠\ufe0fidiot id\u2060iot \ufeffidiot") == ["idiot"] * 3
+    for word in ("cafe\u0301", "हिन्दी", "voilà", "\u0448\u0445\u0448"):  # marks on letters, bytes 85 and A0 within letters
+        assert len(tx.folded_words(f"({word})")) == 1, word
+    lexicon = tx.Lexicon({"idiot": 1.0, "ass ": 2.0, " ".join(tx.folded_words("混蛋")) + " ": 4.0}, ("smart ass",))
+    assert [lexicon.measure(t)[0] for t in ("“Idiot”", "you—idiot", "¡idiot!", "assume", "an ass", "smart ass", "ass ass", "他是混蛋吗", "混的")] == [1, 1, 1, 0, 2, 0, 4, 4, 0]
+
+
+def test_learns_short_words_marked_words_and_runs(spark):
+    fill = "red green blue white black brown pink grey".split()
+    han = "天地人山水火木金土日"
+    toxic = ["{0} “moron” {1}", "{0}—moron {1}", "the {0} ass {1}", "{2}{3}混蛋{3}{2}"]
+    clean = ["the {0} weather is {1}", "they assume {0} or {1}", "{2}{3}{2}{2}{3}", "so {1} passes {0}"]
+    rows = [(i, (toxic if i % 3 == 0 else clean)[i // 3 % 4].format(fill[i % 7], fill[i % 8], han[i % 10], han[i // 10 % 10])) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(900)], "doc_id long, toxic int")
+    got = tx.rate(docs, labels).collect()
+    assert [r.doc_id for r in got if r.predicted != (r.doc_id % 3 == 0)] == []
+
+
 def test_measure_against_plain_matching():
     lexicon = tx.Lexicon({t: w for t, w in zip(["iose", "stupid", "trash", "mor"], [1.0, 2.0, 4.0, 8.0])}, ("trash can", "stupid question"))
     rng = np.random.default_rng(4)
