@@ -72,6 +72,7 @@ class Model:
     weights: np.ndarray  # features x languages, inverse document frequency included
     bias: np.ndarray
     temperature: float
+    tested: bool = True  # rows left out of the fit were named right more often than by chance
 
     def scores(self, text: str) -> np.ndarray:
         total, count = np.zeros(len(self.languages)), 0
@@ -164,7 +165,8 @@ def fit(rows: list[tuple[str, str]], df: np.ndarray) -> Model:
         return -sum(np.log(max(softmax(s / t)[lang], 1e-12)) for s, lang in logits)
 
     temperature = min(np.geomspace(0.05, 5.0, 60), key=loss) if logits else 1.0
-    return Model(languages, (w[:-1] * idf[:, None]).astype(np.float32), w[-1], float(temperature))
+    right = sum(int(np.argmax(s)) == lang for s, lang in logits)
+    return Model(languages, (w[:-1] * idf[:, None]).astype(np.float32), w[-1], float(temperature), right * len(languages) > len(logits))
 
 
 def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
@@ -208,16 +210,27 @@ def identify(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "held_out", "lang_pred", "score")
 
 
-#: A document whose best language is less likely than this is in none of them. Short texts and texts in two
-#: languages score low but stay: among four languages, none at all would score about a quarter.
-LEAST_SCORE = 0.3
+#: A document whose best language is less likely than this multiple of chance is in none of them: 0.3 among four
+#: languages. Short texts and texts in two of several languages score low but stay.
+LEAST_OVER_CHANCE = 1.2
 
 
-def in_a_language(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
-    """The rows of `docs` whose text is in one of the learned languages, with all their columns."""
+def least_score(model: Model, over_chance: float = LEAST_OVER_CHANCE) -> float:
+    """The lowest score that is taken: none is too low if the model was not tested, and a single language scores 1."""
+    return min(1.0, over_chance / len(model.languages)) if model.tested else 0.0
+
+
+def in_a_language(docs: DataFrame, over_chance: float = LEAST_OVER_CHANCE) -> DataFrame:
+    """The rows of `docs` whose text is in one of the learned languages, with all their columns.
+
+    Where no language was learned, every row whose text has a letter stays.
+    """
+    model = train(learnable(docs))
+    if not model.languages:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     own = {c: f"__{c}" for c in docs.columns if c in ("lang_pred", "score")}  # columns of that name are kept as they are
-    found = predict(docs.withColumnsRenamed(own), train(learnable(docs)))
-    kept = found.filter((F.col("lang_pred") != "und") & (F.col("score") >= least))
+    found = predict(docs.withColumnsRenamed(own), model)
+    kept = found.filter((F.col("lang_pred") != "und") & (F.col("score") >= least_score(model, over_chance)))
     return kept.select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns])
 
 

@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallyloom.llm import language_id as lid
 from tallyloom.llm.catalog import QUERIES
@@ -64,3 +65,20 @@ def test_edge_rows(spark):
     assert all(by[d].lang_pred in ("en", "de") for d in (1, 2, 6, 7, None, 9))
     assert lid.identify(df.limit(0)).count() == 0
     assert {r.lang_pred for r in lid.identify(df.selectExpr("doc_id", "text", "cast(null as string) lang")).collect()} == {"und"}
+
+
+def test_least_score_follows_chance(spark, monkeypatch):
+    none = np.zeros((0, 0), np.float32), np.zeros(0), 1.0
+    assert [lid.least_score(lid.Model(["x"] * n, *none)) for n in (1, 2, 4, 100)] == [1.0, 0.6, 0.3, 0.012]
+    assert lid.least_score(lid.Model(["x"] * 4, *none, tested=False)) == 0.0
+    texts = {"en": "the weather of this house and that garden", "de": "das wetter dieses hauses und jener garten"}
+    rows = [(i, texts["en" if i % 2 else "de"], "en" if i % 2 else "de") for i in range(200)]
+    df = spark.createDataFrame([*rows, (500, "\u4f60\u597d", None), (501, "12 34", None), (502, None, None)], "doc_id long, text string, lang string")
+    alone = df.filter("lang = 'en' OR lang IS NULL")
+    assert sorted(r.doc_id for r in lid.in_a_language(alone).collect()) == [*range(1, 200, 2), 500]
+    assert lid.fit([("en", texts["en"]), ("de", texts["de"])] * 20, np.ones(lid.FEATURES + 1)).tested
+    unlabelled = lid.in_a_language(df.withColumn("lang", F.lit(None).cast("string")))
+    assert sorted(r.doc_id for r in unlabelled.collect()) == [*range(200), 500] and unlabelled.columns == df.columns
+    unsure = lid.Model(["de", "en"], np.zeros((lid.FEATURES, 2), np.float32), np.array([0.2, 0.0]), 1.0)  # 0.55 against 0.45
+    monkeypatch.setattr(lid, "train", lambda docs: unsure)
+    assert lid.in_a_language(df).count() == 0
