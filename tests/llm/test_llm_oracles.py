@@ -17,5 +17,5 @@ def test_query(spark, key):
 
 def test_entry_lists_all():
     names = __spark_entry__.queries()
-    assert "pipeline" in names and [n for n in range(1, 11) if not any(k.startswith(f"op{n}_") for k in names)] == []
+    assert "pipeline" in names and [n for n in range(1, 14) if not any(k.startswith(f"op{n}_") for k in names)] == []
     assert set(__spark_entry__.oracle_sql()) <= set(names)
