@@ -21,11 +21,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from tallyloom.durable import Scratch
 from tallyloom.llm.base import table
@@ -114,45 +113,50 @@ def jump(pointers: np.ndarray) -> np.ndarray:
 
 
 class Block:
-    """The tokens of some texts, laid end to end, and their groups and links."""
+    """The tokens of some texts, laid end to end, and their groups and links.
+
+    Each stretch between two ends of either side is one link of an A token and a B token. A link is kept as
+    its pair's place among the block's distinct pairs, most frequent first, and by what it opens.
+    """
 
     def __init__(self, encoded: list[tuple[list[int], list[int]]], own: Tokenizers) -> None:
-        count_a, count_b = np.array([len(a) for a, _ in encoded], np.int64), np.array([len(b) for _, b in encoded], np.int64)
-        a = np.fromiter((i for x, _ in encoded for i in x), np.int64, int(count_a.sum()))
-        b = np.fromiter((i for _, x in encoded for i in x), np.int64, int(count_b.sum()))
+        count_a, count_b = (np.array([len(x[side]) for x in encoded], np.int64) for side in (0, 1))
+        a, b = (np.fromiter((i for x in encoded for i in x[side]), np.int64, int(n.sum())) for side, n in ((0, count_a), (1, count_b)))
         a_ends, b_ends = np.cumsum(own.a.size[a]), np.cumsum(own.b.size[b])
         label = jump(successors(a_ends, b_ends))
-        # Groups in order of their last tokens, which are tokens of B.
-        last = np.unique(label) - len(a)
-        group = np.searchsorted(last, label - len(a))
-        group_a, group_b = group[:len(a)], group[len(a):]
-        self.n_a, self.n_b = count_a, count_b
-        self.n_groups = np.diff(np.searchsorted(last, np.cumsum(count_b), side="left"), prepend=0)
-        self._print(own, a, b, group_a, group_b)
-        # Each stretch between two ends of either side is one link of an A token and a B token.
         ends = np.union1d(a_ends, b_ends)
-        at_b = np.searchsorted(b_ends, ends, side="left")
-        codes = a[np.searchsorted(a_ends, ends, side="left")] << 32 | b[at_b]
+        at_a, at_b = np.searchsorted(a_ends, ends, side="left"), np.searchsorted(b_ends, ends, side="left")
         self.n_links = np.diff(np.searchsorted(at_b, np.cumsum(count_b), side="left"), prepend=0)
-        self.codes, slots, self.times = np.unique(codes, return_inverse=True, return_counts=True)
-        self.slots = slots.astype("<u4")
-
-    def _print(self, own: Tokenizers, a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray) -> None:
-        first_a, first_b = np.diff(group_a, prepend=-1) > 0, np.diff(group_b, prepend=-1) > 0
-        in_a, in_b = len(own.a.tokens), len(own.b.tokens)
-        forms = np.empty(len(a) + len(b), np.int64)
-        # A token stands behind all tokens of earlier groups, and B's behind A's of its own group.
-        forms[np.arange(len(a)) + np.searchsorted(group_b, group_a, side="left")] = a + np.where(first_a, 0, in_a)
-        forms[np.arange(len(b)) + np.searchsorted(group_a, group_b, side="right")] = b + 2 * in_a + np.where(first_b, 0, in_b)
-        texts = own.forms[forms].tolist()
-        ends = np.cumsum(self.n_a + self.n_b).tolist()
-        self.groups = [b"".join(texts[s:e])[1:] for s, e in zip([0, *ends], ends)]
-
-    def rows(self) -> dict[str, pa.Array]:
-        ends = np.cumsum(self.n_links).tolist()
-        numbers = {name: pa.array(getattr(self, name), pa.int64()) for name in ("n_a", "n_b", "n_groups", "n_links")}
-        slots = pa.array([self.slots[s:e].tobytes() for s, e in zip([0, *ends], ends)], pa.binary())
-        return {**numbers, "groups": pa.array(self.groups, pa.binary()).cast(pa.string()), "slots": slots}
+        opens = [np.diff(x, prepend=-1) != 0 for x in (at_a, at_b, label[at_a])]
+        self.opens = sum(flag.astype(np.uint8) << bit for bit, flag in enumerate(opens)) if len(ends) else np.empty(0, np.uint8)
+        codes, slots, times = np.unique(a[at_a] << 32 | b[at_b], return_inverse=True, return_counts=True)
+        order = np.argsort(-times, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.codes, self.times, self.slots = codes[order], times[order], place[slots]
+
+    def columns(self) -> dict[str, bytes]:
+        kind = "<u2" if len(self.codes) < 1 << 16 else "<u4"
+        # Low and high bytes apart: the high ones are mostly zero.
+        slots = np.ascontiguousarray(self.slots.astype(kind).view(np.uint8).reshape(len(self.slots), int(kind[-1])).T)
+        packed = {"slots": slots, "opens": self.opens, "codes": self.codes.astype("<i8"), "times": self.times.astype("<i8")}
+        return {name: zstandard.compress(values.tobytes()) for name, values in packed.items()}
+
+
+def _unpacked(value: pa.Scalar, kind: str) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(value.as_py()), kind)
+
+
+def printed(a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray, counts: np.ndarray, own: Tokenizers) -> list[bytes]:
+    """The groups of each text as `a1,a2|b1;a3|b2,b3`; counts are its tokens of both sides."""
+    first_a, first_b = np.diff(group_a, prepend=-1) > 0, np.diff(group_b, prepend=-1) > 0
+    in_a, in_b = len(own.a.tokens), len(own.b.tokens)
+    forms = np.empty(len(a) + len(b), np.int64)
+    # An A token stands behind all tokens of earlier groups, a B token also behind the A tokens of its own.
+    forms[np.arange(len(a)) + np.searchsorted(group_b, group_a, side="left")] = a + np.where(first_a, 0, in_a)
+    forms[np.arange(len(b)) + np.searchsorted(group_a, group_b, side="right")] = b + 2 * in_a + np.where(first_b, 0, in_b)
+    texts, ends = own.forms[forms].tolist(), np.cumsum(counts).tolist()
+    return [b"".join(texts[s:e])[1:] for s, e in zip([0, *ends], ends)]
 
 
 def _blocks(texts: list[str | None], chars: int) -> Iterator[tuple[int, int]]:
@@ -171,14 +175,12 @@ def _aligned(ranks: str, pieces: str, chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, number = tokenizers(ranks, pieces), TaskContext.get().partitionId() << 32
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            texts, ids = batch.column("text").to_pylist(), batch.column("doc_id")
             for start, end in _blocks(texts, chars):
                 block = Block(own.encode(texts[start:end]), own)
-                n = end - start
-                # The block's distinct pairs and their counts stand in its first row.
-                pairs = {"codes": block.codes.astype("<i8").tobytes(), "times": block.times.astype("<i8").tobytes()}
-                columns = {"doc_id": batch.column("doc_id").slice(start, n), "block": pa.array(np.full(n, number), pa.int64()), **block.rows(),
-                           **{k: pa.array([v, *[None] * (n - 1)], pa.binary()) for k, v in pairs.items()}}
+                lists = {"doc_ids": ids.slice(start, end - start), "n_links": pa.array(block.n_links, pa.int64())}
+                columns = {"block": pa.array([number], pa.int64()), **{k: pa.ListArray.from_arrays(pa.array([0, end - start], pa.int32()), v) for k, v in lists.items()},
+                           **{k: pa.array([v], pa.binary()) for k, v in block.columns().items()}}
                 number += 1
                 yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
@@ -188,23 +190,33 @@ def _aligned(ranks: str, pieces: str, chars: int):
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for block, codes, times in zip(batch.column("block"), batch.column("codes"), batch.column("times")):
-            codes, times = np.frombuffer(codes.as_py(), "<i8"), np.frombuffer(times.as_py(), "<i8")
+            codes, times = _unpacked(codes, "<i8"), _unpacked(times, "<i8")
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(codes), block.as_py()), pa.int64()), pa.array(codes), pa.array(times)], ["block", "code", "times"])
 
 
-def _scored(kind: pa.DataType):
-    def run(docs: pa.Table, totals: pa.Table) -> pa.Table:
+def _scored(ranks: str, pieces: str):
+    def run(blocks: pa.Table, totals: pa.Table) -> pa.Table:
+        own, row = tokenizers(ranks, pieces), {name: blocks.column(name)[0] for name in blocks.column_names}
+        codes, n_links = _unpacked(row["codes"], "<i8"), row["n_links"].values.to_numpy()
+        slots = _unpacked(row["slots"], np.uint8).reshape(2 if len(codes) < 1 << 16 else 4, int(n_links.sum()))
+        slots = sum(plane.astype(np.int64) << 8 * i for i, plane in enumerate(slots))
         totals = totals.sort_by("code")
-        count = totals.column("total").to_numpy()
-        best = pc.equal(totals.column("total"), totals.column("most")).to_numpy().astype(np.int64)
-        sums, bests = [], []
-        for row in docs.column("slots").to_pylist():
-            slots = np.frombuffer(row, "<u4")
-            sums.append(int(count[slots].sum()))
-            bests.append(int(best[slots].sum()))
-        out = docs.select(["doc_id", "n_a", "n_b", "n_groups", "n_links"])
-        out = out.append_column("n_best", pa.array(bests, pa.int64())).append_column("count_sum", pa.array(sums, pa.int64()))
-        return out.append_column("groups", docs.column("groups"))
+        found = np.searchsorted(totals.column("code").to_numpy(), codes)
+        count = totals.column("total").to_numpy()[found]
+        best = count == totals.column("most").to_numpy()[found]
+        opens, code = _unpacked(row["opens"], np.uint8), codes[slots]
+        new_a, new_b, new_group = ((opens >> bit & 1).astype(bool) for bit in range(3))
+        group = np.cumsum(new_group) - 1
+        cuts = np.append(0, np.cumsum(n_links))
+
+        def per_text(values: np.ndarray) -> np.ndarray:
+            return np.diff(np.append(0, np.cumsum(values.astype(np.int64)))[cuts])
+
+        n_a, n_b = per_text(new_a), per_text(new_b)
+        groups = printed(code[new_a] >> 32, code[new_b] & 0xFFFFFFFF, group[new_a], group[new_b], n_a + n_b, own)
+        numbers = {"n_a": n_a, "n_b": n_b, "n_groups": per_text(new_group), "n_links": n_links, "n_best": per_text(best[slots]), "count_sum": per_text(count[slots])}
+        columns = [row["doc_ids"].values, *[pa.array(v, pa.int64()) for v in numbers.values()], pa.array(groups, pa.binary()).cast(pa.string())]
+        return pa.table(columns, names=["doc_id", *numbers, "groups"])
 
     return run
 
@@ -223,20 +235,20 @@ def align(docs: DataFrame, ranks: str | None = None, pieces: str | None = None,
     import public_tokenizers
 
     files = ranks or str(public_tokenizers.path(RANKS)), pieces or str(public_tokenizers.path(PIECES))
-    kind = docs.schema["doc_id"].dataType
+    kind = docs.schema["doc_id"].dataType.simpleString()
     scratch = Scratch(docs.sparkSession, "alignment")
-    schema = f"doc_id {kind.simpleString()}, block long, n_a long, n_b long, n_groups long, n_links long, groups string, slots binary, codes binary, times binary"
+    schema = f"block long, doc_ids array<{kind}>, n_links array<long>, slots binary, opens binary, codes binary, times binary"
     # Written once, so that a block keeps its number and its texts, whichever executor is lost later.
-    made = scratch.write(docs.select("doc_id", "text").mapInArrow(_aligned(*files, block_chars), schema), "tokens")
-    found = made.filter("codes is not null").select("block", "codes", "times").mapInArrow(_pairs, "block long, code long, times long")
+    made = scratch.write(docs.select("doc_id", "text").mapInArrow(_aligned(*files, block_chars), schema), "blocks")
+    found = made.select("block", "codes", "times").mapInArrow(_pairs, "block long, code long, times long")
     totals = scratch.write(found.groupBy("code").agg(F.sum("times").alias("total")), "totals")
     second = F.col("code").bitwiseAND(F.lit(0xFFFFFFFF))
     most = totals.groupBy(second.alias("b")).agg(F.max("total").alias("most"))
     totals = totals.withColumn("b", second).join(most, "b").select("code", "total", "most")
     answers = found.select("block", "code").join(totals, "code")
-    rows = made.select("block", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "slots")
-    out = f"doc_id {kind.simpleString()}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
-    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_scored(to_arrow_type(kind)), out)
+    rows = made.select("block", "doc_ids", "n_links", "slots", "opens", "codes")
+    out = f"doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
+    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_scored(*files), out)
 
 
 @query("op12_token_alignment")
