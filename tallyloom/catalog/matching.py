@@ -68,12 +68,13 @@ class _Names:
     def __init__(self, t):
         self.book = resolve.Book(t.v_suppliers, t.v_aliases)
         self.names = t.v_names.select("seq", "name", "context", "source_file")
-        self.index = resolve.supplier_index(t.v_suppliers)
-        self.aliases = resolve.alias_index(t.v_aliases)
+        scratch = Scratch(t.spark, "names")
+        self.index = scratch.write(resolve.supplier_index(t.v_suppliers), "index")
+        self.aliases = scratch.write(resolve.alias_index(t.v_aliases), "aliases")
         self.norms = self.names.select(text.normalise_name(F.col("name")).alias("norm")).distinct()
         known = resolve.alias_tier(self.norms, self.aliases)
         rest = self.norms.join(known, "norm", "left_anti")
-        self.rest = rest.join(resolve.exact_tier(rest, self.index), "norm", "left_anti")
+        self.rest = scratch.write(rest.join(resolve.exact_tier(rest, self.index), "norm", "left_anti"), "rest")
 
     def ranked(self):
         return resolve.rank_candidates(

@@ -1,71 +1,145 @@
 """Similarity search of names against a supplier dimension.
 
-The dimension is dealt into slices and the names into chunks by a hash; each pair of a slice and a
-chunk meets in one task, by a cogroup on (slice, chunk). An upper bound on the score, from shared words
-and letters, skips most comparisons; only the wanted results leave a task. Every name meets every
-slice, so the result is whole for any size; nothing is broadcast and nothing passes the driver.
+Best suppliers of a name. The tenth best score of a name may be low, and below about 70 two names need
+not share a single pair of letters, so no index key is safe. Names and dimension are therefore dealt
+into chunks and slices that meet by a cogroup, and a name is held against a whole slice at once: the
+suppliers that share the same words with it are scored together, one numpy step per letter of what is
+left of them. Names beyond one machine word get a bound and are scored one by one while it matters.
+
+Similar suppliers. A high score leaves traces: names that reach it share many letter pairs, or the
+words of one make up most of the other. So each name is filed under its rarest letter pairs only, as many as
+the score asks for, and meets the names that hold one of them by an equi-join.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.functions.scorers import ratio, token_set_ratio
+from tallyloom.durable import Scratch
+from tallyloom.functions.bind import let
+from tallyloom.functions.scorers import ratio, scorer, token_set_ratio
 
-_LETTERS = 64
+#: Letters of a name that fit one machine word; longer ones are scored one by one.
+LONGEST = 63
+#: Sets of shared words for which a slice remembers what is left of its names.
+LEFTOVERS = 64
 TOP = "norm string, pos bigint, place int, token_set double, plain double"
-SIMILAR = "pos_a bigint, pos_b bigint, token_set double, leads boolean"
-
-
-def _bag(text: str) -> np.ndarray:
-    return np.bincount([ord(ch) % _LETTERS for ch in text], minlength=_LETTERS).astype(np.int32)
-
-
-def _pack(pos: list[int], norms: list[str]) -> tuple:
-    flat = [" ".join(sorted(set(n.split()))) for n in norms]
-    bags = np.array([_bag(f) for f in flat]).reshape(len(norms), _LETTERS)
-    holders: dict[str, list[int]] = {}
-    for i, n in enumerate(norms):
-        for w in set(n.split()):
-            holders.setdefault(w, []).append(i)
-    return pos, norms, np.array([len(f) for f in flat]), bags, holders
+#: Keys a name has beyond the first that must be met.
+EXTRA_KEYS = 4
+#: Names that share a letter pair met by one task before the pair is split over several.
+PAIR_ROWS = 2_000
+
+
+class _Letters:
+    """Texts as columns of letter numbers, for comparing one text with all of them in step."""
+
+    def __init__(self, texts: list[str], alphabet: dict[str, int]) -> None:
+        self.alphabet = alphabet
+        self.size = np.array([len(t) for t in texts], np.int64)
+        self.fits = self.size <= LONGEST
+        self.cells = np.zeros((int(self.size[self.fits].max(initial=0)), len(texts)), np.int32)
+        for i in np.flatnonzero(self.fits).tolist():
+            self.cells[: self.size[i], i] = [alphabet[ch] for ch in texts[i]]
+
+    def common(self, other: str, at: np.ndarray) -> np.ndarray:
+        """Longest common subsequence of `other` with the texts `at`: one bit per letter, one step per place."""
+        masks = np.zeros(len(self.alphabet) + 1, np.uint64)  # number 0 stands behind the end of a text
+        for i, ch in enumerate(other):
+            if ch in self.alphabet:
+                masks[self.alphabet[ch]] |= np.uint64(1 << i)
+        full = np.uint64((1 << len(other)) - 1)
+        open_bits = np.full(len(at), full)
+        for cell in self.cells:
+            hit = open_bits & masks[cell[at]]
+            open_bits = ((open_bits + hit) | (open_bits - hit)) & full
+        return len(other) - np.bitwise_count(open_bits).astype(np.int64)
 
 
 class _Slice:
-    """Names of one slice with what the upper bound on a score needs."""
-
-    def __init__(self, packed: tuple) -> None:
-        self.pos, self.norms, self.size, self.bags, self.holders = packed
-
-    def bounds(self, norm: str) -> np.ndarray:
-        """No token-set score can exceed this. Sharing a word may lift a score up to 100."""
-        flat = " ".join(sorted(set(norm.split())))
-        common = np.minimum(self.bags, _bag(flat)).sum(axis=1)
-        top = 200.0 * common / np.maximum(self.size + len(flat), 1)
-        for w in set(norm.split()):
-            top[self.holders.get(w, [])] = 100.0
-        return top
-
-
-def _best(slice_: _Slice, norm: str, k: int) -> list[tuple[int, float]]:
-    """Index and score of the k best names, ties by position."""
-    top = slice_.bounds(norm)
-    found: list[tuple[float, int]] = []
-    floor = -1.0
-    for i in np.argsort(-top, kind="stable"):
-        if len(found) >= k and top[i] < floor - 1e-9:
-            break
-        found.append((-token_set_ratio(norm, slice_.norms[i]), int(i)))
-        if len(found) >= k:
-            found = sorted(found)[:k] if len(found) > 4 * k else found
-            floor = -sorted(found)[k - 1][0]
-    return [(i, -s) for s, i in sorted(found)[:k]]
+    """Names of one slice of the dimension, laid out for scoring one name against all of them."""
+
+    def __init__(self, pos: list[int], norms: list[str]) -> None:
+        self.pos, self.norms = np.array(pos), norms
+        self.sets = [sorted(set(n.split())) for n in norms]
+        self.words = np.array([len(words) for words in self.sets])
+        self.size = np.array([len(" ".join(words)) for words in self.sets])
+        holders: dict[str, list[int]] = {}
+        for i, words in enumerate(self.sets):
+            for w in words:
+                holders.setdefault(w, []).append(i)
+        self.holders = {w: np.array(at) for w, at in holders.items()}
+        self.alphabet = {ch: i + 1 for i, ch in enumerate(sorted(set("".join(norms)) | {" "}))}
+        self.without = lru_cache(LEFTOVERS)(self._without)
+
+    def _without(self, shared: tuple[str, ...]) -> tuple[np.ndarray, _Letters]:
+        """The names that hold all these words, and what is left of them without."""
+        at = np.arange(len(self.norms))
+        for w in shared:
+            at = np.intersect1d(at, self.holders[w], assume_unique=True)
+        gone = set(shared)
+        return at, _Letters([" ".join(w for w in self.sets[i] if w not in gone) for i in at.tolist()], self.alphabet)
+
+    def scores(self, norm: str) -> tuple[np.ndarray, np.ndarray]:
+        """(score or a bound on it, whether it is the score) of every name; only long names are left to bounds."""
+        words = sorted(set(norm.split()))
+        best, known = np.zeros(len(self.norms)), self.words == 0
+        if not words:
+            return best, np.ones(len(self.norms), bool)
+        # Names by the words they share with this one.
+        met, groups = [w for w in words if w in self.holders], np.zeros(len(self.norms), np.int64)
+        which: dict[int, tuple[str, ...]] = {0: ()}
+        for w in met:
+            at = self.holders[w]
+            new: dict[tuple[int, str], int] = {}
+            for g in np.unique(groups[at]).tolist():
+                new[g, w] = len(which)
+                which[len(which)] = (*which[g], w)
+                groups[at[groups[at] == g]] = new[g, w]
+        for g in np.unique(groups).tolist():
+            shared = which[g]
+            mine = " ".join(w for w in words if w not in shared)
+            holders, left = self.without(shared)
+            here = np.flatnonzero(groups[holders] == g)
+            at, b = holders[here], left.size[here]
+            if shared and not mine:
+                best[at], known[at] = 100.0, True
+                continue
+            a, same, gap = len(mine), len(" ".join(shared)), 1 if shared else 0
+            fits = left.fits[here] & (a <= LONGEST)
+            common = np.minimum(a, b)
+            if fits.any():
+                common[fits] = left.common(mine, here[fits])
+            score = 100.0 * (1.0 - (a + b - 2 * common) / np.maximum(2 * (same + gap) + a + b, 1))
+            if shared:
+                for part in (a, b):
+                    score = np.maximum(score, 100.0 * (1.0 - (gap + part) / (2 * same + gap + part)))
+                whole = b == 0
+                score[whole], fits[whole] = 100.0, True
+            empty = known[at]
+            best[at], known[at] = np.where(empty, 0.0, score), fits | empty
+        return best, known
+
+    def best(self, norm: str, k: int) -> list[tuple[int, float]]:
+        """Index and score of the k best names, ties by position."""
+        top, known = self.scores(norm)
+        sure = np.flatnonzero(known)
+        if len(sure) > k:
+            sure = sure[top[sure] >= np.partition(top[sure], -k)[-k]]
+        found = sorted((-float(top[i]), int(i)) for i in sure)[:k]
+        floor = -found[-1][0] if len(found) >= k else -1.0
+        open_ = np.flatnonzero(~known & (top >= floor - 1e-9))
+        for i in open_[np.argsort(-top[open_], kind="stable")].tolist():
+            if len(found) >= k and top[i] < -found[-1][0] - 1e-9:
+                break
+            found = sorted([*found, (-token_set_ratio(norm, self.norms[i]), i)])[:k]
+        return [(i, -s) for s, i in found]
 
 
 def _met(names: DataFrame, key: str, dim: DataFrame, slice_rows: int, run, schema: str) -> tuple[DataFrame, int]:
@@ -93,7 +167,7 @@ def _met(names: DataFrame, key: str, dim: DataFrame, slice_rows: int, run, schem
         if not len(mine) or not len(theirs):
             return pd.DataFrame([], columns=columns)
         theirs = theirs.sort_values("pos", kind="stable")
-        held = _Slice(_pack(theirs["pos"].tolist(), theirs["norm"].tolist()))
+        held = _Slice(theirs["pos"].tolist(), theirs["norm"].tolist())
         return pd.DataFrame(list(run(mine, held)), columns=columns)
 
     return pairs.applyInPandas(meet, schema), slices
@@ -107,7 +181,7 @@ def top_candidates(names: DataFrame, dim: DataFrame, k: int, slice_rows: int) ->
 
     def run(mine: pd.DataFrame, held: _Slice) -> Iterator[tuple]:
         for norm in mine["norm"]:
-            for place, (i, score) in enumerate(_best(held, norm, k)):
+            for place, (i, score) in enumerate(held.best(norm, k)):
                 other = held.norms[i]
                 yield norm, held.pos[i], place + 1, score, ratio(norm, other) if len(other.split()) == 1 else None
 
@@ -119,21 +193,96 @@ def top_candidates(names: DataFrame, dim: DataFrame, k: int, slice_rows: int) ->
     return out
 
 
-def similar_pairs(dim: DataFrame, least: float, slice_rows: int) -> DataFrame:
-    """Pairs (pos_a < pos_b) scoring at least `least`, or of which one leads the other."""
+def letter_pairs(dim: DataFrame) -> DataFrame:
+    """(pos, size, gram, nth): neighbouring letters of each distinct word, a blank before and behind it; repeats are
+    numbered. size is the length of the distinct words, joined."""
+    words = F.array_distinct(F.filter(F.split("norm", " "), lambda w: w != ""))
+    grams = F.flatten(F.transform(words, lambda w: let(F.concat(F.lit(" "), w, F.lit(" ")), lambda p: F.transform(
+        F.sequence(F.lit(1), F.length(p) - 1), lambda i: F.substring(p, i, F.lit(2))))))
+    each = dim.select("pos", F.length(F.array_join(words, " ")).alias("size"), F.explode(grams).alias("gram"))
+    counted = each.groupBy("pos", "size", "gram").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select("pos", "size", "gram", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("nth"))
 
-    def run(mine: pd.DataFrame, held: _Slice) -> Iterator[tuple]:
-        for pos, norm in zip(mine["pos"], mine["norm"]):
-            words = norm.split()
-            for i in np.flatnonzero(held.bounds(norm) >= least - 1e-9):
-                other = held.norms[i]
-                if held.pos[i] <= pos or not other:
-                    continue
-                score = token_set_ratio(norm, other)
-                theirs = other.split()
-                n = min(len(words), len(theirs))
-                lead = words[:n] == theirs[:n]
-                if score >= least or (lead and min(len(norm), len(other)) >= 4):
-                    yield pos, held.pos[i], score, lead
-
-    return _met(dim.where("norm <> ''").select("pos", "norm"), "pos", dim, slice_rows, run, SIMILAR)[0]
+
+def spare(size: Column, least: float) -> Column:
+    """How many letter pairs of a name of `size` letters may stay out of the index for scores from `least` on.
+
+    Where two names of x and y letters have m of them in common, in order, at most x + y - 2m places part
+    neighbours, so at least 3m - x - y - 1 pairs of neighbours are shared; m is least / 200 * (x + y). Where
+    shared words make the score, their pairs are as many as their letters and blanks, which is
+    size * least / (200 - least) + 1. One pair fewer than either may be left out.
+    """
+    of_letters = 2 * size * (0.015 * least - 1) - 1
+    of_words = size * least / (200 - least) + 1
+    return F.greatest(F.lit(0), F.ceil(F.least(of_letters, of_words) - 1e-6) - 1)
+
+
+def similar_candidates(dim: DataFrame, least: float, scratch: Scratch) -> DataFrame:
+    """(pos_a < pos_b): every pair of names that may score `least`, for a `least` of 80 or more.
+
+    A pair shares more letter pairs than the shorter of its names, or the one that the other's words make up,
+    leaves out. So with `extra` fewer left out, more than `extra` of that name's keys are among all pairs of the
+    other; that count tells most chance meetings apart.
+    """
+    if least < 80:
+        raise ValueError("below 80 short names need not share letters")
+    own = scratch.write(letter_pairs(dim), "letter-pairs")
+    df = own.groupBy("gram", "nth").agg(F.count(F.lit(1)).alias("df"))
+    rare_first = Window.partitionBy("pos").orderBy("df", "gram", "nth")
+    ranked = own.join(df, ["gram", "nth"]).withColumn("rank", F.row_number().over(rare_first))
+    ranked = ranked.withColumn("spare", spare(F.col("size"), least)).withColumn("extra", F.least(F.col("spare"), F.lit(EXTRA_KEYS)))
+    keys = ranked.where(F.col("rank") <= F.col("size") + 1 - F.col("spare") + F.col("extra"))
+    # A letter pair of many names is split: each part of its keys meets all names that hold it.
+    parts = F.ceil(F.col("df") / PAIR_ROWS)
+    left = keys.select(F.col("pos").alias("p"), "gram", "nth", F.pmod(F.xxhash64("pos"), parts).alias("part"), "extra")
+    right = ranked.select(F.col("pos").alias("q"), "gram", "nth", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"))
+    met = left.join(right, ["gram", "nth", "part"]).where("p <> q")
+    met = met.groupBy("p", "q", "extra").agg(F.count(F.lit(1)).alias("n")).where("n > extra")
+    return met.select(F.least("p", "q").alias("pos_a"), F.greatest("p", "q").alias("pos_b")).distinct()
+
+
+def may_score(a: Column, b: Column, least: float) -> Column:
+    """Whether names as words and letter pairs (structs of `words`, `grams`, `size`) can reach `least`; JVM-side."""
+    total = a["size"] + b["size"]
+    k = F.size(F.array_intersect(a["grams"], b["grams"]))
+    both = F.array_intersect(a["words"], b["words"])
+    shared = F.aggregate(both, F.lit(-1), lambda n, w: n + F.length(w) + 1)
+    by_letters = 200.0 * (total + 1 + k) / (3 * total) >= least - 1e-6
+    by_words = 200.0 * shared / (shared + F.least(a["size"], b["size"])) >= least - 1e-6
+    return by_letters | ((F.size(both) > 0) & by_words)
+
+
+def leading_pairs(dim: DataFrame) -> DataFrame:
+    """(pos_a < pos_b): names of which one is the other's first words; the shorter has four letters at least."""
+    short = dim.where(F.length("norm") >= 4).select(F.col("pos").alias("p"), F.col("norm").alias("lead"))
+    words = F.split("norm", " ")
+    runs = F.transform(F.sequence(F.lit(1), F.size(words)), lambda i: F.array_join(F.slice(words, F.lit(1), i), " "))
+    long = dim.select(F.col("pos").alias("q"), F.explode(F.filter(runs, lambda r: F.length(r) >= 4)).alias("lead"))
+    met = long.join(short, "lead").where("p <> q")
+    return met.select(F.least("p", "q").alias("pos_a"), F.greatest("p", "q").alias("pos_b"))
+
+
+def similar_pairs(dim: DataFrame, least: float) -> DataFrame:
+    """(pos_a < pos_b, token_set, leads): pairs scoring at least `least`, or of which one leads the other.
+
+    Only names that share an index key meet, and of those only the ones that can reach the score are scored.
+    """
+    scratch = Scratch(dim.sparkSession, "similar")
+    dim = scratch.write(dim.where("norm <> ''").select("pos", "norm"), "names")
+    found = similar_candidates(dim, least, scratch).unionByName(leading_pairs(dim)).distinct()
+    words = F.array_distinct(F.filter(F.split("norm", " "), lambda w: w != ""))
+    grams = letter_pairs(dim).groupBy("pos").agg(F.collect_list(F.concat("gram", F.col("nth").cast("string"))).alias("grams"))
+    described = scratch.write(dim.join(grams, "pos").select("pos", "norm", F.struct(
+        words.alias("words"), "grams", F.length(F.array_join(words, " ")).alias("size")).alias("traits")), "traits")
+    a, b = (described.select(F.col("pos").alias(f"pos_{s}"), F.col("norm").alias(f"norm_{s}"), F.col("traits").alias(f"traits_{s}")) for s in "ab")
+    pairs = found.join(a, "pos_a").join(b, "pos_b")
+
+    def starts(x: str, y: str) -> Column:
+        return F.startswith(F.concat(x, F.lit(" ")), F.concat(y, F.lit(" ")))
+
+    leads = starts("norm_a", "norm_b") | starts("norm_b", "norm_a")
+    pairs = pairs.where(leads | may_score(F.col("traits_a"), F.col("traits_b"), least)).withColumn("leads", leads)
+    pairs = scratch.write(pairs.select("pos_a", "pos_b", "norm_a", "norm_b", "leads"), "candidates")
+    scored = pairs.withColumn("token_set", scorer("token_set")(F.col("norm_a"), F.col("norm_b")))
+    led = F.col("leads") & (F.least(F.length("norm_a"), F.length("norm_b")) >= 4)
+    return scored.where((F.col("token_set") >= least) | led).select("pos_a", "pos_b", "token_set", "leads")

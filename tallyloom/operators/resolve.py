@@ -169,9 +169,10 @@ def resolve_norms(
     norms: DataFrame, book: Book, cfg: Settings = DEFAULTS, decisions: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(norm, canonical, score, method) for distinct names, and the review table."""
-    index, aliases = supplier_index(book.suppliers, cfg), alias_index(book.aliases, cfg)
-    # Names and candidates are read by several steps; each is computed once and written.
+    # Both indexes, names and candidates are read by several steps; each is computed once and written.
     scratch = Scratch(norms.sparkSession, "resolve")
+    index = scratch.write(supplier_index(book.suppliers, cfg), "index")
+    aliases = scratch.write(alias_index(book.aliases, cfg), "aliases")
     norms = scratch.write(norms, "norms")
     by_alias = alias_tier(norms, aliases)
     rest = norms.join(by_alias, "norm", "left_anti")
@@ -329,7 +330,7 @@ def approve(
 def suggest_duplicates(suppliers: DataFrame, least: float = 85.0, cfg: Settings = DEFAULTS) -> DataFrame:
     """Likely double suppliers: (score, supplier_a, count_a, supplier_b, count_b, suggested_canonical)."""
     index = supplier_index(suppliers, cfg)
-    pairs = probe.similar_pairs(index, least, cfg.dimension_slice_rows)
+    pairs = probe.similar_pairs(index, least)
 
     def side(p: str) -> DataFrame:
         return index.select(

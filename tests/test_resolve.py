@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.functions.scorers import ratio, token_set_ratio
@@ -129,3 +130,69 @@ def test_a_very_long_name_keeps_its_candidates(spark):
     dim = spark.createDataFrame([(0, long + " b"), (1, "c d"), (2, "e")], "pos long, norm string")
     got = probe.top_candidates(spark.createDataFrame([(long + " c",)], "norm string"), dim, 2, 2).orderBy("place").collect()
     assert [r.pos for r in got] == [0, 1] and got[0].token_set > 99
+
+
+def random_names(rnd, n):
+    words = ["loom", "looms", "mill", "mills", "north", "northern", "star", "air", "cord", "paper", "riverbank", "ab", "a", "x1"]
+    out = set()
+    while len(out) < n:
+        w = [rnd.choice(words) for _ in range(rnd.randrange(1, 5))]
+        if rnd.random() < 0.5:
+            i = rnd.randrange(len(w))
+            at = rnd.randrange(len(w[i]) + 1)
+            w[i] = w[i][:at] + rnd.choice(["", "e", "zz"]) + w[i][at + rnd.randrange(2):]
+        out.add(" ".join(x for x in w if x) or "a")
+    return sorted(out)
+
+
+@pytest.mark.parametrize("least", [80.0, 85.0, 95.0])
+def test_similar_names_equal_all_pairs(spark, least):
+    from tallyloom.operators import probe
+
+    names = random_names(random.Random(int(least)), 160)
+    dim = spark.createDataFrame([(i, n) for i, n in enumerate([*names, ""])], "pos long, norm string")
+    want = {}
+    for i, a in enumerate(names):
+        for j in range(i + 1, len(names)):
+            x, y = a.split(), names[j].split()
+            n = min(len(x), len(y))
+            lead, score = x[:n] == y[:n], token_set_ratio(a, names[j])
+            if score >= least or (lead and min(len(a), len(names[j])) >= 4):
+                want[i, j] = (score, lead)
+    got = {(r.pos_a, r.pos_b): (r.token_set, r.leads) for r in probe.similar_pairs(dim, least).collect()}
+    assert got == want and len(want) > 20
+
+
+def test_a_hot_letter_pair_is_split(spark, monkeypatch):
+    from tallyloom.operators import probe
+
+    names = random_names(random.Random(3), 80)
+    dim = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "pos long, norm string")
+    want = {tuple(r) for r in probe.similar_pairs(dim, 85.0).collect()}
+    monkeypatch.setattr(probe, "PAIR_ROWS", 5)
+    assert {tuple(r) for r in probe.similar_pairs(dim, 85.0).collect()} == want
+
+
+def test_few_of_all_pairs_are_scored(spark):
+    """Distinct names: the pairs that reach the scorer are a small share of all pairs."""
+    from tallyloom.durable import Scratch
+    from tallyloom.operators import probe
+
+    rnd = random.Random(9)
+    names = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) + " " + "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(600)]
+    dim = spark.createDataFrame(list(enumerate(names)), "pos long, norm string")
+    met = probe.similar_candidates(dim, 85.0, Scratch(spark, "t")).count()
+    assert met < 600 * 599 / 2 / 10
+    assert probe.similar_pairs(dim, 85.0).count() == 0
+
+
+def test_ten_best_equal_plain_scores(spark):
+    from tallyloom.operators import probe
+
+    rnd = random.Random(4)
+    dim = random_names(rnd, 150) + ["", "q" * 70 + " loom", "loom " + "w" * 300]
+    names = random_names(rnd, 60) + ["loom " + "q" * 66, "ö漢 loom", "w" * 299]
+    held = probe._Slice(list(range(len(dim))), dim)
+    for name in names:
+        want = sorted((-token_set_ratio(name, d), i) for i, d in enumerate(dim))[:10]
+        assert held.best(name, 10) == [(i, -s) for s, i in want], name
