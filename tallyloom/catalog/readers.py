@@ -326,3 +326,18 @@ def _(t):
     txns, _status = source.parse_statements(named, readers=[*source.READERS, own])
     back = F.regexp_replace("source_file", r"\.bar$", ".csv").alias("source_file")
     return txns.groupBy(back).agg(F.count(F.lit(1)).alias("rows"), F.sum(money.cents(F.col("amount"))).alias("cents"))
+
+
+@query("UDF-2-sql", "SELECT source_file, count(*) AS rows, sum(cents)::BIGINT AS cents FROM v_txns GROUP BY source_file")
+def _(t):
+    """The same through SQL: a table function reads every file, by the format its header tells."""
+    source.register_parser(t.spark)
+    scratch = Scratch(t.spark, "parsed")
+    files = scratch.write(_csv_files(t), "files")
+    names = F.create_map(*[x for name, mark in source.DELIMITERS.items() for x in (F.lit(mark), F.lit(name))])
+    marks = source.file_marks(source.lines_of(files)).select("source_file", names[F.col("mark")].alias("format"))
+    cells = t.spark.sql(
+        """SELECT f.source_file, p.row_no, p.cells FROM {files} f JOIN {marks} m ON f.source_file = m.source_file,
+                  LATERAL parse_statement(f.content, m.format) p""", files=files, marks=marks,
+    )
+    return source.parse_cells(cells).groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"), F.sum(money.cents(F.col("amount"))).alias("cents"))

@@ -300,6 +300,13 @@ def _(t):
     return summary.stage_counters(_handled(t))
 
 
+@query("AGG-7-map", _COUNTS)
+def _(t):
+    """The counters as one record with a map by stage, read back by key."""
+    one = summary.counter_map(summary.stage_counters(_handled(t)))
+    return one.select(F.explode("stages").alias("stage", "c")).select("stage", "c.*")
+
+
 @query("AGG-8", "SELECT stem || '.csv' AS relative_path, count(*) FILTER (direction = 'debit')::INT AS rows_added FROM v_bank GROUP BY stem")
 def _(t):
     files = t.v_bank.select(F.concat("stem", F.lit(".csv")).alias("relative_path")).distinct()
@@ -555,13 +562,13 @@ _ONCE = "SELECT folder, name, sha256(props) AS content_hash FROM v_events GROUP
 
 @query("STM-5", _ONCE)
 def _(t):
-    """A stream of listings into an import table no batch can fill twice."""
+    """A stream of listings, without repeats within a day, into an import table no batch can fill twice."""
     scratch = Scratch(t.spark, "imports")
     store = state.Store(t.spark, scratch.root)
     schema = "folder string, name string, content_hash string, polled_at timestamp"
     listing = _stream(t, ["folder", "name", "content_hash", "ts"]).withColumnRenamed("ts", "polled_at")
     sink = streams.record_imports(store, schema)
-    streams.sweep_then_follow(listing, sink, f"{scratch.root}/checkpoint").awaitTermination()
+    streams.sweep_then_follow(streams.first_sightings(listing, "1 day"), sink, f"{scratch.root}/checkpoint").awaitTermination()
     return store.read_log("imported", schema).select("folder", "name", "content_hash")
 
 
@@ -579,14 +586,24 @@ def _(t):
     return runs.select("folder", poll.alias("poll"), "run_length", F.col("is_settled").cast("int").alias("is_settled"))
 
 
-@query(
-    "STM-10",
-    """SELECT event_id, CASE WHEN lag(event_id) OVER w IS NULL THEN 'new' WHEN lag(size) OVER w = size THEN 'same'
+_OUTCOMES = """SELECT event_id, CASE WHEN lag(event_id) OVER w IS NULL THEN 'new' WHEN lag(size) OVER w = size THEN 'same'
               WHEN lag(props) OVER w = props THEN 'touched' ELSE 'changed' END AS outcome
-       FROM v_events WINDOW w AS (PARTITION BY folder, name ORDER BY event_id)""",
-)
+       FROM v_events WINDOW w AS (PARTITION BY folder, name ORDER BY event_id)"""
+
+
+@query("STM-10", _OUTCOMES)
 def _(t):
     seen = t.v_events.select(
         "event_id", "folder", "name", F.col("event_id").alias("seq"), "size", F.lit(0).alias("mtime"), F.sha2("props", 256).alias("sha256")
     )
     return intake.changed_content(seen).select("event_id", "outcome")
+
+
+@query("STM-10-stream", _OUTCOMES)
+def _(t):
+    """The same outcomes from a stream that keeps the last sighting of every name as state."""
+    seen = _stream(t, ["event_id", "folder", "name", "size", "content_hash"]).select(
+        "folder", "name", F.col("event_id").alias("seq"), "size", F.lit(0).alias("mtime"), F.col("content_hash").alias("sha256")
+    )
+    out = _drain(t, streams.changed_content(seen), "changes", "folder string, name string, seq bigint, outcome string")
+    return out.select(F.col("seq").alias("event_id"), "outcome")

@@ -72,41 +72,33 @@ def _iso_text(raw: Column, year: Column, pivot: int) -> Column:
     )
 
 
-# A statement period: what leads to it, its two dates, and what ends it. Tried in this order.
-_DAY = r"([\w,/. -]+?)"
-_SLASHED = r"(\d{1,2}(?:/\d{1,2}){2}(?:\d{2})?)"
-_DASH, _TO = r"\s*[-\u2013\u2014]\s*", r"\s*to\s*"
-_LINE_END = r"(?=[\r\n<]|$)"
-
-
-def _wording(lead: str, day: str, joins: tuple[str, ...], end: str = "") -> str:
-    return f"(?i){lead}{day}(?:{'|'.join(joins)}){day}{end}"
-
-
-_PERIODS = (
-    _wording(r"statement\s+period[\s:]*", _DAY, (_DASH, _TO, r"\s*through\s*"), _LINE_END),
-    _wording(r"from\s+", _DAY, (r"\s+to\s+", r"\s+through\s+"), r"(?=[.,\r\n<]|$)"),
-    _wording("", _SLASHED, (_DASH, _TO)),
-)
+# Text that looks like a date, as statements print it: with digits only, or with the name of a month.
+_DIGITS = r"\d{4}-\d{1,2}-\d{1,2}|\d{1,2}/\d{1,2}(?:/\d{4}|/\d{2})?"
+_NAMED = r"[A-Z][a-z]{2,8}\.? +\d{1,2}(?:st|nd|rd|th)?(?:,? +\d{4})?|\d{1,2}(?:st|nd|rd|th)? +[A-Z][a-z]{2,8}\.?(?:,? +\d{4})?"
+_DATE_RUN = rf"(?<![\w/])({_NAMED}|{_DIGITS})(?![\w/])"
+#: What may stand between the first and the last day of a period, and before the first.
+_BETWEEN = r"\s*(?:[-\u2013\u2014]|\b(?:to|through|until)\b)\s*"
+_BEFORE = r"\b(?:period|from)\b[\s:]*"
 
 
 def statement_period(text: Column) -> Column:
-    """struct(start, end) of the first wording that yields two dates, else null. An end printed
-    without a year takes the year of the start."""
-
-    def found(start: Column, end_text: Column) -> Column:
-        return let(
-            parse_date(end_text, F.year(start)),
-            lambda end: F.when(
-                start.isNotNull() & end.isNotNull(), F.struct(start.alias("start"), end.alias("end"))
-            ),
-        )
-
-    def spoken(rx: str) -> Column:
-        parts = F.struct(F.regexp_extract(text, rx, 1).alias("a"), F.regexp_extract(text, rx, 2).alias("b"))
-        return let(parts, lambda p: let(parse_date(p["a"]), lambda start: found(start, p["b"])))
-
-    return F.coalesce(*[spoken(rx) for rx in _PERIODS])
+    """struct(start, end) of the statement's period, or null.
+
+    Of all neighbouring pairs of dates joined by a dash or by to, through or until, the first one behind the word
+    period or from counts, else the first one at all. Both must be dates; an end printed without a year takes
+    the year of the start. Only whole date runs are read: where other words stand between lead and date, or
+    a weekday before a date, there is no pair.
+    """
+    pair = f"(?i){_DATE_RUN}{_BETWEEN}{_DATE_RUN}"
+    led = f"(?i){_BEFORE}{_DATE_RUN}{_BETWEEN}{_DATE_RUN}"
+
+    def first(rx: str, body: Column) -> Column:
+        starts, ends = (F.regexp_extract_all(body, F.lit(rx), F.lit(i)) for i in (1, 2))
+        read = F.transform(F.arrays_zip(starts.alias("a"), ends.alias("b")), lambda p: let(
+            parse_date(p["a"]), lambda start: F.struct(start.alias("start"), parse_date(p["b"], F.year(start)).alias("end"))))
+        return F.get(F.filter(read, lambda p: p["start"].isNotNull() & p["end"].isNotNull()), F.lit(0))
+
+    return let(text, lambda body: F.coalesce(first(led, body), first(pair, body)))
 
 
 def row_year(date: Column, run_ts: Column) -> Column:

@@ -150,7 +150,7 @@ def _met(names: DataFrame, key: str, dim: DataFrame, slice_rows: int, run, schem
     spark = dim.sparkSession
     slices = max(1, math.ceil(dim.count() / slice_rows))
     cores = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    chunks = max(math.ceil(cores / slices), math.ceil(names.count() / slice_rows))
+    chunks = max(math.ceil(2 * cores / slices), math.ceil(names.count() / slice_rows))
 
     def dealt(df: DataFrame, by: str, own: str, parts: int, other: str, others: int) -> DataFrame:
         numbered = df.withColumn(own, F.pmod(F.xxhash64(by), F.lit(parts)).cast("int"))
@@ -160,6 +160,8 @@ def _met(names: DataFrame, key: str, dim: DataFrame, slice_rows: int, run, schem
     left = dealt(names, key, "chunk", chunks, "slice", slices)
     left = left.select(*[F.col(c).alias(c) for c in left.columns])
     right = dealt(dim.select("pos", "norm"), "pos", "slice", slices, "chunk", chunks)
+    # The rows are few and the work is not, so partitions must not be merged by their bytes.
+    left, right = (side.repartition(slices * chunks, "slice", "chunk") for side in (left, right))
     pairs = left.groupBy("slice", "chunk").cogroup(right.groupBy("slice", "chunk"))
 
     def meet(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:

@@ -33,6 +33,13 @@ def stage_counters(files: DataFrame) -> DataFrame:
     )
 
 
+def counter_map(counters: DataFrame) -> DataFrame:
+    """One row: `stages`, a map from stage to its counters. Stages are those of the settings, so the map is small."""
+    fields = [c for c in counters.columns if c != "stage"]
+    entry = F.struct("stage", F.struct(*fields))
+    return counters.agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("stages"))
+
+
 def rows_per_file(files: DataFrame, new_rows: DataFrame) -> DataFrame:
     """Files with `rows_added`: how many new rows name them."""
     counts = new_rows.groupBy(F.col("source_file").alias("relative_path")).agg(F.count(F.lit(1)).alias("n"))

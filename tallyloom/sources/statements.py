@@ -409,3 +409,30 @@ def parse_statements(
         open_files = status.where("flagged").select("source_file")
         txns = txns.unionByName(parse_responses(replies.join(open_files, "source_file", "left_semi")))
     return txns, status
+
+
+#: Statement formats by name: functions from the text of a file to its rows of cells. Add a bank's format here.
+FORMATS: dict[str, Callable[[str], Iterator[list[str]]]] = {
+    name: (lambda content, mark=mark: csv.reader(io.StringIO(content.lstrip("\ufeff"), newline=""), delimiter=mark))
+    for name, mark in DELIMITERS.items()
+}
+
+
+class _ParseStatement:
+    """Table function: the rows of cells of one file, numbered from 0; none for an empty text or an unknown format."""
+
+    def eval(self, content: str, format: str) -> Iterator[tuple[int, list[str]]]:
+        if content and format in FORMATS:
+            yield from enumerate(FORMATS[format](content))
+
+
+def register_parser(spark: SparkSession, name: str = "parse_statement") -> None:
+    """Make the formats callable from SQL: `FROM files, LATERAL parse_statement(content, format)`."""
+    spark.udtf.register(name, F.udtf(_ParseStatement, returnType="row_no bigint, cells array<string>"))
+
+
+def parse_cells(rows: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
+    """Transactions of rows(source_file, row_no, cells) whose files have a header row, as parse_statement gives them."""
+    scratch = Scratch(rows.sparkSession, "cells")
+    named = rows.select("source_file", F.lit("csv").alias("layout"), "row_no", "cells", F.lit(None).cast("int").alias("year_hint"))
+    return _finish(st.with_header(scratch.write(named, "rows")), scratch, cfg)

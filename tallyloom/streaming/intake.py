@@ -44,6 +44,16 @@ def touched_folders(changes: DataFrame, every: str, folders: tuple[str, ...] = D
     )
 
 
+def first_sightings(listing: DataFrame, hold: str) -> DataFrame:
+    """A listing stream without rows whose key was seen within `hold`.
+
+    The watermark follows the arrival of rows, not the time they tell, so state is bounded by `hold` and no row
+    is ever too late. A key that comes again after `hold` passes; the import table then knows it.
+    """
+    arrived = listing.withColumn("arrived_at", F.current_timestamp()).withWatermark("arrived_at", hold)
+    return arrived.dropDuplicatesWithinWatermark(intake.KEY).drop("arrived_at")
+
+
 def record_imports(store: state.Store, schema: str, table: str = "imported") -> Callable[[DataFrame, int], None]:
     """foreachBatch sink that adds rows the import table does not hold, however late they come.
 
@@ -228,6 +238,48 @@ def settled(prints: DataFrame, lateness: str, cfg: Settings = DEFAULTS) -> DataF
     )
 
 
+class _Changes(StatefulProcessor):
+    """Per folder and name: size, time stamp and hash at the last sighting."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", "size bigint, mtime bigint, sha256 string")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        seen = sorted(
+            row for pdf in rows for row in zip(pdf["seq"].tolist(), pdf["size"].tolist(), pdf["mtime"].tolist(), pdf["sha256"].tolist())
+        )
+        held = tuple(self.last.get()) if self.last.exists() else None
+        out = []
+        for seq, *now in seen:
+            if held is None:
+                outcome = "new"
+            elif held[:2] == tuple(now[:2]):
+                outcome = "same"
+            else:
+                outcome = "touched" if held[2] == now[2] else "changed"
+            held = tuple(now)
+            out.append((*key, seq, outcome))
+        if held is not None:
+            self.last.update(held)
+        yield pd.DataFrame(out, columns=["folder", "name", "seq", "outcome"])
+
+    def close(self) -> None:
+        pass
+
+
+def changed_content(seen: DataFrame) -> DataFrame:
+    """(folder, name, seq, outcome) for a stream of sightings (folder, name, seq, size, mtime, sha256).
+
+    Outcomes are those of operators.intake.changed_content(). State is one row per name, whatever the number of
+    sightings; sightings of a name must not arrive in an earlier batch than older ones. A batch orders the
+    sightings of one name in memory, so a backlog is read in batches of bounded size. Needs the RocksDB state store.
+    """
+    rows = seen.select("folder", "name", F.col("seq").cast("bigint").alias("seq"), F.col("size").cast("bigint").alias("size"), F.col("mtime").cast("bigint").alias("mtime"), "sha256")
+    return rows.groupBy("folder", "name").transformWithStateInPandas(
+        _Changes(), "folder string, name string, seq bigint, outcome string", "append", "none"
+    )
+
+
 def sweep_then_follow(
     stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, follow: bool = False
 ) -> StreamingQuery:

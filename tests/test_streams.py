@@ -152,3 +152,33 @@ def test_sweep_then_incremental_runs(spark, tmp_path):
         if name:
             (tmp_path / "in" / "expenses" / name).write_text("b")
     assert seen == [["expenses/a.pdf"], ["expenses/b.pdf"]]
+
+
+def test_a_repeat_is_held_back_and_a_late_row_passes(spark, tmp_path):
+    """Repeats within a batch, in a later batch and after a restart are dropped by bounded state; a late row is not."""
+    schema = "folder string, name string, content_hash string, polled_at timestamp"
+    path, got = str(tmp_path / "listing"), []
+
+    def sink(batch, batch_id):
+        got.extend(r.name for r in batch.collect())
+
+    for rows in ([("a", 15), ("a", 15), ("b", 15)], [("a", 16), ("late", 1)], [("b", 17)]):
+        frame = spark.createDataFrame([("bank", n, "h", START + dt.timedelta(hours=h)) for n, h in rows], schema)
+        frame.coalesce(1).write.mode("append").parquet(path)
+        stream = streams.first_sightings(spark.readStream.schema(schema).parquet(path), "1 day")
+        streams.sweep_then_follow(stream, sink, str(tmp_path / "check")).awaitTermination()
+    assert sorted(got) == ["a", "b", "late"]
+
+
+def test_changes_on_a_stream_equal_the_batch(spark, tmp_path):
+    rnd = random.Random(6)
+    rows = [(f"f{rnd.randrange(2)}", f"n{rnd.randrange(3)}", i, rnd.randrange(2), rnd.randrange(2), rnd.choice("xy")) for i in range(120)]
+    schema = "folder string, name string, seq long, size long, mtime long, sha256 string"
+    want = {(r.seq, r.outcome) for r in intake.changed_content(spark.createDataFrame(rows, schema)).collect()}
+    path, got = str(tmp_path / "seen"), []
+    for part in range(3):  # a restart between the parts: state goes on from the checkpoint
+        spark.createDataFrame(rows[40 * part:40 * part + 40], schema).coalesce(1).write.mode("append").parquet(path)
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", streams.ROCKSDB)
+        out = streams.changed_content(spark.readStream.schema(schema).parquet(path))
+        streams.sweep_then_follow(out, lambda batch, _: got.extend((r.seq, r.outcome) for r in batch.collect()), str(tmp_path / "check")).awaitTermination()
+    assert set(got) == want and len(got) == 120
