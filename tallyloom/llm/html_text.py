@@ -51,6 +51,8 @@ TOKEN_KIND = {token: kind for kind, tokens in TOKENS.items() for token in tokens
 
 #: Weight of each kind of place, in log odds of content.
 WEIGHTS = {"article": 3.0, "main": 1.5, "content": 1.0, "menu": -8.0, "footer": -8.0, "header": -7.0, "sidebar": -8.0, "form": -8.0, "notice": -8.5, "advert": -9.0, "comments": -10.0, "hidden": -12.0}
+#: What weak evidence counts for.
+WEAK = 1 / 3
 BIAS, OUTSIDE, LINKED, LONG, LONGER, HEADING, PARAGRAPH = -0.6, -2.5, -3.0, 1.5, 1.5, 0.3, 1.0
 #: Ties between neighbours at tree distance 0 and between a container and its blocks.
 ADJACENT, CONTAINER = 0.8, 0.25
@@ -62,11 +64,56 @@ _ATTRIBUTE = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|aria-hidden|style
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
+class Place:
+    """An element that is not inline, in the document tree."""
+
+    __slots__ = ("number", "parent", "depth")
+
+    def __init__(self, number: int, parent: Place | None) -> None:
+        self.number, self.parent, self.depth = number, parent, parent.depth + 1 if parent else 0
+
+    @staticmethod
+    def of(path: tuple[int, ...]) -> Place:
+        found = None
+        for number in path:
+            found = Place(number, found)
+        return found or Place(0, None)
+
+
+def apart(a: Place, b: Place) -> int:
+    """Steps between two places in the tree, up to the nearest element around both and down again."""
+    steps = 0
+    while a.number != b.number or a.depth != b.depth:
+        if a.depth >= b.depth and a.parent:
+            a, steps = a.parent, steps + 1
+        elif b.parent:
+            b, steps = b.parent, steps + 1
+        else:  # two roots
+            return steps + 2
+    return steps
+
+
 class Block:
-    __slots__ = ("link", "path", "kinds", "tag", "text")
+    __slots__ = ("link", "place", "kinds", "tag", "text")
 
-    def __init__(self, text: str, link: int, path: tuple[int, ...], kinds: frozenset[str], tag: str) -> None:
-        self.text, self.link, self.path, self.kinds, self.tag = text, link, path, kinds, tag
+    def __init__(self, text: str, link: int, place: Place | tuple[int, ...], kinds: frozenset[str], tag: str) -> None:
+        self.text, self.link, self.kinds, self.tag = text, link, kinds, tag
+        self.place = place if isinstance(place, Place) else Place.of(place)
+
+
+def named_kinds(tag: str, attribute: str, value: str) -> Iterator[str]:
+    """Kinds of place that a class or id speaks of, marked by ? where it is weak evidence.
+
+    The words of a paragraph's, heading's or section's names often tell what it is about: its id, and words
+    before the last one of a compound class, are weak.
+    """
+    spoken = tag in HEADINGS or tag in ("p", "section")
+    for name in value.split():
+        words = [w.lower() for w in _TOKEN.findall(name)]
+        for i, word in enumerate(words):
+            if word in TOKEN_KIND:
+                weak = spoken and (attribute == "id" or i < len(words) - 1)
+                yield TOKEN_KIND[word] + ("?" if weak else "")
 
 
 def kinds_of(tag: str, attributes: str) -> set[str]:
@@ -82,7 +129,7 @@ def kinds_of(tag: str, attributes: str) -> set[str]:
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             found.add("hidden")
         elif name in ("class", "id") and tag not in ("html", "body", "article", "main"):
-            found.update(TOKEN_KIND.get(t.lower(), "") for t in _TOKEN.findall(value))
+            found.update(named_kinds(tag, name, value))
     found.discard("")
     return found
 
@@ -90,7 +137,8 @@ def kinds_of(tag: str, attributes: str) -> set[str]:
 def blocks(page: str) -> list[Block]:
     """Text blocks in page order. Elements that are never closed, or closed out of order, end with their parents."""
     out: list[Block] = []
-    stack: list[tuple[str, int, frozenset[str]]] = [("", 0, frozenset())]
+    # Name, kinds of place, the innermost element that is not inline, and its name.
+    stack: list[tuple[str, frozenset[str], Place, str]] = [("", frozenset(), Place(0, None), "")]
     count: dict[str, int] = {}
     pieces: list[str] = []
     linked = numbered = 0
@@ -101,32 +149,24 @@ def blocks(page: str) -> list[Block]:
         if pieces:
             text = " ".join("".join(pieces).split())
             if text:
-                path, tag = [], ""
-                for name, number, _ in reversed(owner):
-                    if name not in INLINE:
-                        path.append(number)
-                        tag = tag or name
-                        if len(path) == 12:
-                            break
-                out.append(Block(text, linked, tuple(reversed(path)), owner[-1][2], tag))
+                out.append(Block(text, linked, owner[2], owner[1], owner[3]))
             pieces, linked = [], 0
 
-    owner = list(stack)
+    owner = stack[0]
 
     def add(text: str) -> None:
         nonlocal linked, owner
         if not pieces:
             if not text.strip():
                 return
-            owner = stack[-40:]
+            owner = stack[-1]
         text = html.unescape(text)
         pieces.append(text)
         if count.get("a"):
             linked += len(text)
 
     def pop() -> None:
-        name, _, _ = stack.pop()
-        count[name] -= 1
+        count[stack.pop()[0]] -= 1
 
     def close(names: tuple[str, ...], walls: tuple[str, ...]) -> None:
         """Ends the innermost open element of these names and all inside it, if no wall is nearer."""
@@ -174,10 +214,11 @@ def blocks(page: str) -> list[Block]:
         if name in VOID or attributes.endswith("/") and name in ("path", "g", "use"):
             continue
         numbered += 1
-        own, above = kinds_of(name, attributes), stack[-1][2]
+        own, above = kinds_of(name, attributes), stack[-1][1]
         if "form" in above and own & {"article", "main"}:  # a form around the whole page says nothing
             above = above - {"form"}
-        stack.append((name, numbered, above | own if own - above else above))
+        place, tag = stack[-1][2:] if name in INLINE else (Place(numbered, stack[-1][2]), name)
+        stack.append((name, above | own if own - above else above, place, tag))
         count[name] = count.get(name, 0) + 1
     if at < len(page):
         add(page[at:])
@@ -190,10 +231,17 @@ def log_odds(block: Block, has_article: bool) -> float:
     kinds = block.kinds
     heading = block.tag in HEADINGS
     score = BIAS
+    weak = [0.0]
     for kind in kinds:
+        plain = kind.rstrip("?")
         # A headline in an article's own header belongs to the article.
-        if not (kind == "header" and heading and kinds & {"article", "main"}):
+        if plain == "header" and heading and kinds & {"article", "main"}:
+            continue
+        if plain == kind:
             score += WEIGHTS[kind]
+        elif plain not in kinds:
+            weak.append(WEAK * WEIGHTS[plain])
+    score += min(weak) + max(weak)  # of several weak signs against, and for, the strongest counts
     if has_article and not kinds & {"article", "main"}:
         score += OUTSIDE
     words = block.text.count(" ") + 1
@@ -280,15 +328,9 @@ def label(found: list[Block]) -> list[bool]:
         sink.append(round(UNIT * math.log1p(math.exp(-score))))
     for i, b in enumerate(found):
         if i:
-            shared = 0
-            for x, y in zip(found[i - 1].path, b.path):
-                if x != y:
-                    break
-                shared += 1
-            apart = len(b.path) + len(found[i - 1].path) - 2 * shared
-            edges.append((i - 1, i, round(UNIT * ADJACENT / (1 + apart))))
+            edges.append((i - 1, i, round(UNIT * ADJACENT / (1 + apart(found[i - 1].place, b.place)))))
         # The container: the parent of the block's own element.
-        hub = b.path[-2] if len(b.path) > 1 else 0
+        hub = b.place.parent.number if b.place.parent else 0
         at = hubs.setdefault(hub, len(found) + len(hubs))
         edges.append((i, at, round(UNIT * CONTAINER)))
     nothing = [0] * len(hubs)

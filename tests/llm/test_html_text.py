@@ -82,3 +82,30 @@ def test_edge_rows(spark):
     by = {r.page_id: r.text for r in got}
     assert by[1] == by[2] == by[3] == "" and by[4] == "\n".join(["word word"] * 20000) and by[5] == "deep" and by[None] == "İy"
     assert ht.extract(df.limit(0)).count() == 0
+
+
+LONG = "This paragraph belongs to the story and says at some length what the story is about, so that nobody could take it for a line of a menu or for a note beside the text of the page at all."
+
+
+def test_names_of_sections_and_paragraphs_are_weak():
+    """Words in the names of a section, heading or paragraph do not outweigh an article or a long paragraph."""
+    menu = '<nav><a href=1>one</a></nav>'
+    page = f'{menu}<article><h1>Title</h1><p>{LONG}</p><section id="discussion"><h2 id="related-work">Discussion</h2><p>{LONG}</p></section></article>'
+    assert ht.main_text(page) == f"Title\n{LONG}\nDiscussion\n{LONG}"
+    page = f'{menu}<article><section class="section toc-section"><p>{LONG}</p></section></article>'
+    assert ht.main_text(page) == LONG
+    page = f'{menu}<div class="content"><p class="has-share-text">{LONG}</p></div><div class="related-posts"><p>{LONG}</p></div>'
+    assert ht.main_text(page) == LONG
+    page = f'<article><p>{LONG}</p><section id="comments"><h3>Comments</h3><div class="comment-body"><p>{LONG}</p></div></section></article>'
+    assert ht.main_text(page) == LONG
+
+
+def test_ties_do_not_depend_on_depth():
+    """Neighbours keep their tie however deep they stand, and however different their depths are."""
+    for depth in range(5, 61, 5):
+        deep = "<div>" * depth
+        found = ht.blocks(f"{deep}<p>a</p><p>b</p><div><div><p>c</p></div></div>")
+        assert [ht.apart(x.place, y.place) for x, y in zip(found, found[1:])] == [2, 4]
+        page = f'<div class=nav><a href=1>x</a></div>{deep}<p>{LONG}</p><div><div><p>short</p></div></div><p>{LONG}</p>'
+        assert ht.main_text(page) == f"{LONG}\nshort\n{LONG}"
+    assert ht.apart(ht.Place.of((1, 2, 3)), ht.Place.of((1, 4))) == 3
