@@ -38,20 +38,35 @@ def text_mark(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Column names like the wanted ones that `df` does not have, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def keep_listed(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """One row of `docs` for each of the distinct `keys` (doc_id, mark), with the columns of `docs`.
+    """One row of `docs` for each of the distinct `keys` (doc_id, mark), with the columns of `docs`, whatever their names.
 
     Rows of one id and one text are repeats, of which one stays; only those are shuffled to be told apart.
+    An empty table gives an empty result.
     """
-    named = docs.withColumn("__mark", text_mark(F.col("text")))
-    keys = keys.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__key"))
+    mark, left, right = free_names(docs, "mark", "key_id", "key_mark")
+    named = docs.withColumn(mark, text_mark(F.col("text")))
+    keys = keys.select(F.col("doc_id").alias(left), F.col("mark").alias(right))
 
     def on(other: DataFrame, how: str) -> DataFrame:
-        return named.join(other, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__key")), how)
+        return named.join(other, F.col("doc_id").eqNullSafe(F.col(left)) & (F.col(mark) == F.col(right)), how)
 
-    repeats = named.groupBy(F.col("doc_id").alias("__id"), F.col("__mark").alias("__key")).count().filter("count > 1").drop("count")
+    counts = named.groupBy(F.col("doc_id").alias(left), F.col(mark).alias(right)).agg(F.count(F.lit(1)).alias("n"))
+    repeats = counts.filter("n > 1").drop("n")
     if repeats.isEmpty():
-        return on(keys, "left_semi").drop("__mark")
+        return on(keys, "left_semi").drop(mark)
     once = on(keys.exceptAll(keys.intersect(repeats)), "left_semi")
-    more = on(keys.intersect(repeats), "left_semi").dropDuplicates(["doc_id", "__mark"])
-    return once.unionByName(more).drop("__mark")
+    more = on(keys.intersect(repeats), "left_semi").dropDuplicates(["doc_id", mark])
+    return once.unionByName(more).drop(mark)

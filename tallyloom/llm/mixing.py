@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.durable import Scratch
-from tallyloom.llm.base import WORD, partitions_for, table, text_mark
+from tallyloom.llm.base import WORD, free_names, partitions_for, table, text_mark
 from tallyloom.llm.registry import query
 
 BLOCK_WORDS = 1024
@@ -175,22 +175,25 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mix itself, with the columns of `docs`: one row for each document and round that takes words of it.
 
     A round that takes a document whole returns its text as it is; otherwise the words taken, in order,
-    joined by one space. n_chars, if present, follows the text.
+    joined by one space. n_chars, if present, follows the text. Columns may have any names; an empty table gives an
+    empty mix.
     """
     pieces = mix(docs, **options)["pieces"]
     parts = pieces.groupBy("doc_id", "mark", "source", "copy", "round").agg(F.array_sort(F.collect_list(F.struct("first", "words"))).alias("parts"), F.sum("words").alias("taken"))
     takes = parts.groupBy("doc_id", "mark", "source").agg(F.collect_list(F.struct("parts", "taken")).alias("takes"))
-    takes = takes.withColumnsRenamed({"doc_id": "__id", "mark": "__key", "source": "__source"})
-    keys = ["doc_id", "__mark", "source"]
-    named = docs.withColumn("__mark", text_mark(F.col("text")))
-    repeats = named.groupBy(*keys).count().filter("count > 1").select(F.col("doc_id").alias("__id"), F.col("__mark").alias("__key"), F.col("source").alias("__source"))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__key")) & F.col("source").eqNullSafe(F.col("__source"))
+    own, left, right, where, take, every = free_names(docs, "mark", "key_id", "key_mark", "key_source", "take", "takes")
+    takes = takes.withColumnsRenamed({"doc_id": left, "mark": right, "source": where, "takes": every})
+    keys = ["doc_id", own, "source"]
+    named = docs.withColumn(own, text_mark(F.col("text")))
+    counts = named.groupBy(F.col("doc_id").alias(left), F.col(own).alias(right), F.col("source").alias(where)).agg(F.count(F.lit(1)).alias("n"))
+    repeats = counts.filter("n > 1").drop("n")
+    same = F.col("doc_id").eqNullSafe(F.col(left)) & (F.col(own) == F.col(right)) & F.col("source").eqNullSafe(F.col(where))
     if not repeats.isEmpty():
         named = named.join(repeats, same, "left_anti").unionByName(named.join(repeats, same, "left_semi").dropDuplicates(keys))
-    rows = named.join(takes, same).withColumn("__take", F.explode("takes"))
+    rows = named.join(takes, same).withColumn(take, F.explode(every))
     words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
-    some = F.array_join(F.flatten(F.transform("__take.parts", lambda p: F.slice(words, p["first"].cast("int") + 1, p["words"].cast("int")))), " ")
-    out = rows.withColumn("text", F.when(F.col("__take.taken") == n_words(F.col("text")), F.col("text")).otherwise(some))
+    some = F.array_join(F.flatten(F.transform(F.col(take)["parts"], lambda p: F.slice(words, p["first"].cast("int") + 1, p["words"].cast("int")))), " ")
+    out = rows.withColumn("text", F.when(F.col(take)["taken"] == n_words(F.col("text")), F.col("text")).otherwise(some))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

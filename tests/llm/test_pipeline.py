@@ -105,3 +105,19 @@ def test_near_copies_keep_distinct_texts_without_usable_ids(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES[1:3]:
         docs = stage(spark, docs, str(tmp_path))
         assert sorted(map(str, docs.collect())) == sorted(map(str, spark.createDataFrame(rows, docs.schema).collect()))
+
+
+def test_stages_keep_columns_of_any_name(spark, tmp_path):
+    """Names that the stages use, or used, for columns of their own."""
+    names = ["__id", "__key", "__mark", "__source", "__take", "mark", "key_id", "KEY_MARK", "key_source", "take", "takes", "n"]
+    columns = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in names)
+    texts = ["the and of " * 20, "the and of " * 20, "der und die " * 30, "the  and of " * 20]
+    rows = [(i, t, "en", "ab"[i % 2], len(t), *names) for i, t in enumerate(texts)] + [(0, texts[0], "en", "a", 220, *names)]
+    docs = spark.createDataFrame(rows, columns)
+    for (name, stage), kept in zip(corpus_pipeline.STAGES[1:4], (2, 2, None)):
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        assert got and all(tuple(r)[5:] == tuple(names) for r in got), name
+        assert kept is None or len(got) == kept, name
+        assert stage(spark, docs.limit(0), str(tmp_path)).collect() == [], name
