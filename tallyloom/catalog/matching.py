@@ -277,13 +277,10 @@ _CANDIDATES = """SELECT t.txn_seq, r.row_id, abs(date_diff('day', t.date, r.date
                  ON t.cents = r.cents AND abs(date_diff('day', t.date, r.date)) <= 5 WHERE t.direction = 'debit'"""
 
 
-def _rounds(score: str, n: int = 8) -> str:
-    """DuckDB: mutual-best rounds, unrolled; the last step holds what is left (tested to be empty)."""
-    parts = [f"c0 AS (SELECT *, {score} AS score FROM ({_CANDIDATES}) k JOIN v_bank b USING (txn_seq) JOIN v_purchases p USING (row_id))"]
-    parts = [
-        f"c0 AS (SELECT k.txn_seq, k.row_id, k.gap, {score} AS score FROM ({_CANDIDATES}) k "
-        "JOIN v_bank b ON b.txn_seq = k.txn_seq JOIN v_purchases p ON p.row_id = k.row_id)"
-    ]
+def mutual_best(candidates: str, n: int = 8) -> str:
+    """DuckDB: rounds of mutually best pairs over (txn_seq, row_id, gap, score), unrolled, as `matched`; c<n> is what is left
+    (tested to be empty)."""
+    parts = [f"c0 AS ({candidates})"]
     order = "score DESC, gap, txn_seq, row_id"
     for i in range(n):
         parts.append(
@@ -294,7 +291,14 @@ def _rounds(score: str, n: int = 8) -> str:
             f"c{i + 1} AS (SELECT * FROM c{i} WHERE txn_seq NOT IN (SELECT txn_seq FROM m{i}) AND row_id NOT IN (SELECT row_id FROM m{i}))"
         )
     every = " UNION ALL ".join(f"SELECT * FROM m{i}" for i in range(n))
-    return "WITH " + ",\n".join(parts) + f",\nmatched AS ({every})"
+    return ",\n".join(parts) + f",\nmatched AS ({every})"
+
+
+def _rounds(score: str) -> str:
+    return "WITH " + mutual_best(
+        f"SELECT k.txn_seq, k.row_id, k.gap, {score} AS score FROM ({_CANDIDATES}) k "
+        "JOIN v_bank b ON b.txn_seq = k.txn_seq JOIN v_purchases p ON p.row_id = k.row_id"
+    )
 
 
 _BY_DATE = _rounds("0.0::DOUBLE")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyloom import schemas
-from tallyloom.catalog.base import query
+from tallyloom.catalog.base import query, sql_fold, sql_partial
+from tallyloom.catalog.matching import mutual_best
 from tallyloom.catalog.readers import _csv_files
 from tallyloom.durable import Scratch
 from tallyloom.operators import state
@@ -24,7 +25,27 @@ def _files(t):
     )
 
 
-@query("STM-8")
+# Receipts and debits carry the numbers a run gives them: receipts by path, transactions by file and line.
+_PAIRS = f"""SELECT txn_seq, row_id, gap, {sql_partial('x', 'y')} AS score FROM (
+        SELECT d.seq AS txn_seq, r.seq AS row_id, abs(date_diff('day', d.date, r.date)) AS gap,
+               {sql_fold('d.description')} AS x, {sql_fold('r.company')} AS y
+        FROM debits d JOIN receipts r ON d.cents = r.cents AND abs(date_diff('day', d.date, r.date)) <= 5)"""
+_RUN = f"""WITH receipts AS (SELECT *, row_number() OVER (ORDER BY source_file) AS seq,
+        row_number() OVER (PARTITION BY date, lower(company), cents ORDER BY source_file) AS copy
+        FROM (SELECT date, company, source_file, mark, cents + CASE mark WHEN 'O' THEN 125 ELSE 0 END AS cents FROM v_purchases)),
+    debits AS (SELECT date, cents, description, row_number() OVER (ORDER BY stem || '.csv', txn_seq) AS seq FROM v_bank WHERE direction = 'debit'),
+    {mutual_best(_PAIRS, 16)},
+    judged AS (SELECT CASE WHEN mark = 'P' OR copy > 1 THEN 'Review' ELSE 'OK' END AS status FROM receipts),
+    open_debits AS (SELECT seq FROM debits WHERE seq NOT IN (SELECT txn_seq FROM matched))
+    SELECT kind, status, count(*) AS n FROM (
+        SELECT 'purchases' AS kind, status FROM judged UNION ALL SELECT 'purchases', 'Review' FROM open_debits
+        UNION ALL SELECT 'bank', 'Matched' FROM matched UNION ALL SELECT 'bank', 'No receipt' FROM open_debits
+        UNION ALL SELECT 'bank', 'Ignored' FROM v_bank WHERE direction = 'credit'
+        UNION ALL SELECT 'ledger', CASE status WHEN 'OK' THEN 'Processed' ELSE 'Flagged' END FROM judged
+        UNION ALL SELECT 'ledger', 'Processed' FROM (SELECT DISTINCT stem FROM v_bank)) GROUP BY kind, status"""
+
+
+@query("STM-8", _RUN)
 def _(t):
     """Files arrive as a stream; every batch of new files is one run over the published tables."""
     scratch = Scratch(t.spark, "books")
