@@ -1,11 +1,12 @@
 """Mixing sources to target weights; DataFrame functions only.
 
 The words of each source, laid end to end, form blocks of a fixed length. Each source gets as many
-words as its target asks for: whole rounds over all its blocks, then part of another round. Slot i of
-a source holds block perm(i mod n) of its round i div n, where perm is a keyed permutation of the
-source's n block numbers (swap-or-not rounds, so any n works and nothing is sorted). Every slot falls
-on an output shard by a hash, so a shard's counts by source are a multinomial draw given the totals.
-Slots and blocks are joined by block number.
+words as its target asks for: whole rounds over all its blocks, then part of another round. How many
+slots of each source a shard of the output holds is a multinomial draw, made so that the slots of a source
+add up to its target; the shards then take the slots of a source one after another. Slot i of a source holds
+block perm(i mod n) of its round i div n, where perm is a keyed permutation of the source's n block
+numbers (swap-or-not rounds, so any n works and nothing is sorted). Slots and blocks are joined by block
+number. Inside a shard the slots of all sources stand in one random order.
 """
 
 from __future__ import annotations
@@ -26,6 +27,10 @@ SWAPS = 24
 STRETCH_ROWS = 4000
 #: Slots numbered by one task.
 CHUNK = 5_000
+#: Words written by one task, about.
+TASK_WORDS = 1 << 22
+#: Bits of a place left out to name its stretch: 64 stretches to a shard.
+STRETCH_BITS = 58
 
 
 def n_words(text: Column) -> Column:
@@ -67,10 +72,28 @@ def permuted(index: Column, n: Column, key: Column, seed: int = SEED, swaps: int
     return F.aggregate(F.sequence(F.lit(1), F.lit(swaps)), index.cast("long"), swap)
 
 
+def shard_counts(plan: DataFrame, shards: int, seed: int = SEED, partitions: int = 8) -> DataFrame:
+    """(source_no, shard, n, first): slots of each source that a shard takes, and the number of the first of them.
+
+    plan: source_no, count. Each of the `count` slots of a source is one draw among equally likely shards, so its counts
+    are multinomial and add up to `count`; the counts of a shard vary around the shares of the sources. Only counts are
+    kept of the draws, added up before they are shuffled.
+    """
+    chunks = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(count - 1) div {CHUNK}")))
+    x = plan.select("source_no", "count", chunks.alias("chunk")).repartition(partitions, "source_no", "chunk")
+    first = F.col("chunk") * CHUNK
+    x = x.select("source_no", F.explode(F.sequence(first, F.least(first + CHUNK, F.col("count")) - 1)).alias("draw"))
+    drawn = x.select("source_no", F.pmod(F.xxhash64(F.lit(seed), "source_no", "draw"), F.lit(shards)).alias("shard"))
+    counts = drawn.groupBy("source_no", "shard").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("source_no").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)))
+
+
 def slots(plan: DataFrame, block_words: int = BLOCK_WORDS, seed: int = SEED, shards: int = 1, partitions: int = 8) -> DataFrame:
-    """One row per slot of the mix: source, source_no, slot, round, block, words (used of the block), shard.
+    """One row per slot of the mix: source, source_no, slot, round, block, words (used of the block), shard, place.
 
-    plan: source, source_no, source_size, want (words). The last slot of a source may use part of its block.
+    plan: source, source_no, source_size, want (words). The last slot of a source may use part of its block. A shard
+    holds the slots of a source that shard_counts() gives it; `place` orders all slots of a shard.
     """
     n = F.ceil(F.col("source_size") / block_words)
     x = plan.filter("source_size > 0 AND want > 0").withColumn("n", n)
@@ -80,10 +103,12 @@ def slots(plan: DataFrame, block_words: int = BLOCK_WORDS, seed: int = SEED, sha
     rest = F.col("want") - F.col("rounds") * F.col("source_size")
     part = F.when(rest > 0, F.least(F.col("n"), F.ceil(rest / block_words) + 1)).otherwise(0)
     x = x.withColumn("rest", rest).withColumn("count", F.col("rounds") * F.col("n") + part)
-    chunks = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(count - 1) div {CHUNK}")))
-    x = x.withColumn("chunk", chunks).repartition(partitions, "source_no", "chunk")
-    first = F.col("chunk") * CHUNK
-    x = x.withColumn("slot", F.explode(F.sequence(first, F.least(first + CHUNK, F.col("count")) - 1)))
+    counts = shard_counts(x, shards, seed, partitions).withColumnsRenamed({"source_no": "no", "n": "taken"})
+    x = x.join(counts, F.col("source_no") == F.col("no")).drop("no")
+    chunks = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(taken - 1) div {CHUNK}")))
+    x = x.withColumn("chunk", chunks).repartition(partitions, "source_no", "shard", "chunk")
+    begin = F.col("first") + F.col("chunk") * CHUNK
+    x = x.withColumn("slot", F.explode(F.sequence(begin, F.least(begin + CHUNK, F.col("first") + F.col("taken")) - 1)))
     x = x.withColumn("round", F.expr("slot div n")).withColumn("turn", F.expr("slot % n"))
     x = x.withColumn("block", permuted(F.col("turn"), F.col("n"), F.xxhash64("source_no", "round"), seed))
     last = F.col("n") - 1
@@ -94,8 +119,8 @@ def slots(plan: DataFrame, block_words: int = BLOCK_WORDS, seed: int = SEED, sha
     ahead = F.col("turn") * block_words - F.when(F.col("turn") > F.col("at_last"), block_words - short).otherwise(0)
     used = F.when(F.col("round") < F.col("rounds"), size).otherwise(F.greatest(F.lit(0), F.least(size, F.col("rest") - ahead)))
     x = x.withColumn("words", used.cast("long")).filter("words > 0")
-    shard = F.pmod(F.xxhash64(F.lit(seed), "source_no", "slot"), F.lit(shards))
-    return x.select("source", "source_no", "slot", "round", "block", "words", shard.alias("shard"))
+    place = F.xxhash64(F.lit("place"), F.lit(seed), "source_no", "slot")
+    return x.select("source", "source_no", "slot", "round", "block", "words", "shard", place.alias("place"))
 
 
 def _turn_of_last(n: Column, seed: int) -> Column:
@@ -133,7 +158,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_RO
     """The mix of a table with doc_id, text, source: tables `plan`, `slots`, `pieces` and `docs`.
 
     plan: one row per source (source, source_no, source_size, weight, target, want). slots: see slots().
-    pieces: the words each slot takes of each document (doc_id, mark, copy, round, first, words, shard, slot),
+    pieces: the words each slot takes of each document (doc_id, mark, copy, round, first, words, shard, slot, place),
     `first` counted from the document's start. docs: one row per input row with size, source_size, target, taken.
     A source's taken words are its rounded target exactly; no row is taken more than `most` times.
     Null texts have size 0. Rows without doc_id take part like others; repeated rows count each. A null
@@ -157,11 +182,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_RO
     numbered = placed.join(plan.select(F.col("source").alias("src"), "source_no"), F.col("source").eqNullSafe(F.col("src"))).drop("src")
     last = F.expr(f"(start + size - 1) div {block_words}")
     cells = numbered.filter("size > 0").withColumn("block", F.explode(F.sequence(F.expr(f"start div {block_words}"), last)))
-    used = made.select("source_no", "block", "slot", "round", "words", "shard")
+    used = made.select("source_no", "block", "slot", "round", "words", "shard", "place")
     cut = cells.join(used, ["source_no", "block"])
     low = F.greatest(F.col("start"), F.col("block") * block_words)
     high = F.least(F.col("start") + F.col("size"), F.col("block") * block_words + F.col("words"))
-    pieces = cut.select("doc_id", "mark", "source", "copy", "source_no", "round", "shard", "slot", (low - F.col("start")).alias("first"), (high - low).alias("words")).filter("words > 0")
+    pieces = cut.select("doc_id", "mark", "source", "copy", "source_no", "round", "shard", "slot", "place", (low - F.col("start")).alias("first"), (high - low).alias("words")).filter("words > 0")
     taken = pieces.groupBy("doc_id", "copy", "source_no").agg(F.sum("words").alias("taken"))
     taken = taken.withColumnsRenamed({"doc_id": "d", "copy": "c", "source_no": "s"})
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("copy") == F.col("c")) & (F.col("source_no") == F.col("s"))
@@ -176,11 +201,14 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
 
     A round that takes a document whole returns its text as it is; otherwise the words taken, in order,
     joined by one space. n_chars, if present, follows the text. Columns may have any names; an empty table gives an
-    empty mix.
+    empty mix. Rows are laid out by shard and place: each stands where the first of its slots does, and a partition
+    holds whole stretches of shards in order.
     """
-    pieces = mix(docs, **options)["pieces"]
-    parts = pieces.groupBy("doc_id", "mark", "source", "copy", "round").agg(F.array_sort(F.collect_list(F.struct("first", "words"))).alias("parts"), F.sum("words").alias("taken"))
-    takes = parts.groupBy("doc_id", "mark", "source").agg(F.collect_list(F.struct("parts", "taken")).alias("takes"))
+    made = mix(docs, **options)
+    pieces = made["pieces"]
+    at = F.min(F.struct("shard", "place")).alias("at")
+    parts = pieces.groupBy("doc_id", "mark", "source", "copy", "round").agg(F.array_sort(F.collect_list(F.struct("first", "words"))).alias("parts"), F.sum("words").alias("taken"), at)
+    takes = parts.groupBy("doc_id", "mark", "source").agg(F.collect_list(F.struct("parts", "taken", "at")).alias("takes"))
     own, left, right, where, take, every = free_names(docs, "mark", "key_id", "key_mark", "key_source", "take", "takes")
     takes = takes.withColumnsRenamed({"doc_id": left, "mark": right, "source": where, "takes": every})
     keys = ["doc_id", own, "source"]
@@ -196,7 +224,10 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     out = rows.withColumn("text", F.when(F.col(take)["taken"] == n_words(F.col("text")), F.col("text")).otherwise(some))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    total = made["plan"].agg(F.sum("want")).first()[0] or 0
+    place = F.col(take)["at"]["place"]
+    laid = out.repartition(partitions_for(docs.sparkSession, total, TASK_WORDS), F.col(take)["at"]["shard"], F.shiftrightunsigned(place, STRETCH_BITS))
+    return laid.sortWithinPartitions(F.col(take)["at"]).select(*docs.columns)
 
 
 @query("op8_mix_sources")

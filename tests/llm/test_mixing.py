@@ -134,3 +134,50 @@ def test_counts_by_shard_follow_the_weights(spark):
     assert len(shards) == 8
     for k in shards:
         assert abs(by[k, "s0"] / sum(by[k, s] for s in ("s0", "s1", "s2")) - 0.625) < 0.08
+
+
+def test_shards_take_what_was_drawn(spark):
+    """Counts by shard are those of the draw, and each shard's slots of a source follow those of the shard before."""
+    df = spark.range(900).select(F.col("id").alias("doc_id"), F.lit("w " * 64).alias("text"), F.concat(F.lit("s"), F.col("id") % 3).alias("source"))
+    made = mixing.mix(df, block_words=32, shard_words=8000)
+    shards = 900 * 64 // 8000
+    want, got, places = Counter(), {}, {}
+    for p in made["plan"].collect():
+        rest = p.want % p.source_size
+        blocks = -(-p.source_size // 32)
+        count = p.want // p.source_size * blocks + (min(blocks, -(-rest // 32) + 1) if rest else 0)
+        for draw in range(count):
+            want[p.source_no, spark_hash(("i", mixing.SEED), ("l", p.source_no), ("l", draw)) % shards] += 1
+    for r in made["slots"].collect():
+        got.setdefault((r.source_no, r.shard), []).append(r.slot)
+        places.setdefault(r.shard, []).append((r.place, r.source_no))
+    first = Counter()
+    for no, k in sorted(want):
+        # The last slot of a source may have no word left for it.
+        assert set(range(first[no], first[no] + want[no, k])) - set(got.get((no, k), [])) <= {sum(n for (o, _), n in want.items() if o == no) - 1}
+        assert set(got.get((no, k), [])) <= set(range(first[no], first[no] + want[no, k]))
+        first[no] += want[no, k]
+    for order in places.values():
+        # One random order: the sources change from slot to slot more often than not.
+        sources = [no for _, no in sorted(order)]
+        assert sum(a != b for a, b in zip(sources, sources[1:])) > len(sources) / 3
+
+
+def test_mix_is_laid_out_by_shard_and_place(spark):
+    rows = [(i, f"d{i} " + "w " * (i % 50), f"s{i % 2}") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.mixed(df, block_words=8, shard_words=2000)
+    places = mixing.mix(df, block_words=8, shard_words=2000)["pieces"].groupBy("doc_id", "round").agg(F.min(F.struct("shard", "place")).alias("at")).collect()
+    at = {}
+    for r in places:
+        at.setdefault(r.doc_id, set()).add(tuple(r["at"]))
+    parts = {}
+    for r in out.select("doc_id", F.spark_partition_id().alias("p")).collect():
+        parts.setdefault(r.p, []).append(r.doc_id)
+    assert len(parts) > 1 and sum(map(len, parts.values())) == len(places)
+    for ids in parts.values():
+        here = (-1,)
+        for d in ids:
+            nxt = min((a for a in at[d] if a >= here), default=None)
+            assert nxt is not None, "a row stands before one that belongs ahead of it"
+            here = nxt
