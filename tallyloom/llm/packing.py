@@ -21,7 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.base import table
+from tallyloom.durable import Scratch
+from tallyloom.llm.base import table, text_mark
 from tallyloom.llm.registry import query
 
 CAPACITY = 1024
@@ -29,6 +30,8 @@ END_ID = 0
 #: Documents of one group, on average.
 GROUP_DOCS = 1000
 SEED = 7
+#: Copies of a repeated row written out by one task.
+CHUNK = 5_000
 #: Space-separated pieces of text whose ids a worker keeps, and how long one of them may be.
 CACHE_ENTRIES, CACHE_CHARS = 200_000, 24
 VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
@@ -201,11 +204,32 @@ def _packed(capacity: int, kind: pa.DataType):
     return run
 
 
+def numbered_copies(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, mark, copy): the rows of docs(doc_id, text), equal ones numbered from 1 and all others 0.
+
+    Equal rows are counted before they are shuffled, and written out again from one of them, in chunks, so a row
+    repeated very often keeps no task busy alone.
+    """
+    named = docs.withColumn("mark", text_mark(F.col("text")))
+    keys = named.groupBy(F.col("doc_id").alias("id"), F.col("mark").alias("m")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    repeats = Scratch(docs.sparkSession, "packing").write(keys, "repeats")
+    if repeats.isEmpty():
+        return named.withColumn("copy", F.lit(0).cast("long"))
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("mark") == F.col("m"))
+    once = named.join(repeats, same, "left_anti").withColumn("copy", F.lit(0).cast("long"))
+    kept = named.join(repeats, same, "left_semi").dropDuplicates(["doc_id", "mark"]).join(repeats, same)
+    chunks = kept.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {CHUNK}"))))
+    first = F.col("chunk") * CHUNK
+    copies = F.explode(F.sequence(first + 1, F.least(first + CHUNK, F.col("n"))))
+    spread = chunks.repartition("doc_id", "mark", "chunk").select("doc_id", "text", "mark", copies.alias("copy"))
+    return once.unionByName(spread)
+
+
 def pack(docs: DataFrame, vocabulary: str | None = None, ranks: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, group_docs: int = GROUP_DOCS, seed: int = SEED) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Every row of `docs` is a document of its own, repeated rows too; null text is empty (the end id alone).
-    A null doc_id is kept. Other columns are ignored, an empty table gives an empty result. Sequences
+    A null doc_id is kept. Rows of one id fall into different groups, equal rows too. Other columns are ignored, an empty table gives an empty result. Sequences
     hold at most `capacity` ids; offsets in a sequence have no gap; reruns agree.
     vocabulary, ranks: one byte-level vocabulary as a file of tokenizers and as ranks; by default the public one.
     """
@@ -215,8 +239,8 @@ def pack(docs: DataFrame, vocabulary: str | None = None, ranks: str | None = Non
     files = vocabulary or str(public_tokenizers.path(VOCABULARY)), ranks or str(public_tokenizers.path(RANKS))
     kind = docs.schema["doc_id"].dataType
     groups = max(1, round(docs.count() / group_docs))
-    named = docs.select("doc_id", "text").withColumn("pack", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(groups)))
-    named = named.withColumn("pack", F.when(F.col("doc_id").isNull(), F.col("pack")).otherwise(F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(groups))))
+    dealt = numbered_copies(docs.select("doc_id", "text"))
+    named = dealt.select("doc_id", "text", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "mark", "copy"), F.lit(groups)).alias("pack"))
     encoded = named.mapInArrow(_encoded(*files, capacity, end_id), f"doc_id {kind.simpleString()}, pack long, doc_tokens long, crcs array<long>, rest binary")
     schema = f"doc_id {kind.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     return encoded.groupBy("pack").applyInArrow(_packed(capacity, to_arrow_type(kind)), schema)

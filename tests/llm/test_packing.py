@@ -1,5 +1,5 @@
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -82,3 +82,26 @@ def test_equal_rests_leave_one_open_sequence():
     made = packing.fill_up(packing.first_fit_decreasing(sizes), sizes)
     totals = sorted(sum(p[2] for p in b) for b in made)
     assert sum(totals) == 41 * 600 and all(t == 1024 for t in totals[1:])
+
+
+def test_rows_of_one_id_spread_over_groups(spark, plain):
+    """A third of the rows equal, a third of one id: groups stay bounded, and each row is packed once."""
+    rows = [(1, "same text")] * 600 + [(2, f"text {i}") for i in range(600)] + [(i, f"own {i}") for i in range(3, 603)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = packing.pack(df, group_docs=100).collect()
+    want, lengths = Counter(), Counter()
+    for d, t in rows:
+        ids = np.array(plain(t), "<u4")
+        want[d, zlib.crc32(ids.tobytes())] += 1
+        lengths[d] += len(ids)
+    got = Counter()
+    for p in found:
+        got[p.doc_id] += p.length
+    assert got == lengths
+    assert Counter(p.doc_id for p in found if p.start == 0) == Counter(d for d, _ in rows)
+    assert not Counter((p.doc_id, p.ids_crc32) for p in found if p.length == p.doc_tokens) - want
+    groups = Counter(p.sequence_id >> 32 for p in found)
+    assert len(groups) == 18 and max(groups.values()) < 200
+    assert sorted(found) == sorted(packing.pack(df.repartition(3), group_docs=100).collect())
+    copies = packing.numbered_copies(df).filter("doc_id = 1").select("copy").collect()
+    assert sorted(r.copy for r in copies) == list(range(1, 601))
