@@ -114,12 +114,14 @@ def document_frequencies(docs: DataFrame, features: int = FEATURES) -> np.ndarra
 
 
 def sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> list[tuple[str, str]]:
-    """At most `per_language` labelled (lang, text) for each language, the same ones at every run."""
+    """At most `per_language` labelled (lang, text) for each language, one for an id, the same ones at every run."""
     mark = F.xxhash64(F.col("doc_id"), F.lit(11))
     ids = docs.select("lang", "doc_id", mark.alias("mark")).groupBy("lang", F.pmod("mark", F.lit(per_language)).alias("slot")).agg(F.min(F.struct("mark", "doc_id")).alias("one"))
     chosen = ids.select(F.col("one.doc_id").alias("id"), F.col("lang").alias("language"))
     # Bounded by the sample's size, whatever the table holds.
     rows = docs.join(F.broadcast(chosen), (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("language"))).select("doc_id", "lang", "text")
+    # One text of each id, however often the id is there.
+    rows = rows.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
     return [(r.lang, r.text) for r in sorted(rows.collect(), key=lambda r: (str(r.doc_id), r.lang, r.text))]
 
 

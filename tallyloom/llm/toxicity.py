@@ -169,14 +169,16 @@ def logistic(x):
 
 
 def sample(docs: DataFrame, labels: DataFrame, sizes: dict[int, int] = SAMPLE) -> DataFrame:
-    """(doc_id, text, toxic) of a bounded number of labelled documents, the same ones at every run."""
+    """(doc_id, text, toxic) of a bounded number of labelled documents, one text for an id, the same ones at every run."""
     known = labels.filter("toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     mark = F.xxhash64(F.col("doc_id"), F.lit(29))
     slot = F.pmod("mark", F.when(F.col("toxic") == 1, sizes[1]).otherwise(sizes[0]))
     one = known.withColumn("mark", mark).groupBy("toxic", slot.alias("slot")).agg(F.min(F.struct("mark", "doc_id")).alias("one"))
     chosen = one.select(F.col("one.doc_id").alias("id"), F.col("toxic").alias("label"))
     # Bounded by the sample's size, whatever the tables hold.
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("doc_id", "text", F.col("label").alias("toxic"))
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("id"))
+    # One text of each id, however often the id is there.
+    return rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("doc_id", "text", F.col("label").alias("toxic"))
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,6 +224,7 @@ def learn(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ...] = EXCE
     weights = dict(pruned({r.term: r.weight for r in rows}))
     lexicon = Lexicon(weights, exceptions)
     measured = texts.mapInArrow(_measured(lexicon), "toxic int, weight double, words long").toPandas()  # as many rows as the sample
+    measured = measured.sort_values(["toxic", "weight", "words"], ignore_index=True)  # sums then agree between runs
     balance = np.where(measured.toxic == 1, given[1] / had[1], given[0] / had[0])
     lexicon.curve = tuple(fit_curve(features(measured.weight, measured.words), measured.toxic.to_numpy(float), balance))
     return lexicon

@@ -82,3 +82,11 @@ def test_least_score_follows_chance(spark, monkeypatch):
     unsure = lid.Model(["de", "en"], np.zeros((lid.FEATURES, 2), np.float32), np.array([0.2, 0.0]), 1.0)  # 0.55 against 0.45
     monkeypatch.setattr(lid, "train", lambda docs: unsure)
     assert lid.in_a_language(df).count() == 0
+
+
+def test_sample_takes_one_text_of_an_id(spark):
+    rows = [(1, f"repeated {i}", "en") for i in range(500)] + [(i, f"text {i}", "de") for i in range(2, 40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = lid.sample(df, 10)
+    assert [t for lang, t in found if lang == "en"] == ["repeated 0"]
+    assert 0 < sum(lang == "de" for lang, _ in found) <= 10 and found == lid.sample(df, 10)

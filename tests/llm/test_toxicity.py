@@ -93,3 +93,11 @@ def test_edge_rows(spark):
     assert all(by[i].predicted == (i % 3 == 0) for i in range(300))
     assert tx.rate(docs.limit(0), labels).count() == 0
     assert {r.predicted for r in tx.rate(docs, labels.limit(0)).collect()} == {0}
+
+
+def test_sample_takes_one_text_of_an_id(spark):
+    docs = spark.createDataFrame([(1, f"repeated {i}") for i in range(500)] + [(i, f"text {i}") for i in range(2, 40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i == 1)) for i in range(1, 40)], "doc_id long, toxic int")
+    found = tx.sample(docs, labels, {0: 8, 1: 4}).collect()
+    assert [r.text for r in found if r.toxic == 1] == ["repeated 0"]
+    assert 0 < sum(r.toxic == 0 for r in found) <= 8
