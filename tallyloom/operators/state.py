@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import json
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tallyloom.functions import text
 from tallyloom.operators import ordered
@@ -144,105 +144,93 @@ def totals(purchases: DataFrame, keep: Column | None = None) -> DataFrame:
 
 
 class Store:
-    """Tables and logs in a shared folder, with one writer.
+    """Tables and logs as plain Parquet folders, and `runs`, which points at the folders that count. One writer.
 
-    Every write goes to a folder of its own, `<name>/<id>-<unique>`, so nothing published is ever overwritten.
-    A manifest names the folders that make up all tables and logs; the next one appears by a single rename.
-    A run that died before that left nothing visible, one that died after it is complete.
+    Every write is a folder of its own, `<name>/<run>-<unique>`, so nothing published is ever overwritten. A run
+    is published by appending one file to `runs`, with a row for each folder: all it wrote appears together.
+    A run that died before that left nothing visible, one that died after it is complete. Folders that no
+    longer count stay until someone deletes them.
     """
 
-    #: Folders of one log before publishing merges the older ones, and how many recent ones stay apart.
-    MOST_PARTS, RECENT_PARTS = 32, 8
+    #: Logs are compacted whenever so many more runs have been published.
+    EVERY = 32
+    RUNS = "number bigint, run_id string, name string, folder string, whole boolean"
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
-        self._staged: dict[str, list[tuple[str, str, str]]] = {}
-
-    def _fs(self, path: str):
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
-
-    def _names(self, folder: str) -> list[str]:
-        fs, p = self._fs(folder)
-        return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
-
-    def manifest(self) -> dict:
-        """The newest published state: folder of each table, (batch, folder) list of each log."""
-        numbers = [n for n in self._names(f"{self.root}/published") if n.endswith(".json")]
-        if not numbers:
-            return {"number": 0, "run_id": None, "tables": {}, "logs": {}}
-        body = self.spark.read.text(f"{self.root}/published/{numbers[-1]}", wholetext=True).first()[0]
-        return json.loads(body)
-
-    def _folder(self, name: str, rows: DataFrame, label: str) -> str:
-        folder = f"{name}/{label}-{uuid.uuid4().hex}"
-        rows.write.parquet(f"{self.root}/{folder}")
-        return folder
+        self._staged: dict[str, dict[str, tuple[str, bool]]] = {}
+
+    def runs(self) -> DataFrame:
+        """A row for each folder of each published run; a `whole` one stands for all of its name before it."""
+        try:
+            return self.spark.read.schema(self.RUNS).parquet(f"{self.root}/runs")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], self.RUNS)
+
+    def _last(self, name: str) -> Row:
+        """Number and folder of the newest whole folder of a table or log, nulls if there is none."""
+        rows = self.runs().where((F.col("name") == name) & F.col("whole"))
+        return rows.agg(F.max("number").alias("number"), F.max_by("folder", "number").alias("folder")).first()
+
+    def _parquet(self, schema: StructType | str, folders: list[str]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[f"{self.root}/{folder}" for folder in folders])
 
     def read(self, name: str, schema: StructType | str) -> DataFrame:
         """Published rows of a table; columns an older version lacks are null."""
-        folder = self.manifest()["tables"].get(name)
-        if folder is None:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{folder}")
+        folder = self._last(name)["folder"]
+        return self._parquet(schema, [] if folder is None else [folder])
+
+    def _logged(self, name: str, schema: StructType | str) -> DataFrame:
+        """Rows of a log with the run that wrote them, `_run`."""
+        whole = self._last(name)
+        since = self.runs().where((F.col("name") == name) & (F.col("number") > F.lit(whole["number"] or 0)))
+        parts = since.groupBy("run_id").agg(F.max_by("folder", "number").alias("folder")).collect()
+        fields = StructType([*(schema if isinstance(schema, StructType) else StructType.fromDDL(schema)).fields, StructField("_run", StringType())])
+        rows = self._parquet(fields, [p["folder"] for p in parts])
+        if whole["folder"] is None:
+            return rows
+        kept = ~F.col("_run").isin([p["run_id"] for p in parts])  # a run repeated since then has replaced its rows
+        return self._parquet(fields, [whole["folder"]]).where(kept).unionByName(rows)
 
     def read_log(self, name: str, schema: StructType | str, besides: str | None = None) -> DataFrame:
-        """All appended rows, or all but those of one batch."""
-        kept = [f"{self.root}/{folder}" for batch, folder in self.manifest()["logs"].get(name, []) if besides is None or batch != besides]
-        return self.spark.read.schema(schema).parquet(*kept) if kept else self.spark.createDataFrame([], schema)
+        """All appended rows, or all but those of one run."""
+        rows = self._logged(name, schema)
+        return (rows if besides is None else rows.where(F.col("_run") != besides)).drop("_run")
+
+    def _stage(self, name: str, rows: DataFrame, run_id: str, whole: bool) -> None:
+        folder = f"{name}/{run_id}-{uuid.uuid4().hex}"
+        rows.write.parquet(f"{self.root}/{folder}")
+        self._staged.setdefault(run_id, {})[name] = (folder, whole)
 
     def stage(self, name: str, rows: DataFrame, run_id: str) -> None:
         """Write the next version of a table; publish() makes it visible."""
-        self._staged.setdefault(run_id, []).append(("table", name, self._folder(name, rows, run_id)))
+        self._stage(name, rows, run_id, True)
 
     def stage_log(self, name: str, rows: DataFrame, run_id: str) -> None:
         """Write rows to add to a log; publish() makes them visible, in place of earlier rows of this run."""
-        self._staged.setdefault(run_id, []).append(("log", name, self._folder(name, rows, run_id)))
-
-    def publish(self, run_id: str) -> None:
-        """Make all that was staged for the run visible together."""
-        state = self.manifest()
-        for kind, name, folder in self._staged.pop(run_id, []):
-            if kind == "table":
-                state["tables"][name] = folder
-            else:
-                parts = [p for p in state["logs"].get(name, []) if p[0] != run_id]
-                state["logs"][name] = self._merged(name, [*parts, [run_id, folder]])
-        state |= {"number": state["number"] + 1, "run_id": run_id}
-        final = f"{self.root}/published/{state['number']:012d}.json"
-        fs, draft = self._fs(f"{self.root}/published/_{uuid.uuid4().hex}")
-        out = fs.create(draft)
-        out.write(bytearray(json.dumps(state), "utf-8"))
-        out.close()
-        if not fs.rename(draft, self._fs(final)[1]):
-            raise RuntimeError(f"{final} was published by another writer")
-
-    def _merged(self, name: str, parts: list) -> list:
-        """Older parts of a long log as one; a batch that may still be repeated keeps its own part."""
-        if len(parts) <= self.MOST_PARTS:
-            return parts
-        old, recent = parts[: -self.RECENT_PARTS], parts[-self.RECENT_PARTS:]
-        rows = self.spark.read.parquet(*[f"{self.root}/{folder}" for _, folder in old])
-        return [[None, self._folder(name, rows, "merged")], *recent]
-
-    def append(self, name: str, rows: DataFrame, batch: str) -> None:
-        """Append once per batch: a repeated batch replaces its own rows."""
-        self.stage_log(name, rows, batch)
-        self.publish(batch)
-
-    def vacuum(self) -> None:
-        """Delete folders and manifests the newest manifest does not need. Nothing may be reading or writing."""
-        state = self.manifest()
-        needed = {*state["tables"].values(), *(f for parts in state["logs"].values() for _, f in parts)}
-        for name in [*state["tables"], *state["logs"]]:
-            for folder in self._names(f"{self.root}/{name}"):
-                if f"{name}/{folder}" not in needed:
-                    fs, path = self._fs(f"{self.root}/{name}/{folder}")
-                    fs.delete(path, True)
-        for n in self._names(f"{self.root}/published"):
-            if n != f"{state['number']:012d}.json":
-                fs, path = self._fs(f"{self.root}/published/{n}")
-                fs.delete(path, True)
+        self._stage(name, rows.withColumn("_run", F.lit(run_id)), run_id, False)
+
+    def publish(self, run_id: str) -> int:
+        """Make all that was staged for the run visible together; the number of the run."""
+        number = (self.runs().agg(F.max("number").alias("last")).first()["last"] or 0) + 1
+        rows = [(number, run_id, name, folder, whole) for name, (folder, whole) in self._staged.pop(run_id, {}).items()]
+        self.spark.createDataFrame(rows, self.RUNS).coalesce(1).write.mode("append").parquet(f"{self.root}/runs")
+        return number
+
+    def append(self, name: str, rows: DataFrame, run_id: str) -> int:
+        """Append once per run: a repeated run replaces its own rows."""
+        self.stage_log(name, rows, run_id)
+        return self.publish(run_id)
+
+    def compact(self, name: str, schema: StructType | str) -> None:
+        """Rewrite a log as one folder, published as a run of its own; a run repeated later still replaces its rows."""
+        run_id = f"compact-{name}"
+        self._stage(name, self._logged(name, schema), run_id, True)
+        self.publish(run_id)
 
 
 def with_defaults(purchases: DataFrame) -> DataFrame:

@@ -222,4 +222,5 @@ def publish_run(store: state.Store, result: RunResult, run_id: str) -> None:
     store.stage("aliases", result.aliases, run_id)
     store.stage("pending", result.pending, run_id)
     store.stage_log("ledger", result.ledger_entries, run_id)
-    store.publish(run_id)
+    if store.publish(run_id) % store.EVERY == 0:
+        store.compact("ledger", schemas.LEDGER)

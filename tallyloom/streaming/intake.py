@@ -65,7 +65,9 @@ def record_imports(store: state.Store, schema: str, table: str = "imported") ->
         own = f"{batch_id:010d}"
         known = store.read_log(table, schema, besides=own)
         rows = ordered.first_per_key(batch, intake.KEY, [F.col("polled_at")])
-        store.append(table, rows.join(known.select(*intake.KEY), intake.KEY, "left_anti"), own)
+        number = store.append(table, rows.join(known.select(*intake.KEY), intake.KEY, "left_anti"), own)
+        if number % store.EVERY == 0:
+            store.compact(table, schema)
 
     return write
 

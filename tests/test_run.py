@@ -124,18 +124,31 @@ def test_a_run_that_dies_is_repeated_under_its_id(spark, tmp_path):
     assert len(rows) == 2 and len(bank) == 2 and books.store.read_log("ledger", schemas.LEDGER).count() == 2
     attempt(None)  # died after publishing, before the caller noted it
     assert (books.purchases(), books.bank()) == (rows, bank) and books.store.read_log("ledger", schemas.LEDGER).count() == 2
-    books.store.vacuum()
+    books.store.compact("ledger", schemas.LEDGER)
+    attempt(None)
     assert (books.purchases(), books.bank()) == (rows, bank) and books.store.read_log("ledger", schemas.LEDGER).count() == 2
 
 
-def test_long_logs_are_merged(spark, tmp_path):
+def test_a_compacted_log_keeps_its_rows(spark, tmp_path):
     store = Store(spark, f"file:{tmp_path}/store")
-    store.MOST_PARTS, store.RECENT_PARTS = 4, 2
-    for i in range(9):
-        store.append("log", spark.createDataFrame([(i,)], "v int"), f"b{i}")
-    store.append("log", spark.createDataFrame([(80,)], "v int"), "b8")
-    assert sorted(r.v for r in store.read_log("log", "v int").collect()) == [0, 1, 2, 3, 4, 5, 6, 7, 80]
-    assert len(store.manifest()["logs"]["log"]) <= 4
+    assert store.read_log("log", "v int").isEmpty() and store.runs().isEmpty()
+    add = lambda v, run: store.append("log", spark.createDataFrame([(v,)], "v int"), run)
+    held = lambda besides=None: sorted(r.v for r in store.read_log("log", "v int", besides).collect())
+    assert [add(i, f"b{i}") for i in range(4)] == [1, 2, 3, 4]
+    add(30, "b3")  # repeated before the log is compacted
+    store.compact("log", "v int")
+    assert held() == [0, 1, 2, 30] and held("b3") == [0, 1, 2]
+    add(20, "b2")  # and after it
+    add(5, "b5")
+    assert held() == [0, 1, 5, 20, 30] and held("b2") == [0, 1, 5, 30]
+    store.compact("log", "v int")
+    assert held() == [0, 1, 5, 20, 30] and held("b5") == [0, 1, 20, 30]
+    # Staged rows count only once they are published, all of a run together.
+    store.stage("table", spark.createDataFrame([(1,)], "v int"), "late")
+    store.stage_log("log", spark.createDataFrame([(7,)], "v int"), "late")
+    assert store.read("table", "v int").isEmpty() and 7 not in held()
+    store.publish("late")
+    assert store.read("table", "v int").count() == 1 and 7 in held()
 
 
 def test_release_needs_reference_and_receipt(spark):
