@@ -3,7 +3,7 @@
 Folding lowers case, maps look-alike letters of other scripts and digits to Latin letters, and turns
 punctuation of any script into spaces, so "1d10t" and "idiot" are one word. The lexicon holds beginnings
 of words, short words as a whole, and runs of characters where a script writes no spaces, weighted by their log odds in toxic documents of a bounded, labelled sample. Hits inside an exception
-phrase do not count. The sum of weights, plain and per word of text, gives the score by a logistic
+phrase do not count; besides given ones, an entry and a word next to it are one if clean documents say them likelier. The sum of weights, plain and per word of text, gives the score by a logistic
 curve fitted on the same sample.
 """
 
@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.durable import Scratch
@@ -26,8 +26,6 @@ from tallyloom.llm.registry import query
 
 #: Labelled documents learned from at most: clean ones, toxic ones.
 SAMPLE = {0: 6000, 1: 3000}
-#: Entries of the lexicon at most; the heaviest stay.
-MOST_TERMS = 5000
 #: Shortest and longest beginning of a word that may be an entry; whole words may be shorter or longer.
 SHORTEST, LONGEST = 4, 7
 #: Characters in a row that may be an entry in a script without spaces.
@@ -36,6 +34,8 @@ LONGEST_RUN = 4
 LEAST_DOCS, LEAST_CONTEXTS, LEAST_ODDS = 5, 4, 2.0
 #: Words added to a text's length, so that a hit in a very short text is not all there is.
 STEADY_WORDS = 50
+#: A learned exception stands in so many clean sample documents.
+LEAST_CLEAN = 5
 EXCEPTIONS = ("trash can", "trash bag", "trash bin", "clown fish", "stupid question")
 
 # Letters that look like Latin ones, next to what they look like.
@@ -117,19 +117,19 @@ def terms(words: list[str]) -> Iterator[tuple[int, list[str]]]:
 class Lexicon:
     weights: dict[str, float]
     exceptions: tuple[str, ...] = ()
+    learned: tuple[str, ...] = ()
     curve: tuple[float, float, float] = (0.0, 0.0, 0.0)
     machine: ahocorasick.Automaton | None = field(default=None, repr=False, compare=False)
 
     def __getstate__(self):
-        return {"weights": self.weights, "exceptions": self.exceptions, "curve": self.curve, "machine": None}
+        return {"weights": self.weights, "exceptions": self.exceptions, "learned": self.learned, "curve": self.curve, "machine": None}
 
     def build(self) -> ahocorasick.Automaton:
         machine = ahocorasick.Automaton()
         for term, weight in self.weights.items():
             machine.add_word(f" {term}", (weight, len(term)))
-        for phrase in self.exceptions:
-            # Runs of spaces are one space in the matched text, so phrases match over any white space.
-            own = " ".join(folded_words(phrase))
+        # Runs of spaces are one space in the matched text, so phrases match over any white space. Learned ones are folded.
+        for own in {*(" ".join(folded_words(phrase)) for phrase in self.exceptions), *self.learned}:
             machine.add_word(f" {own} ", (None, len(own) + 1))
         if len(machine):
             machine.make_automaton()
@@ -137,23 +137,40 @@ class Lexicon:
 
     def measure(self, text: str | None) -> tuple[float, int]:
         """Summed weight of the hits outside exception phrases, and the number of words."""
+        words = folded_words(text or "")
+        return sum(h[2] for h in self.hits(words)), len(words)
+
+    def hits(self, words: list[str]) -> list[tuple[int, int, float]]:
+        """Start, end and weight of the hits outside exception phrases, as places in the words between spaces."""
         if self.machine is None:
             self.machine = self.build()
-        words = folded_words(text or "")
         if not words or not len(self.machine):
-            return 0.0, len(words)
+            return []
         hits, spared = [], []
         for end, (weight, size) in self.machine.iter(f" {' '.join(words)} "):
             if weight is None:
                 spared.append((end - size, end))
             else:
-                hits.append((end - size, weight))
+                hits.append((end - size, end, weight))
         if spared:
             at = np.array(sorted(spared))
             last = np.searchsorted(at[:, 0], [h[0] for h in hits], side="right") - 1
             reach = np.maximum.accumulate(at[:, 1])
             hits = [h for h, k in zip(hits, last) if k < 0 or reach[k] <= h[0]]
-        return sum(h[1] for h in hits), len(words)
+        return hits
+
+    def around(self, words: list[str]) -> set[str]:
+        """Phrases of a hit and the word before or after it, unless that word is hit as well."""
+        hits = self.hits(words)
+        if not hits:
+            return set()
+        starts = np.cumsum([1, *(len(w) + 1 for w in words)])[:-1]
+        first = np.searchsorted(starts, [h[0] + 1 for h in hits])
+        last = np.searchsorted(starts, [h[1] for h in hits], side="right") - 1
+        hit = {k for a, b in zip(first, last) for k in range(a, b + 1)}
+        spans = {(a - 1, b) for a, b in zip(first, last) if a and a - 1 not in hit}
+        spans |= {(a, b + 1) for a, b in zip(first, last) if b + 1 < len(words) and b + 1 not in hit}
+        return {" ".join(words[a:b + 1]) for a, b in spans}
 
     def score(self, text: str | None) -> float:
         return float(logistic(features(*self.measure(text)) @ np.array(self.curve)))
@@ -204,6 +221,22 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array([contexts.get(t, 0) for t in part], pa.int64())], ["term", "toxic", "clean", "contexts"])
 
 
+def _around(lexicon: Lexicon):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            labels = batch.column("toxic").to_pylist()
+            found = [(p, label) for x, label in zip(batch.column("text"), labels) for p in lexicon.around(folded_words(x.as_py() or ""))]
+            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.int32())], ["phrase", "toxic"])
+
+    return run
+
+
+def log_odds(had: dict[int, int]) -> tuple[Column, Column]:
+    """Log odds of standing in a toxic document, from columns toxic and clean, and their standard error."""
+    toxic, clean = F.col("toxic") + 0.5, F.col("clean") + 0.5
+    return F.log(toxic / (had[1] + 1 - toxic)) - F.log(clean / (had[0] + 1 - clean)), F.sqrt(1 / toxic + 1 / clean)
+
+
 def learn(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS, sizes: dict[int, int] = SAMPLE) -> Lexicon:
     """A lexicon with its curve from the labelled rows given. Without toxic or clean rows it is empty."""
     scratch = Scratch(docs.sparkSession, "toxicity")
@@ -212,17 +245,19 @@ def learn(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ...] = EXCE
     given = {r.toxic: r["count"] for r in shares}
     had = {r.toxic: r["count"] for r in texts.groupBy("toxic").count().collect()}
     if not had.get(0) or not had.get(1):
-        return Lexicon({}, exceptions, (0.0, 0.0, -4.0 if had.get(0) or not had else 4.0))
+        return Lexicon({}, exceptions, (), (0.0, 0.0, -4.0 if had.get(0) or not had else 4.0))
     sums = texts.select("text", "toxic").mapInArrow(_counts, "term string, toxic long, clean long, contexts long")
     sums = sums.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.bit_or("contexts").alias("contexts"))
-    odds = F.log((F.col("toxic") + 0.5) / (had[1] - F.col("toxic") + 0.5)) - F.log((F.col("clean") + 0.5) / (had[0] - F.col("clean") + 0.5))
-    error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
+    odds, error = log_odds(had)
     least = min(LEAST_DOCS, max(2, had[1] // 20))
     found = sums.filter((F.col("toxic") >= least) & (F.bit_count("contexts") >= min(LEAST_CONTEXTS, least)))
     found = found.withColumn("weight", odds).filter(F.col("weight") - error >= LEAST_ODDS)
-    rows = found.orderBy(F.col("weight").desc(), "term").limit(MOST_TERMS).select("term", "weight").collect()
+    rows = found.orderBy(F.col("weight").desc(), "term").select("term", "weight").collect()  # in LEAST_DOCS texts of the sample at least
     weights = dict(pruned({r.term: r.weight for r in rows}))
-    lexicon = Lexicon(weights, exceptions)
+    said = texts.select("text", "toxic").mapInArrow(_around(Lexicon(weights, exceptions)), "phrase string, toxic int")
+    said = said.groupBy("phrase").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean"))
+    calm = said.filter((F.col("clean") >= LEAST_CLEAN) & (odds + error <= 0)).orderBy("phrase").select("phrase").collect()
+    lexicon = Lexicon(weights, exceptions, tuple(r.phrase for r in calm))
     measured = texts.mapInArrow(_measured(lexicon), "toxic int, weight double, words long").toPandas()  # as many rows as the sample
     measured = measured.sort_values(["toxic", "weight", "words"], ignore_index=True)  # sums then agree between runs
     balance = np.where(measured.toxic == 1, given[1] / had[1], given[0] / had[0])
@@ -262,7 +297,7 @@ def _measured(lexicon: Lexicon):
 def scored(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     """doc_id, score, weight (of the hits), words. A null text is empty; an empty one has the score of no hits."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(lexicon)  # at most MOST_TERMS entries
+    shared = docs.sparkSession.sparkContext.broadcast(lexicon)  # as much as the bounded sample gave
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = shared.value

@@ -54,6 +54,33 @@ def test_learns_short_words_marked_words_and_runs(spark):
     assert [r.doc_id for r in got if r.predicted != (r.doc_id % 3 == 0)] == []
 
 
+def test_learns_exceptions_from_clean_contexts(spark):
+    fill = "red green blue white black brown pink grey".split()
+    toxic = ["you {0} trash and {1}", "{0} trash {1}", "such trash {1} {0}"]
+    clean = ["the {0} weather is {1}", "they say {0} or {1}", "the trash “collector” is {0} {1}", "so {0} it is", "why {1} at all"]
+    rows = [(i, (toxic[i // 2 % 3] if i % 2 == 0 else clean[i // 2 % 5]).format(fill[i % 7], fill[i % 8])) for i in range(1200)]
+    rows = [(i, t) for i, t in rows if "collector" not in t or i < 300]  # rare enough for "trash" to be an entry
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    lexicon = tx.learn(docs, labels, exceptions=())
+    assert any("trash".startswith(t) for t in lexicon.weights)
+    phrase = " ".join(tx.folded_words("trash collector"))
+    assert phrase in lexicon.learned and not any("such" in p or "you" in p for p in lexicon.learned)
+    assert lexicon.measure("Trash, collector")[0] == 0 < lexicon.measure("trash blue")[0]
+    assert lexicon.score("the trash collector is red") < 0.5 < lexicon.score("you red trash and blue")
+
+
+def test_phrases_around_hits_against_plain_splitting():
+    lexicon = tx.Lexicon({"iose": 1.0, "ass ": 2.0, " ".join(tx.folded_words("混蛋")) + " ": 4.0}, ("smart ass",))
+    around = lambda text: {p for p in lexicon.around(tx.folded_words(text))}
+    fold = lambda text: " ".join(tx.folded_words(text))
+    assert around("a loser goes") == {fold("a loser"), fold("loser goes")}
+    assert around("a loser losers goes") == {fold("a loser"), fold("losers goes")}
+    assert around("smart ass goes") == around("") == around("assume") == set()
+    assert around("ass") == set() and around("x ass") == {fold("x ass")}
+    assert around("他混蛋吗") == {fold("他混蛋"), fold("混蛋吗")}
+
+
 def test_measure_against_plain_matching():
     lexicon = tx.Lexicon({t: w for t, w in zip(["iose", "stupid", "trash", "mor"], [1.0, 2.0, 4.0, 8.0])}, ("trash can", "stupid question"))
     rng = np.random.default_rng(4)
