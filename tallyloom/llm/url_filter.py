@@ -21,6 +21,8 @@ THRESHOLD, Z = 0.5, 1.64
 #: Bounds of a fitted prior strength, in pages.
 WEAKEST, STRONGEST = 2.0, 1000.0
 LEVELS = ("suffix", "domain", "host")
+#: Suffixes of two labels under which names are registered. Give a fuller list as a parameter.
+SUFFIXES = ("ac.uk", "co.in", "co.jp", "co.kr", "co.nz", "co.uk", "co.za", "com.ar", "com.au", "com.br", "com.cn", "com.mx", "com.tr", "gov.uk", "net.au", "or.jp", "org.au", "org.uk")
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -44,12 +46,16 @@ def registered(host: Column, labels: int) -> Column:
     return F.substring_index(host, ".", -labels)
 
 
-def reputation(outcomes: DataFrame) -> DataFrame:
+def reputation(outcomes: DataFrame, suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
     """(host, bad, n, mean, sd) for every host of `outcomes` (host, bad, n); n may be 0.
 
-    Hosts without labelled pages get the prior of their domain, and so on up to all pages.
+    Hosts without labelled pages get the prior of their domain, and so on up to all pages. A suffix is the last
+    label of a host or one of `suffixes`, its domain has one label more.
     """
-    names = outcomes.withColumn("domain", registered(F.col("host"), 2)).withColumn("suffix", registered(F.col("host"), 1))
+    two = registered(F.col("host"), 2)
+    paired = two.isin(list(suffixes))
+    names = outcomes.withColumn("domain", F.when(paired, registered(F.col("host"), 3)).otherwise(two))
+    names = names.withColumn("suffix", F.when(paired, two).otherwise(registered(F.col("host"), 1)))
     total = outcomes.agg(F.coalesce(F.sum("bad"), F.lit(0)).alias("b"), F.coalesce(F.sum("n"), F.lit(0)).alias("k"))
     above = total.select(((F.col("b") + 1) / (F.col("k") + 2)).alias("prior"), F.lit(1).alias("one"))
     keys: list[str] = []
@@ -76,7 +82,7 @@ def reputation(outcomes: DataFrame) -> DataFrame:
     return own.select("host", "bad", "n", "mean", sd.alias("sd"))
 
 
-def judge(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD, z: float = Z) -> DataFrame:
+def judge(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD, z: float = Z, suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
     """page_id, host, path, rule, verdict, share (posterior mean, null under a rule), bound (its lower bound).
 
     Labelled outcomes are the pages that a rule decides. One row per input row; repeated rows count each.
@@ -89,7 +95,7 @@ def judge(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD, z: float
     x = x.withColumn("rule", name).withColumn("ruled", verdict)
     outcomes = x.groupBy("host").agg(F.sum(F.when(F.col("ruled") == "block", 1).otherwise(0)).alias("bad"),
                                      F.count("ruled").alias("n"))
-    known = reputation(outcomes).select("host", F.col("mean").alias("share"), F.greatest(F.lit(0.0), F.col("mean") - z * F.col("sd")).alias("bound"))
+    known = reputation(outcomes, suffixes).select("host", F.col("mean").alias("share"), F.greatest(F.lit(0.0), F.col("mean") - z * F.col("sd")).alias("bound"))
     out = x.join(known, "host")
     free = F.col("ruled").isNull()
     own = F.when(F.col("bound") > threshold, "block").otherwise("allow")
@@ -119,7 +125,8 @@ WITH parts AS (
                  WHEN ends_with('.' || host, '.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
                  WHEN ends_with('.' || host, '.net') AND starts_with(path, '/') THEN 'net/' END AS rule FROM parts),
   judged AS (SELECT *, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' END AS said FROM ruled),
-  names AS (SELECT host, string_split(host, '.')[-1] AS suffix, array_to_string(string_split(host, '.')[-2:], '.') AS domain,
+  names AS (SELECT host, CASE WHEN array_to_string(string_split(host, '.')[-2:], '.') IN ({", ".join(map(repr, SUFFIXES))}) THEN array_to_string(string_split(host, '.')[-2:], '.') ELSE string_split(host, '.')[-1] END AS suffix,
+                   CASE WHEN array_to_string(string_split(host, '.')[-2:], '.') IN ({", ".join(map(repr, SUFFIXES))}) THEN array_to_string(string_split(host, '.')[-3:], '.') ELSE array_to_string(string_split(host, '.')[-2:], '.') END AS domain,
                    (count(*) FILTER (said = 'block'))::DOUBLE AS bad, count(said)::DOUBLE AS n FROM judged GROUP BY host),
   {", ".join(_level_sql(i) for i in range(len(LEVELS)))}
 SELECT page_id, host, path, rule, coalesce(said, CASE WHEN mean - {Z} * sqrt(mean * (1 - mean) / (strength + n + 1)) > {THRESHOLD} THEN 'block' ELSE 'allow' END) AS verdict

@@ -55,3 +55,20 @@ def test_shrinkage(spark):
     assert got["c.y.com"].mean < got["b.y.com"].mean
     assert got["c.x.com"].sd > got["a.x.com"].sd
     assert 0 <= got[""].mean <= 1
+
+
+def test_suffixes_of_two_labels(spark):
+    rows = [("a.x.co.uk", 90, 100), ("c.x.co.uk", 0, 0), ("a.y.co.uk", 0, 200), ("c.y.co.uk", 0, 0), ("co.uk", 0, 0), ("x.uk", 0, 3)]
+    outcomes = spark.createDataFrame(rows, "host string, bad long, n long")
+    got = {r.host: r.mean for r in url_filter.reputation(outcomes).collect()}
+    assert len(got) == len(rows) and got["c.x.co.uk"] > got["c.y.co.uk"]
+    strangers = {r.host: r.mean for r in url_filter.reputation(outcomes, suffixes=()).collect()}
+    assert strangers["c.x.co.uk"] == strangers["c.y.co.uk"]
+
+
+def test_names_of_own_columns_and_long_urls(spark):
+    rows = [(i, u, "p", "p", "p", "p") for i, u in enumerate(["http://a.net/" + "x" * 200_000, "http://" + "a." * 50_000 + "org/fr/", "http://b.co.uk/?" + "y" * 200_000, None])]
+    df = spark.createDataFrame(rows, "page_id long, url string, ruled string, domain string, suffix string, host string")
+    got = {r.page_id: r for r in url_filter.judge(df).collect()}
+    assert [got[i].rule for i in range(4)] == ["net/", "org/fr/", None, None]
+    assert len(got[0].path) == 200_001 and got[2].host == "b.co.uk" and got[3].host == got[3].path == ""
