@@ -9,6 +9,7 @@ from __future__ import annotations
 import csv
 import io
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
@@ -23,6 +24,7 @@ from tallyloom.operators import statements as st
 from tallyloom.settings import DEFAULTS, Settings
 
 DELIMITERS = {"comma": ",", "semicolon": ";", "tab": "\t"}
+BATCH_BYTES = 4 << 20
 ROWS = "source_file string, layout string, row_no bigint, cells array<string>, year_hint int"
 
 
@@ -368,10 +370,23 @@ CSV = Reader("csv", (".csv",), csv_file_rows, _csv_claims, lambda rows, files: s
 READERS: list[Reader] = [HTML, CSV]
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Whole files reach a Python task in batches of a few megabytes, so its memory does not grow with the files of a split."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(BATCH_BYTES))
+    try:  # a write keeps the setting it started with
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _parse_with(reader: Reader, files: DataFrame, cfg: Settings) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(transactions, claimed files, files that failed with their error) of one reader; its table rows are written once."""
     scratch = Scratch(files.sparkSession, reader.name)
-    read = scratch.write(reader.rows(files), "rows")
+    with _small_batches(files.sparkSession):
+        read = scratch.write(reader.rows(files), "rows")
     rows, failed = read.where("row_no >= 0"), read.where("row_no < 0")
     errors = failed.select("source_file", F.get("cells", F.lit(0)).alias("error"))
     return _finish(reader.body(rows, files), scratch, cfg), reader.claims(rows), errors

@@ -109,3 +109,22 @@ def test_replies_with_braces_in_prose(spark):
     got = {r.source_file: (r.total, r.error) for r in expenses.read_replies(df).collect()}
     assert [None if got[str(i)][0] is None else int(got[str(i)][0]) for i in range(6)] == [5, None, None, 7, None, None]
     assert [got[str(i)][1] is not None for i in range(6)] == [False, True, True, False, True, False]
+
+
+def test_whole_files_come_in_small_batches(spark):
+    """A reader's Python task holds a few megabytes of files at a time, however many its split has."""
+    from pyspark.sql import functions as F
+
+    from tallyloom.operators import statements as st
+    from tallyloom.settings import DEFAULTS
+    from tallyloom.sources import statements as source
+
+    def weigh(batches):
+        for pdf in batches:
+            yield pdf.assign(layout="csv", row_no=pdf["content"].str.len().sum(), cells=[["x"]] * len(pdf), year_hint=2024).drop(columns="content")
+
+    files = spark.range(0, 200, 1, 1).select(F.col("id").cast("string").alias("source_file"), F.repeat(F.lit("x"), 100_000).alias("content"))
+    reader = source.Reader("big", (".big",), lambda f: f.mapInPandas(weigh, source.ROWS), lambda rows: rows, lambda rows, _: st.with_header(rows))
+    _, rows, _ = source._parse_with(reader, files, DEFAULTS)
+    assert rows.count() == 200
+    assert rows.agg(F.max("row_no")).first()[0] <= 2 * source.BATCH_BYTES
