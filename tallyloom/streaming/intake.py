@@ -241,43 +241,48 @@ def settled(prints: DataFrame, lateness: str, cfg: Settings = DEFAULTS) -> DataF
 
 
 class _Changes(StatefulProcessor):
-    """Per folder and name: size, time stamp and hash at the last sighting."""
+    """Per bucket of names: size, time stamp and hash of each name at its last sighting."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "size bigint, mtime bigint, sha256 string")
+        self.last = handle.getMapState("last", "folder string, name string", "size bigint, mtime bigint, sha256 string")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        seen = sorted(
-            row for pdf in rows for row in zip(pdf["seq"].tolist(), pdf["size"].tolist(), pdf["mtime"].tolist(), pdf["sha256"].tolist())
-        )
-        held = tuple(self.last.get()) if self.last.exists() else None
+        sightings: dict[tuple, list[tuple]] = {}
+        for pdf in rows:
+            for folder, name, *seen in zip(*[pdf[c].tolist() for c in ("folder", "name", "seq", "size", "mtime", "sha256")]):
+                sightings.setdefault((folder, name), []).append(tuple(seen))
         out = []
-        for seq, *now in seen:
-            if held is None:
-                outcome = "new"
-            elif held[:2] == tuple(now[:2]):
-                outcome = "same"
-            else:
-                outcome = "touched" if held[2] == now[2] else "changed"
-            held = tuple(now)
-            out.append((*key, seq, outcome))
-        if held is not None:
-            self.last.update(held)
+        for file, seen in sightings.items():
+            known = self.last.getValue(file)
+            held = known = None if known is None else tuple(known)
+            for seq, *now in sorted(seen):
+                if held is None:
+                    outcome = "new"
+                elif held[:2] == tuple(now[:2]):
+                    outcome = "same"
+                else:
+                    outcome = "touched" if held[2] == now[2] else "changed"
+                held = tuple(now)
+                out.append((*file, seq, outcome))
+            if held != known:
+                self.last.updateValue(file, held)
         yield pd.DataFrame(out, columns=["folder", "name", "seq", "outcome"])
 
     def close(self) -> None:
         pass
 
 
-def changed_content(seen: DataFrame) -> DataFrame:
+def changed_content(seen: DataFrame, buckets: int = 1_024) -> DataFrame:
     """(folder, name, seq, outcome) for a stream of sightings (folder, name, seq, size, mtime, sha256).
 
-    Outcomes are those of operators.intake.changed_content(). State is one row per name, whatever the number of
-    sightings; sightings of a name must not arrive in an earlier batch than older ones. A batch orders the
-    sightings of one name in memory, so a backlog is read in batches of bounded size. Needs the RocksDB state store.
+    Outcomes are those of operators.intake.changed_content(). State is one entry per name, whatever the number of
+    sightings; sightings of a name must not arrive in an earlier batch than older ones. Names share a Python call by
+    bucket, as a call for each name costs more than its rows. A batch orders the sightings of one bucket in memory, so a
+    backlog is read in batches of bounded size. A checkpoint belongs to its number of buckets. Needs the RocksDB state store.
     """
     rows = seen.select("folder", "name", F.col("seq").cast("bigint").alias("seq"), F.col("size").cast("bigint").alias("size"), F.col("mtime").cast("bigint").alias("mtime"), "sha256")
-    return rows.groupBy("folder", "name").transformWithStateInPandas(
+    bucket = F.pmod(F.xxhash64("folder", "name"), F.lit(buckets)).cast("int")
+    return rows.withColumn("bucket", bucket).groupBy("bucket").transformWithStateInPandas(
         _Changes(), "folder string, name string, seq bigint, outcome string", "append", "none"
     )
 
