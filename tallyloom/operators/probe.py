@@ -6,6 +6,9 @@ into chunks and slices that meet by a cogroup, and a name is held against a whol
 suppliers that share the same words with it are scored together, one numpy step per letter of what is
 left of them. Names beyond one machine word get a bound and are scored one by one while it matters.
 
+Only a score of 100 tells that all words of one name stand in the other; such pairs are found by an equi-join on
+the rarest word of the contained name, so the work follows the pairs that share it.
+
 Similar suppliers. A high score leaves traces: names that reach it share many letter pairs, or the
 words of one make up most of the other. So each name is filed under its rarest letter pairs only, as many as
 the score asks for, and meets the names that hold one of them by an equi-join.
@@ -148,9 +151,12 @@ def _met(names: DataFrame, key: str, dim: DataFrame, slice_rows: int, run, schem
     Chunks hold about `slice_rows` names too, or fewer where that leaves cores idle.
     """
     spark = dim.sparkSession
+    wanted = names.count()
+    if not wanted:  # the dimension need not travel
+        return spark.createDataFrame([], schema), 1
     slices = max(1, math.ceil(dim.count() / slice_rows))
     cores = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    chunks = max(math.ceil(2 * cores / slices), math.ceil(names.count() / slice_rows))
+    chunks = max(math.ceil(2 * cores / slices), math.ceil(wanted / slice_rows))
 
     def dealt(df: DataFrame, by: str, own: str, parts: int, other: str, others: int) -> DataFrame:
         numbered = df.withColumn(own, F.pmod(F.xxhash64(by), F.lit(parts)).cast("int"))
@@ -195,6 +201,43 @@ def top_candidates(names: DataFrame, dim: DataFrame, k: int, slice_rows: int) ->
     return out
 
 
+def contained_names(inner: DataFrame, outer: DataFrame) -> DataFrame:
+    """(inner, outer): all words of the one name stand among those of the other. Both frames hold id and norm.
+
+    An inner name is filed under the one of its words that the fewest outer names hold.
+    """
+
+    def worded(df: DataFrame, own: str) -> DataFrame:
+        words = F.array_distinct(F.filter(F.split("norm", " "), lambda w: w != ""))
+        return df.select(F.col("id").alias(own), words.alias(f"{own}_words")).withColumn("word", F.explode(f"{own}_words"))
+
+    inside, outside = worded(inner, "inner"), worded(outer, "outer")
+    held = outside.groupBy("word").agg(F.count(F.lit(1)).alias("held"))
+    # A word of many outer names is split: each part of them meets all inner names filed there.
+    parts = F.ceil(F.col("held") / PAIR_ROWS)
+    rarest = F.min_by(F.struct("word", "held"), F.struct("held", "word"))
+    known = inside.join(held, "word", "left").withColumn("held", F.coalesce("held", F.lit(0)))
+    filed = known.groupBy("inner").agg(F.first("inner_words").alias("inner_words"), rarest.alias("at")).select("inner", "inner_words", "at.*")
+    filed = filed.where("held > 0").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("held")
+    dealt = outside.join(held, "word").withColumn("part", F.pmod(F.xxhash64("outer"), parts)).drop("held")
+    met = filed.join(dealt, ["word", "part"])
+    return met.where(F.size(F.array_except("inner_words", "outer_words")) == 0).select("inner", "outer")
+
+
+def whole_candidates(names: DataFrame, dim: DataFrame, k: int) -> DataFrame:
+    """The rows of top_candidates() whose token-set ratio is 100: all words of one name stand in the other."""
+    mine, theirs = names.select(F.col("norm").alias("id"), "norm"), dim.select(F.col("pos").alias("id"), "norm")
+    in_name = contained_names(theirs, mine).select(F.col("outer").alias("norm"), F.col("inner").alias("pos"))
+    in_dim = contained_names(mine, theirs).select(F.col("inner").alias("norm"), F.col("outer").alias("pos"))
+    order = Window.partitionBy("norm").orderBy("pos")
+    found = in_name.unionByName(in_dim).distinct().withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
+    other = F.col("other")
+    plain = F.when(F.size(F.filter(F.split(other, " "), lambda w: w != "")) == 1, scorer("indel")(F.col("norm"), other))
+    return found.join(dim.select("pos", F.col("norm").alias("other")), "pos").select(
+        "norm", "pos", "place", F.lit(100.0).alias("token_set"), plain.alias("plain")
+    )
+
+
 def letter_pairs(dim: DataFrame) -> DataFrame:
     """(pos, size, gram, nth): neighbouring letters of each distinct word, a blank before and behind it; repeats are
     numbered. size is the length of the distinct words, joined."""

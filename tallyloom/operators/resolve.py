@@ -69,7 +69,15 @@ def exact_tier(norms: DataFrame, index: DataFrame) -> DataFrame:
 
 def fuzzy_candidates(norms: DataFrame, index: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     """Ten best suppliers per name by token-set ratio, with the guard score for one-word suppliers."""
-    found = probe.top_candidates(norms, index, TOP_K, cfg.dimension_slice_rows)
+    return _named(probe.top_candidates(norms, index, TOP_K, cfg.dimension_slice_rows), index)
+
+
+def whole_candidates(norms: DataFrame, index: DataFrame) -> DataFrame:
+    """Those of fuzzy_candidates() that score 100, without holding names against the whole dimension."""
+    return _named(probe.whole_candidates(norms, index, TOP_K), index)
+
+
+def _named(found: DataFrame, index: DataFrame) -> DataFrame:
     dim = index.select("pos", F.col("supplier").alias("canonical"), F.col("norm").alias("canon_norm"))
     return found.join(dim, "pos")
 
@@ -178,13 +186,18 @@ def resolve_norms(
     rest = norms.join(by_alias, "norm", "left_anti")
     by_exact = exact_tier(rest, index)
     rest = scratch.write(rest.join(by_exact, "norm", "left_anti"), "rest")
-    ranked = rank_candidates(
-        guard_single_word(fuzzy_candidates(rest, index, cfg)),
-        compact_hits(rest, index, aliases),
-        containment_hits(rest, index),
-        index,
-    )
-    ranked = scratch.write(ranked, "ranked")
+
+    def rank(names: DataFrame, found: DataFrame) -> DataFrame:
+        return rank_candidates(
+            guard_single_word(found), compact_hits(names, index, aliases), containment_hits(names, index), index
+        )
+
+    # No candidate scores more than 100, and each that scores it is among the whole ones: where one of them comes
+    # first with 100 it is the best of all. The names left are held against the whole dimension.
+    whole = rank(rest, whole_candidates(rest, index)).where(F.lit(cfg.auto_match_score <= 100.0) & (F.col("rank") == 1) & (F.col("score") == 100.0))
+    whole = scratch.write(whole, "whole")
+    left = scratch.write(rest.join(whole, "norm", "left_anti"), "left")
+    ranked = scratch.write(rank(left, fuzzy_candidates(left, index, cfg)), "ranked").unionByName(whole)
     routed = route(ranked, rest, cfg)
     review = review_table(ranked, routed)
 

@@ -196,3 +196,37 @@ def test_ten_best_equal_plain_scores(spark):
     for name in names:
         want = sorted((-token_set_ratio(name, d), i) for i, d in enumerate(dim))[:10]
         assert held.best(name, 10) == [(i, -s) for s, i in want], name
+
+
+def test_whole_candidates_are_the_ten_best_at_100(spark, monkeypatch):
+    from tallyloom.operators import probe
+
+    monkeypatch.setattr(probe, "PAIR_ROWS", 5)  # hot words are split
+    rnd = random.Random(6)
+    dim, names = random_names(rnd, 200) + ["", "mill mill"], random_names(rnd, 80) + ["", "unknown word", "star star mill"]
+    frame = spark.createDataFrame([(n,) for n in sorted(set(names))], "norm string")
+    found = probe.whole_candidates(frame, spark.createDataFrame(list(enumerate(dim)), "pos long, norm string"), 10).collect()
+    got = {}
+    for r in sorted(found, key=lambda r: (r.norm, r.place)):
+        got.setdefault(r.norm, []).append((r.pos, r.token_set, r.plain))
+    want = {}
+    for name in names:
+        whole = [i for i, d in enumerate(dim) if token_set_ratio(name, d) == 100.0][:10]
+        if whole:
+            want[name] = [(i, 100.0, ratio(name, dim[i]) if len(dim[i].split()) == 1 else None) for i in whole]
+    assert got == want and max(map(len, want.values())) == 10
+
+
+def test_names_that_hold_a_supplier_do_not_meet_the_whole_dimension(spark, monkeypatch):
+    from tallyloom.operators import probe
+
+    met, plain = [], probe.top_candidates
+
+    def watched(names, *rest):
+        met.extend(r.norm for r in names.collect())
+        return plain(names, *rest)
+
+    monkeypatch.setattr(probe, "top_candidates", watched)
+    out = resolve.resolve(names_frame(spark, ["SQ *LOOM FABRICS NY", "Lom Fabrics", "GOOD MILL CAFE"]), book(spark))
+    assert [r.canonical for r in out.matches.orderBy("seq").collect()] == ["Loom Fabrics", "Loom Fabrics", None]
+    assert sorted(met) == ["good mill cafe", "lom fabrics"]
