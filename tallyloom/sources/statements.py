@@ -8,12 +8,15 @@ from __future__ import annotations
 
 import csv
 import io
+import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -144,8 +147,16 @@ def csv_file_rows(files: DataFrame, default_year: int | None = None) -> DataFram
     return plain.unionByName(whole)
 
 
+#: Most tags of a table carry nothing but their name.
+_PLAIN_START = re.compile("<(table|thead|tbody|tfoot|tr|td|th)>")
+_PLAIN_END = re.compile("</(table|thead|tbody|tfoot|tr|td|th)>")
+
+
 class _Tables(HTMLParser):
-    """Rows of the tables of one page: (table, row, all cells are <th>, inside <thead>, cells)."""
+    """Rows of the tables of one page: (table, row, all cells are <th>, inside <thead>, cells).
+
+    Tags of a table without attributes are told by one pattern; all others take the parser's own way.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -153,7 +164,24 @@ class _Tables(HTMLParser):
         self.open: list[dict] = []
         self.tables = 0
         self.skip = 0
-        self.text: list[str] = []
+
+    def updatepos(self, i, j):
+        return j  # nobody asks for line numbers
+
+    def parse_starttag(self, i):
+        plain = _PLAIN_START.match(self.rawdata, i) if self.cdata_elem is None else None
+        if plain is None:
+            return super().parse_starttag(i)
+        self.lasttag = plain[1]
+        self.handle_starttag(plain[1], [])
+        return plain.end()
+
+    def parse_endtag(self, i):
+        plain = _PLAIN_END.match(self.rawdata, i) if self.cdata_elem is None else None
+        if plain is None:
+            return super().parse_endtag(i)
+        self.handle_endtag(plain[1])
+        return plain.end()
 
     def handle_starttag(self, tag, attrs):
         if tag in ("script", "style"):
@@ -197,7 +225,6 @@ class _Tables(HTMLParser):
     def handle_data(self, data):
         if self.skip:
             return
-        self.text.append(data)
         piece = data.strip()
         if piece:
             for table in self.open:
@@ -214,30 +241,53 @@ class _Tables(HTMLParser):
         table["row"] = None
 
 
-CELLS = "source_file string, table_no int, row_no bigint, all_th boolean, in_head boolean, cells array<string>"
-
-
-def _tokenize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    names = ["table_no", "row_no", "all_th", "in_head", "cells"]
-    for pdf in batches:
-        for name, content in zip(pdf["source_file"], pdf["content"]):
-            page = _Tables()
-            try:
-                page.feed(content or "")
-                page.close()
-                for table in page.open:
-                    page._end_row(table)
-                found = [r for r in page.rows if r[4]]
-            except Exception as e:  # one bad file is told, the others go on
-                found = [[-1, -1, False, False, [f"{type(e).__name__}: {e}"]]]
-            rows = pd.DataFrame(found, columns=names)
-            rows.insert(0, "source_file", name)
-            yield rows
+CELLS = (
+    "source_file string, table_no int, row_no bigint, all_th boolean, in_head boolean, cells array<string>, "
+    "td_rows int, period struct<start: date, end: date>"
+)
+_CELL_TYPES = [pa.string(), pa.int32(), pa.int64(), pa.bool_(), pa.bool_(), pa.list_(pa.string()), pa.int32()]
+_CELL_NAMES = ["source_file", "table_no", "row_no", "all_th", "in_head", "cells", "td_rows", "period"]
+
+
+def _page_rows(content: str | None) -> list[list]:
+    """Table rows of a page; the header row of each table carries the number of its rows that are not all <th>."""
+    page = _Tables()
+    try:
+        page.feed(content or "")
+        page.close()
+        for table in page.open:
+            page._end_row(table)
+    except Exception as e:  # one bad file is told, the others go on
+        return [[-1, -1, False, False, [f"{type(e).__name__}: {e}"], None]]
+    found = [r for r in page.rows if r[4]]
+    # Header of a table: the row in <thead>, else a row of <th>, else the first row.
+    heads: dict[int, tuple[int, int]] = {}
+    bodies = Counter(r[0] for r in found if not r[2])
+    for i, (table, _, all_th, in_head, _) in enumerate(found):
+        rank = 0 if in_head else 1 if all_th else 2
+        if table not in heads or rank < heads[table][0]:
+            heads[table] = rank, i
+    headers = {i for _, i in heads.values()}
+    return [[*r, bodies[r[0]] if i in headers else None] for i, r in enumerate(found)]
+
+
+def _tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i, (name, content) in enumerate(zip(batch["source_file"].to_pylist(), batch["content"])):
+            rows = _page_rows(content.as_py())
+            if rows:
+                columns = [pa.array(c, kind) for c, kind in zip([[name] * len(rows), *zip(*rows)], _CELL_TYPES)]
+                period = batch["period"].take(pa.array([i] * len(rows)))
+                yield pa.RecordBatch.from_arrays([*columns, period], _CELL_NAMES)
 
 
 def html_cells(files: DataFrame) -> DataFrame:
-    """All table rows of HTML files, file by file: (source_file, table_no, row_no, all_th, in_head, cells)."""
-    return files.select("source_file", "content").mapInPandas(_tokenize, CELLS)
+    """All table rows of HTML files, file by file: (source_file, table_no, row_no, all_th, in_head, cells, td_rows, period).
+
+    td_rows stands on the header row of a table only: how many of its rows are not all <th>. period is the page's.
+    """
+    period = dates.statement_period(page_text(F.col("content"))).alias("period")
+    return files.select("source_file", "content", period).mapInArrow(_tokenize, CELLS)
 
 
 def page_text(content):
@@ -248,21 +298,14 @@ def page_text(content):
 
 def statement_tables(cells: DataFrame) -> DataFrame:
     """(source_file, table_no, head, body) of the tables whose header reads like a statement."""
-    # Header of a table: the row in <thead>, else a row of <th>, else the first row.
-    rank = F.when(F.col("in_head"), 0).when(F.col("all_th"), 1).otherwise(2)
-    return (
-        cells.groupBy("source_file", "table_no")
-        .agg(
-            F.min_by(F.struct("row_no", "cells"), F.struct(rank, "row_no")).alias("head"),
-            F.count_if(~F.col("all_th")).alias("td_rows"),
-            F.min_by("all_th", F.struct(rank, "row_no")).alias("head_th"),
-        )
-        .where(st.is_header(F.col("head.cells")))
-        .withColumn("body", F.col("td_rows") - F.when(F.col("head_th"), 0).otherwise(1))
+    heads = cells.where(F.col("td_rows").isNotNull() & st.is_header(F.col("cells")))
+    return heads.select(
+        "source_file", "table_no", F.struct("row_no", "cells").alias("head"),
+        (F.col("td_rows") - F.when(F.col("all_th"), 0).otherwise(1)).alias("body"),
     )
 
 
-def html_body(cells: DataFrame, files: DataFrame) -> DataFrame:
+def html_body(cells: DataFrame) -> DataFrame:
     """Body rows of the best statement table of each HTML file, with its column map.
 
     The best table has a header that reads like a statement and the most body rows.
@@ -277,9 +320,8 @@ def html_body(cells: DataFrame, files: DataFrame) -> DataFrame:
         F.col("best.head.row_no").alias("head_no"),
         st.header_columns(F.col("best.head.cells")).alias("cols"),
     ).where("cols.date is not null and cols.description is not null")
-    periods = files.select("source_file", dates.statement_period(page_text(F.col("content"))).alias("period"))
     body = cells.join(chosen, ["source_file", "table_no"]).where("row_no <> head_no and not all_th")
-    return body.join(periods, "source_file").select(
+    return body.select(
         "source_file",
         F.lit("html").alias("layout"),
         "row_no",
@@ -364,7 +406,8 @@ def _csv_claims(rows: DataFrame) -> DataFrame:
 
 
 HTML = Reader(
-    "html", (".html", ".htm"), html_cells, lambda cells: statement_tables(cells).select("source_file").distinct(), html_body
+    "html", (".html", ".htm"), html_cells, lambda cells: statement_tables(cells).select("source_file").distinct(),
+    lambda cells, files: html_body(cells),
 )
 CSV = Reader("csv", (".csv",), csv_file_rows, _csv_claims, lambda rows, files: st.with_header(rows), True)
 READERS: list[Reader] = [HTML, CSV]

@@ -128,3 +128,35 @@ def test_whole_files_come_in_small_batches(spark):
     _, rows, _ = source._parse_with(reader, files, DEFAULTS)
     assert rows.count() == 200
     assert rows.agg(F.max("row_no")).first()[0] <= 2 * source.BATCH_BYTES
+
+
+def test_plain_table_tags_are_read_as_the_parser_does(monkeypatch):
+    import random
+    import re
+
+    rnd = random.Random(5)
+    pieces = ["<table>", "</table>", "<tr>", "</tr>", "<td>", "</td>", "<th>", "</th>", "<thead>", "</thead>", "<tbody>", "<TD>", "<td class=a>", "</td >",
+              "<script>", "</script>", "<style>", "</style>", "<td/>", "<tr", "<", "a &amp; b", "x", " ", "\n", "<b>y</b>", "<!-- <td> -->", "</tr"]
+    pages = ["<table><tr>" + "".join(rnd.choice(pieces) for _ in range(rnd.randrange(5, 60))) for _ in range(400)]
+    got = [source._page_rows(p) for p in pages]
+    never = re.compile("(?!)")
+    monkeypatch.setattr(source, "_PLAIN_START", never)
+    monkeypatch.setattr(source, "_PLAIN_END", never)
+    assert got == [source._page_rows(p) for p in pages] and sum(map(len, got)) > 200
+
+
+def test_a_page_is_read_once(spark):
+    """Neither the header of a table nor the period of a page needs the page a second time."""
+    from pyspark.sql import functions as F
+
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(body):
+        read.add(1)
+        return body
+
+    files = spark.createDataFrame([(f"p{i}.html", PAGE) for i in range(4)], "source_file string, content string")
+    txns = source.parse_html(files.withColumn("content", counted.asNondeterministic()("content"))).collect()
+    assert len(txns) == 8 and read.value == 4
+    assert {(r.statement_start, r.statement_end) for r in txns} == {(dt.date(2023, 12, 20), dt.date(2024, 1, 19))}
