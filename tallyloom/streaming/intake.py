@@ -241,20 +241,27 @@ def settled(prints: DataFrame, lateness: str, cfg: Settings = DEFAULTS) -> DataF
 
 
 class _Changes(StatefulProcessor):
-    """Per bucket of names: size, time stamp and hash of each name at its last sighting."""
+    """Per bucket of names: size, time stamp and hash of each name at its last sighting.
+
+    Sightings are appended to one list and the last of a name counts, so a bucket costs one call to read and one to
+    write, whatever its names. A list of over twice as many entries as names is written anew.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getMapState("last", "folder string, name string", "size bigint, mtime bigint, sha256 string")
+        self.last = handle.getListState("last", "folder string, name string, size bigint, mtime bigint, sha256 string")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         sightings: dict[tuple, list[tuple]] = {}
         for pdf in rows:
             for folder, name, *seen in zip(*[pdf[c].tolist() for c in ("folder", "name", "seq", "size", "mtime", "sha256")]):
                 sightings.setdefault((folder, name), []).append(tuple(seen))
-        out = []
+        out, fresh, entries = [], [], 0
+        last: dict[tuple, tuple] = {}
+        for folder, name, *held in self.last.get() if self.last.exists() else ():
+            last[folder, name] = tuple(held)
+            entries += 1
         for file, seen in sightings.items():
-            known = self.last.getValue(file)
-            held = known = None if known is None else tuple(known)
+            held = known = last.get(file)
             for seq, *now in sorted(seen):
                 if held is None:
                     outcome = "new"
@@ -265,7 +272,12 @@ class _Changes(StatefulProcessor):
                 held = tuple(now)
                 out.append((*file, seq, outcome))
             if held != known:
-                self.last.updateValue(file, held)
+                last[file] = held
+                fresh.append((*file, *held))
+        if entries + len(fresh) > 2 * len(last):
+            self.last.put([(*file, *held) for file, held in last.items()])
+        elif fresh:
+            self.last.appendList(fresh)
         yield pd.DataFrame(out, columns=["folder", "name", "seq", "outcome"])
 
     def close(self) -> None:
@@ -275,10 +287,11 @@ class _Changes(StatefulProcessor):
 def changed_content(seen: DataFrame, buckets: int = 1_024) -> DataFrame:
     """(folder, name, seq, outcome) for a stream of sightings (folder, name, seq, size, mtime, sha256).
 
-    Outcomes are those of operators.intake.changed_content(). State is one entry per name, whatever the number of
+    Outcomes are those of operators.intake.changed_content(). State is at most two entries per name, whatever the number of
     sightings; sightings of a name must not arrive in an earlier batch than older ones. Names share a Python call by
     bucket, as a call for each name costs more than its rows. A batch orders the sightings of one bucket in memory, so a
-    backlog is read in batches of bounded size. A checkpoint belongs to its number of buckets. Needs the RocksDB state store.
+    backlog is read in batches of bounded size. A checkpoint belongs to its number of buckets, and a batch
+    reads the state of every bucket it has sightings for. Needs the RocksDB state store.
     """
     rows = seen.select("folder", "name", F.col("seq").cast("bigint").alias("seq"), F.col("size").cast("bigint").alias("size"), F.col("mtime").cast("bigint").alias("mtime"), "sha256")
     bucket = F.pmod(F.xxhash64("folder", "name"), F.lit(buckets)).cast("int")

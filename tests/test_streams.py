@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import pandas as pd
 
 from tallyloom.operators import intake
 from tallyloom.operators.state import Store
@@ -184,3 +185,46 @@ def test_changes_on_a_stream_equal_the_batch(spark, tmp_path):
         out = streams.changed_content(spark.readStream.schema(schema).parquet(path))
         streams.sweep_then_follow(out, lambda batch, _: got.extend((r.seq, r.outcome) for r in batch.collect()), str(tmp_path / "check")).awaitTermination()
     assert set(got) == want and len(got) == 120
+
+
+class _OneList:
+    """A list state kept in memory that counts its calls."""
+
+    def __init__(self):
+        self.rows, self.calls = [], 0
+
+    def getListState(self, name, schema):
+        return self
+
+    def exists(self):
+        self.calls += 1
+        return bool(self.rows)
+
+    def get(self):
+        self.calls += 1
+        return iter(self.rows)
+
+    def put(self, rows):
+        self.calls, self.rows = self.calls + 1, list(rows)
+
+    def appendList(self, rows):
+        self.calls, self.rows = self.calls + 1, self.rows + rows
+
+
+def test_a_bucket_of_many_names_costs_few_state_calls():
+    rnd = random.Random(8)
+    held, last = _OneList(), {}
+    for batch in range(6):
+        processor = streams._Changes()
+        processor.init(held)
+        rows = [("f", f"n{rnd.randrange(200)}", 1000 * batch + i, rnd.randrange(2), 0, rnd.choice("xy")) for i in range(300)]
+        want = set()
+        for _, name, seq, *now in rows:
+            was = last.get(name)
+            want.add((seq, "new" if was is None else "same" if was[:2] == now[:2] else "touched" if was[2] == now[2] else "changed"))
+            last[name] = now
+        held.calls = 0
+        frame = pd.DataFrame(rows, columns=["folder", "name", "seq", "size", "mtime", "sha256"]).sample(frac=1, random_state=batch)
+        got = pd.concat(processor.handleInputRows((0,), iter([frame]), None))
+        assert set(zip(got["seq"], got["outcome"])) == want and held.calls <= 3
+        assert len(held.rows) <= 2 * len(last)
