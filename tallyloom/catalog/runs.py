@@ -8,7 +8,7 @@ from tallyloom import schemas
 from tallyloom.catalog.base import query, sql_fold, sql_partial
 from tallyloom.catalog.matching import mutual_best
 from tallyloom.catalog.readers import _csv_files
-from tallyloom.durable import Scratch
+from tallyloom.durable import Scratch, measured_joins
 from tallyloom.operators import state
 from tallyloom.plans import run as plan
 from tallyloom.plans import seed as seed_plan
@@ -58,7 +58,8 @@ def _(t):
     store.publish("seed")
     categories = t.customer.select(F.col("c_mktsegment").alias("category")).distinct().withColumn("tax_line", F.lit(""))
     replies = t.v_replies.select("source_file", "response")
-    scratch.write(_files(t), "files")
+    with measured_joins(t.spark):
+        scratch.write(_files(t), "files")
 
     def run(batch, run_id, number):
         saved = plan.read_saved(store, categories)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
 
-from tallyloom.durable import dropped_after
+from tallyloom.durable import dropped_after, measured_joins
 from tallyloom.operators import intake, ordered, state
 from tallyloom.settings import DEFAULTS, Settings
 
@@ -311,15 +311,16 @@ def sweep_then_follow(
     return (writer if follow else writer.trigger(availableNow=True)).start()
 
 
-def run_per_batch(store: state.Store, run: Callable[[DataFrame, str, int], None]) -> Callable[[DataFrame, int], None]:
+def run_per_batch(store: state.Store | None, run: Callable[[DataFrame, str, int], None]) -> Callable[[DataFrame, int], None]:
     """foreachBatch handler that gives each batch of new files a run id of its own.
 
-    `run` stores what it finds; the tables it wrote on the way are dropped when it is done.
+    `run` stores what it finds; the tables it wrote on the way are dropped when it is done. Its joins go by measured sizes,
+    in the session of the batch and in that of the store.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            with dropped_after():
+            with measured_joins(batch.sparkSession, *([store.spark] if store else [])), dropped_after():
                 run(batch, f"batch-{batch_id:010d}", batch_id)
 
     return handle

@@ -4,7 +4,9 @@ import datetime as dt
 import random
 
 import pandas as pd
+from pyspark.sql import functions as F
 
+from tallyloom.durable import Scratch
 from tallyloom.operators import intake
 from tallyloom.operators.state import Store
 from tallyloom.settings import Settings
@@ -157,6 +159,30 @@ def test_sweep_then_incremental_runs(spark, tmp_path):
     assert seen == [["expenses/a.pdf"], ["expenses/b.pdf"]]
 
 
+def test_joins_of_a_run_go_by_measured_sizes(spark, tmp_path):
+    """A table of one text is small in its file and large in memory: the driver must not gather it."""
+    limit, plans = "spark.sql.autoBroadcastJoinThreshold", []
+
+    def run(batch, run_id, number):
+        scratch = Scratch(spark, "sizes")
+        wide = scratch.write(spark.range(60_000).select("id", F.lit("loom " * 40).alias("text")), "wide")
+        few = scratch.write(spark.range(9).select("id", F.lit("mill").alias("word")), "few")
+        for other in (wide.select("id", F.col("text").alias("word")), few):
+            joined = wide.join(other, "id").agg(F.sum(F.length(F.concat("text", "word"))).alias("n"))
+            plans.append((joined.collect()[0]["n"], joined))
+
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "1m")
+    try:
+        streams.run_per_batch(Store(spark, f"file:{tmp_path}/books"), run)(spark.range(1), 0)
+        assert spark.conf.get(limit) == "1m" and spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) is None
+    finally:
+        spark.conf.set(limit, before)
+    assert [n for n, _ in plans] == [60_000 * 400, 9 * 204]
+    shown = [joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0] for _, joined in plans]
+    assert "BroadcastHashJoin" not in shown[0] and "BroadcastHashJoin" in shown[1]
+
+
 def test_a_repeat_is_held_back_and_a_late_row_passes(spark, tmp_path):
     """Repeats within a batch, in a later batch and after a restart are dropped by bounded state; a late row is not."""
     schema = "folder string, name string, content_hash string, polled_at timestamp"
